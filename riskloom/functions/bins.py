@@ -10,22 +10,23 @@ from pyspark.sql import functions as F
 INFINITY = float("inf")
 
 
+def _chosen(value: Column, edges: Sequence[float], choices: Sequence, include_lowest: bool) -> Column:
+    """choices[i] where value lies in (edges[i], edges[i+1]]; null outside and for missing values."""
+    below = value < edges[0] if include_lowest else value <= edges[0]
+    out = F.when(value.isNull() | F.isnan(value.cast("double")) | below, F.lit(None))
+    for upper, choice in zip(edges[1:], choices):
+        out = out.when(value <= upper, F.lit(choice))
+    return out
+
+
 def interval_index(value: Column, edges: Sequence[float], include_lowest: bool = False) -> Column:
     """0-based number of the interval ``(edges[i], edges[i+1]]``; null outside all of them."""
-    inside_first = value >= edges[0] if include_lowest else value > edges[0]
-    expr = None
-    for i, upper in enumerate(edges[1:]):
-        test = (value <= upper) if i else (inside_first & (value <= upper))
-        expr = F.when(value.isNull() | F.isnan(value.cast("double")), None).when(
-            ~inside_first, None
-        ).when(test, i) if expr is None else expr.when(test, i)
-    return expr.cast("int")
+    return _chosen(value, edges, range(len(edges) - 1), include_lowest).cast("int")
 
 
 def labelled(value: Column, edges: Sequence[float], labels: Sequence[str], include_lowest: bool = False) -> Column:
     """Label of the interval that holds ``value``; null outside all of them."""
-    index = interval_index(value, edges, include_lowest)
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), index + 1)
+    return _chosen(value, edges, labels, include_lowest)
 
 
 def equal_width_index(value: Column, low: float, high: float, bins: int) -> Column:

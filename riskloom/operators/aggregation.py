@@ -86,9 +86,13 @@ def _derived(columns: Sequence[str], prefixes: set[str], value: str) -> dict:
 
 
 def aggregation_features(df: DataFrame, target_col: str = "TransactionAmt",
-                         families: Sequence[str] = tuple(FAMILIES)) -> tuple[DataFrame, list[str]]:
-    """Attach the statistics of the chosen families; returns the frame and the feature names."""
-    requests = [r for f in families for r in FAMILIES[f]]
+                         families: Sequence[str] = tuple(FAMILIES),
+                         prefixes: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """Attach the statistics of the chosen families; returns the frame and the feature names.
+
+    ``prefixes`` narrows a family to some of its requests.
+    """
+    requests = [r for f in families for r in FAMILIES[f] if prefixes is None or r.prefix in prefixes]
     keyed = with_composites(df, requests)
     out = attach_group_stats(keyed, target_col, requests)
     out = out.withColumns(_derived(out.columns, {r.prefix for r in requests}, target_col) or {})

@@ -97,19 +97,18 @@ def _agg_query(groups: list[str]) -> tuple[str, str]:
     return " ".join(columns), sql
 
 
-def _agg_build(families: list[str]):
-    return lambda spark, sf: aggregation.aggregation_features(fixture.joined(spark, sf), families=families)[0]
+def _agg_build(groups: list[str]):
+    prefixes = [prefix for g in groups for _, prefix, _ in _AGG[g]]
+    return lambda spark, sf: aggregation.aggregation_features(fixture.joined(spark, sf), prefixes=prefixes)[0]
 
 
-for _name, _groups, _families in (
-    ("agg_card1", ["card1"], ["card"]), ("agg_card_rest", ["card_rest"], ["card"]),
-    ("agg_card12", ["card12"], ["card"]), ("agg_email", ["email"], ["email"]),
-    ("agg_email_combo", ["email_combo"], ["email"]), ("agg_device", ["device"], ["device"]),
-    ("agg_product", ["product"], ["product"]), ("agg_address", ["address"], ["address"]),
-    ("agg_all", list(_AGG), list(aggregation.FAMILIES)),
+for _name, _groups in (
+    ("agg_card1", ["card1"]), ("agg_card_rest", ["card_rest"]), ("agg_card12", ["card12"]),
+    ("agg_email", ["email"]), ("agg_email_combo", ["email_combo"]), ("agg_device", ["device"]),
+    ("agg_product", ["product"]), ("agg_address", ["address"]), ("agg_all", list(_AGG)),
 ):
     _columns, _sql = _agg_query(_groups)
-    register(_name, _columns, _agg_build(_families), _sql)
+    register(_name, _columns, _agg_build(_groups), _sql)
 
 register(
     "agg_kernel",
