@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.plans import features, reports  # noqa: F401 - they register their queries
+from riskloom.plans import features, models, reports  # noqa: F401 - they register their queries
 from riskloom.plans.registry import REGISTRY, Query
 
 
