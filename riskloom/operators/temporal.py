@@ -35,7 +35,8 @@ def _present(df: DataFrame, keys: Sequence[str]) -> list[str]:
 def _key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Narrow long form: (row id, time, key name, key value) for every non-null key."""
     entries = F.array(*[F.struct(F.lit(k).alias("name"), F.col(k).cast("string").alias("key")) for k in keys])
-    return df.select(ROW_ID, F.col(TIME).alias("at"), F.inline(entries)).where(F.col("key").isNotNull())
+    return df.select(ROW_ID, F.col(TIME).alias("at"), F.inline(entries)).where(
+        F.col("key").isNotNull() & F.col("at").isNotNull())
 
 
 def _ticks(rows: DataFrame, windows: Mapping[str, int]) -> DataFrame:
@@ -45,40 +46,34 @@ def _ticks(rows: DataFrame, windows: Mapping[str, int]) -> DataFrame:
     second of the key; v_<w>: rows in [at - w, at).
     """
     seconds = rows.groupBy(*_TICK).agg(F.count("*").alias("n"))
-    if windows:
+    labels = list(windows)
+    zero = F.lit(0).cast("long")
+    if labels:
         # A row adds 1 to every later tick and takes it back once it is older than the window.
-        labels = list(windows)
-        events = [F.struct(F.col("at").alias("at"), F.col("n").alias("n"), F.col("at").alias("seen"),
-                           *[F.lit(0).cast("long").alias(f"out_{w}") for w in labels])]
-        for w in labels:
-            events.append(F.struct(
-                (F.col("at") + windows[w]).alias("at"), F.lit(0).cast("long").alias("n"),
-                F.lit(None).cast("long").alias("seen"),
-                *[(F.col("n") if x == w else F.lit(0).cast("long")).alias(f"out_{x}") for x in labels]))
-        marks = seconds.select("name", "key", F.inline(F.array(*events))).groupBy(*_TICK).agg(
-            F.sum("n").alias("n"), F.max("seen").alias("seen"),
-            *[F.sum(f"out_{w}").alias(f"out_{w}") for w in labels])
+        events = [F.struct(F.col("at").alias("at"), F.col("n").alias("n"), *[zero.alias(f"out_{w}") for w in labels])]
+        events += [F.struct((F.col("at") + windows[w]).alias("at"), zero.alias("n"),
+                            *[(F.col("n") if x == w else zero).alias(f"out_{x}") for x in labels]) for w in labels]
+        marks = seconds.select("name", "key", F.inline(F.array(*events)))
     else:
-        labels = []
-        marks = seconds.withColumn("seen", F.col("at"))
+        marks = seconds
     sums = ["n"] + [f"out_{w}" for w in labels]
-    marks = marks.withColumn("day", F.floor(F.col("at") / clock.DAY))
+    seen = F.when(F.col("n") > 0, F.col("at"))
+    marks = marks.withColumn("day", F.floor(F.col("at") / clock.DAY)).where(F.col("day").isNotNull())
+
+    # At most 86,400 seconds times (1 + windows) marks share a (key, day).
+    today = Window.partitionBy("name", "key", "day").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    local = marks.withColumns({
+        **{f"loc_{m}": F.coalesce(F.sum(m).over(today), F.lit(0)) for m in sums}, "loc_prev": F.max(seen).over(today),
+    }).where(F.col("n") > 0)
 
     days = marks.groupBy("name", "key", "day").agg(
-        *[F.sum(m).alias(m) for m in sums], F.max("seen").alias("last_seen"), F.min("seen").alias("first_seen"))
+        *[F.sum(m).alias(m) for m in sums], F.max(seen).alias("last_seen"), F.min(seen).alias("first_seen"))
     past_days = Window.partitionBy("name", "key").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     all_days = Window.partitionBy("name", "key")
     carried = days.select(
-        "name", "key", "day",
-        *[F.coalesce(F.sum(m).over(past_days), F.lit(0)).alias(f"day_{m}") for m in sums],
-        F.max("last_seen").over(past_days).alias("day_prev"),
-        F.min("first_seen").over(all_days).alias("first_at"))
+        "name", "key", "day", *[F.coalesce(F.sum(m).over(past_days), F.lit(0)).alias(f"day_{m}") for m in sums],
+        F.max("last_seen").over(past_days).alias("day_prev"), F.min("first_seen").over(all_days).alias("first_at"))
 
-    today = Window.partitionBy("name", "key", "day").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    local = marks.withColumns({
-        **{f"loc_{m}": F.coalesce(F.sum(m).over(today), F.lit(0)) for m in sums},
-        "loc_prev": F.max("seen").over(today),
-    }).where(F.col("seen").isNotNull())
     joined = local.join(carried, ["name", "key", "day"])
     total = {m: F.col(f"loc_{m}") + F.col(f"day_{m}") for m in sums}
     return joined.select(

@@ -6,7 +6,7 @@ events, customer and nation. The SQL text below states the same rows for the che
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: epoch second of 2024-01-01 00:00:00 UTC.
@@ -17,66 +17,76 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(number: Column, *choices: str | None) -> Column:
-    """choices[number]; a None choice is null."""
-    return F.element_at(F.array(*[F.lit(c).cast("string") for c in choices]), (number + 1).cast("int"))
+_KEY = "cast(regexp_extract(props, '[0-9]+', 0) as int)"
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("id"), F.col("user_id").alias("u"), "event_type", "value",
-        F.unix_timestamp(F.col("ts").cast("timestamp")).alias("second"),
-        F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("k"),
-    )
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id AS id", "user_id AS u", "event_type", "value",
+        "unix_timestamp(cast(ts AS timestamp)) AS second", f"{_KEY} AS k")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     return events.join(customer, events.u == customer.c_custkey).join(
         nation, customer.c_nationkey == nation.n_nationkey)
 
 
+# Column -> expression over id, u, k, value, second, c_nationkey and n_regionkey.
+_TRANSACTION = {
+    "TransactionID": "id",
+    "isFraud": "if(k % 29 = 0, 1, 0)",
+    "TransactionDT": f"second - {EVENT_START}",
+    "TransactionAmt": "value",
+    "ProductCD": "event_type",
+    "card1": "cast(u AS int)",
+    "card2": "cast(if(k % 10 = 0, null, 100 + k % 25) AS double)",
+    "card3": "cast(150 + k % 3 AS double)",
+    "card4": "decode(k % 4, 0, 'visa', 1, 'mastercard', 2, 'discover')",
+    "card5": "cast(if(u % 7 = 3, null, 100 + u % 7) AS double)",
+    "card6": "case when id % 11 = 0 then null when id % 3 = 0 then 'credit' else 'debit' end",
+    "addr1": "cast(if(id % 9 = 0, null, 200 + c_nationkey) AS double)",
+    "addr2": "cast(if(id % 9 = 0 or id % 13 = 0, null, n_regionkey) AS double)",
+    "P_emaildomain": "decode(u % 6, 0, 'gmail.com', 1, 'yahoo.com', 2, 'hotmail.com', 3, 'anonymous.com', "
+                     "4, 'yahoo.co.jp')",
+    "R_emaildomain": "decode(k % 5, 0, 'gmail.com', 1, 'yahoo.com', 2, 'outlook.com')",
+    "C1": "cast(k % 7 AS double)",
+    "C2": "cast(u % 4 AS double)",
+    "D1": "cast(nullif(k % 6, 0) AS double)",
+    "D2": "cast(if(id % 2 = 0, null, k % 11) AS double)",
+    "M1": "decode(k % 3, 0, 'T', 1, 'F')",
+    "M2": "decode(id % 3, 0, 'T', 1, 'F')",
+    "V1": "value * 2",
+    "V2": "cast(1 AS double)",
+    "V3": "if(k = 1, value, null)",
+}
+# Column -> expression over event_id and k.
+_IDENTITY = {
+    "TransactionID": "event_id",
+    "DeviceType": "case when k % 8 = 7 then null when k % 2 = 0 then 'mobile' else 'desktop' end",
+    "DeviceInfo": "decode(k % 5, 0, 'SM-G930V Build/NRD90M', 1, 'Windows', 2, 'iOS Device', 3, 'MacOS')",
+    "id_30": "decode(k % 4, 0, 'Windows 10', 1, 'Android 7.0', 2, 'iOS 11.2.1')",
+    "id_31": "decode(k % 6, 0, 'chrome 63.0', 1, 'mobile safari 11.0', 2, 'edge 16.0', 3, 'firefox 57.0')",
+    "id_33": "if(k % 3 = 0, '1920x1080', null)",
+}
+_SCORES = {
+    "TransactionID": "event_id",
+    "isFraud": "if(k % 29 = 0, 1, 0)",
+    "p1": "(k % 20) / 20.0D",
+    "p2": "(event_id % 97) / 97.0D",
+    "p3": "(user_id % 13) / 13.0D",
+}
+
+
+def _selected(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{e} AS {c}" for c, e in expressions.items()])
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i, u, k, v = F.col("id"), F.col("u"), F.col("k"), F.col("value")
-    no_addr = i % 9 == 0
-    return _base(spark, sf_dir).select(
-        i.alias("TransactionID"),
-        F.when(k % 29 == 0, 1).otherwise(0).alias("isFraud"),
-        (F.col("second") - EVENT_START).alias("TransactionDT"),
-        v.alias("TransactionAmt"),
-        F.col("event_type").alias("ProductCD"),
-        u.cast("int").alias("card1"),
-        F.when(k % 10 != 0, 100 + k % 25).cast("double").alias("card2"),
-        (150 + k % 3).cast("double").alias("card3"),
-        _pick(k % 4, "visa", "mastercard", "discover", None).alias("card4"),
-        F.when(u % 7 != 3, 100 + u % 7).cast("double").alias("card5"),
-        F.when(i % 11 == 0, None).when(i % 3 == 0, "credit").otherwise("debit").alias("card6"),
-        F.when(~no_addr, 200 + F.col("c_nationkey")).cast("double").alias("addr1"),
-        F.when(~no_addr & (i % 13 != 0), F.col("n_regionkey")).cast("double").alias("addr2"),
-        _pick(u % 6, "gmail.com", "yahoo.com", "hotmail.com", "anonymous.com", "yahoo.co.jp",
-              None).alias("P_emaildomain"),
-        _pick(k % 5, "gmail.com", "yahoo.com", "outlook.com", None, None).alias("R_emaildomain"),
-        (k % 7).cast("double").alias("C1"),
-        (u % 4).cast("double").alias("C2"),
-        F.nullif(k % 6, F.lit(0)).cast("double").alias("D1"),
-        F.when(i % 2 != 0, k % 11).cast("double").alias("D2"),
-        _pick(k % 3, "T", "F", None).alias("M1"),
-        _pick(i % 3, "T", "F", None).alias("M2"),
-        (v * 2).alias("V1"),
-        F.lit(1.0).alias("V2"),
-        F.when(k == 1, v).alias("V3"),
-    )
+    return _selected(_base(spark, sf_dir), _TRANSACTION)
 
 
 def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
-    events = table(spark, sf_dir, "events").where(F.col("event_id") % 4 == 0)
-    return events.select(
-        F.col("event_id").alias("TransactionID"),
-        F.when(k % 8 == 7, None).when(k % 2 == 0, "mobile").otherwise("desktop").alias("DeviceType"),
-        _pick(k % 5, "SM-G930V Build/NRD90M", "Windows", "iOS Device", "MacOS", None).alias("DeviceInfo"),
-        _pick(k % 4, "Windows 10", "Android 7.0", "iOS 11.2.1", None).alias("id_30"),
-        _pick(k % 6, "chrome 63.0", "mobile safari 11.0", "edge 16.0", "firefox 57.0", None, None).alias("id_31"),
-        F.when(k % 3 == 0, "1920x1080").alias("id_33"),
-    )
+    events = table(spark, sf_dir, "events").where("event_id % 4 = 0")
+    return _selected(events.selectExpr("event_id", f"{_KEY} AS k"), _IDENTITY)
 
 
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,14 +95,8 @@ def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three score columns with many ties, next to the label."""
-    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("TransactionID"),
-        F.when(k % 29 == 0, 1).otherwise(0).alias("isFraud"),
-        ((k % 20) / F.lit(20.0)).alias("p1"),
-        ((F.col("event_id") % 97) / F.lit(97.0)).alias("p2"),
-        ((F.col("user_id") % 13) / F.lit(13.0)).alias("p3"),
-    )
+    events = table(spark, sf_dir, "events")
+    return _selected(events.selectExpr("event_id", "user_id", f"{_KEY} AS k"), _SCORES)
 
 
 def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
