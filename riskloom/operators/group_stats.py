@@ -1,8 +1,6 @@
 """Grouped statistics of a value column, attached to every row of the group.
 
-Shared by the aggregation, frequency and missingness features. Each distinct key costs one
-aggregation (partial sums map-side, so a hot key arrives at the shuffle as one row per task) and
-one left join; the join strategy is left to the engine, which broadcasts only what it has measured.
+Shared by the aggregation, frequency and missingness features.
 """
 
 from __future__ import annotations
@@ -10,9 +8,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.operators.keyed import attach, columns_as_keys, key_rows
 from riskloom.operators.quantiles import medians
 
 
@@ -28,50 +27,44 @@ class GroupRequest:
         return f"{self.prefix}_{stat}"
 
 
-def _expression(stat: str, value: Column) -> Column:
-    table = {
-        "count": F.count(value),
-        "mean": F.avg(value),
-        "std": F.stddev_samp(value),
-        "min": F.min(value),
-        "max": F.max(value),
-        "sum": F.sum(value),
-    }
-    return table[stat]
+# Statistic -> aggregate function; the median takes the exact distributed path instead.
+STATISTICS = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "sum": F.sum}
 
 
-def group_stats(df: DataFrame, key: str, value: str, stats: Sequence[str], prefix: str) -> DataFrame:
-    """One row per non-null key value with columns ``<prefix>_<stat>``."""
-    rows = df.where(F.col(key).isNotNull())
-    plain = [s for s in stats if s != "median"]
-    out = rows.groupBy(key).agg(*[_expression(s, F.col(value)).alias(f"{prefix}_{s}") for s in plain])
-    if "median" in stats:
-        out = out.join(medians(rows, [key], value, f"{prefix}_median"), key, "left")
-    return out.select(key, *[f"{prefix}_{s}" for s in stats])
+def group_table(df: DataFrame, value: str, stats_by_key: dict[str, Sequence[str]]) -> DataFrame:
+    """(name, key, n, count, mean, ...) for several key columns from one scan and one shuffle."""
+    rows = key_rows(df, columns_as_keys(df, list(stats_by_key)), [F.col(value).alias("_value")])
+    plain = [s for s in STATISTICS if any(s in stats for stats in stats_by_key.values())]
+    table = rows.groupBy("name", "key").agg(
+        F.count("*").alias("n"), *[STATISTICS[s](F.col("_value")).alias(s) for s in plain])
+    with_median = [k for k, stats in stats_by_key.items() if "median" in stats]
+    if with_median:
+        middle = medians(key_rows(df, columns_as_keys(df, with_median), [F.col(value).alias("_value")]),
+                         ["name", "key"], "_value")
+        table = table.join(middle, ["name", "key"], "left")
+    return table
 
 
-def attach_group_stats(df: DataFrame, value: str, requests: Sequence[GroupRequest]) -> DataFrame:
-    """Left-join every requested statistic; absent key columns are skipped; null keys get nulls.
+def attach_group_stats(df: DataFrame, value: str, requests: Sequence[GroupRequest], **options) -> DataFrame:
+    """Attach every requested statistic; absent key columns are skipped; null keys get nulls.
 
-    Requests on the same key share one aggregation. Groups are always formed from ``df`` as given.
+    Requests on the same key share one group. Groups are always formed from ``df`` as given.
     """
-    by_key: dict[str, list[GroupRequest]] = {}
-    for r in requests:
-        if r.key in df.columns:
-            by_key.setdefault(r.key, []).append(r)
-    out = df
-    for key, wanted in by_key.items():
-        stats = list(dict.fromkeys(s for r in wanted for s in r.stats))
-        table = group_stats(df, key, value, stats, "_s")
-        named = [F.col(f"_s_{s}").alias(r.column(s)) for r in wanted for s in r.stats]
-        out = out.join(table.select(key, *named), key, "left")
-    return out
-
-
-def value_frequency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    wanted = [r for r in requests if r.key in df.columns]
+    if not wanted:
+        return df
+    stats: dict[str, list[str]] = {}
+    outputs: dict[str, dict[str, str]] = {}
+    for r in wanted:
+        stats.setdefault(r.key, []).extend(r.stats)
+        outputs.setdefault(r.key, {}).update({r.column(s): s for s in r.stats})
+    out = attach(df, columns_as_keys(df, list(stats)), group_table(df, value, stats), outputs, **options)
+    return out.select(*df.columns, *[r.column(s) for r in wanted for s in r.stats])
+
+
+def value_frequency(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:
     """``<c>_freq`` (rows with the same value) and ``<c>_freq_log`` = log(1 + freq)."""
-    out = df
-    for c in [c for c in columns if c in df.columns]:
-        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias(f"{c}_freq"))
-        out = out.join(counts, c, "left").withColumn(f"{c}_freq_log", F.log1p(f"{c}_freq"))
-    return out
+    keys = columns_as_keys(df, columns)
+    table = key_rows(df, keys).groupBy("name", "key").agg(F.count("*").alias("n"))
+    out = attach(df, keys, table, {c: {f"{c}_freq": "n"} for c in keys}, **options)
+    return out.withColumns({f"{c}_freq_log": F.log1p(f"{c}_freq") for c in keys}) if keys else out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.bins import INFINITY, labelled
 from riskloom.functions.keys import MISSING_TEXT, combined
+from riskloom.operators.keyed import attach, columns_as_keys, key_rows
 from riskloom.operators.ordering import hash_number
 
 # Smoothing weight and default smallest group with a rate of its own.
@@ -63,9 +64,13 @@ def _fold_of(row_id: str, folds: int, seed: int) -> Column:
     return (hash_number(row_id, seed) % folds).cast("int")
 
 
+# Joins a composite with a fold number in look-up keys; cannot occur in either.
+_FOLD_MARK = "\u0001"
+
+
 def combination_features(df: DataFrame, combos: dict[str, tuple[str, ...]], target: str | None = "isFraud",
                          mode: str = "in_sample", folds: int = 5, seed: int = 42,
-                         row_id: str = "TransactionID") -> tuple[DataFrame, list[str]]:
+                         row_id: str = "TransactionID", **options) -> tuple[DataFrame, list[str]]:
     """Add the composite key, ``<combo>_count`` and, with a target, ``<combo>_fraud_rate``.
 
     mode ``in_sample`` uses every row of the group, its own included. ``out_of_fold`` uses only the
@@ -73,34 +78,36 @@ def combination_features(df: DataFrame, combos: dict[str, tuple[str, ...]], targ
     """
     have = set(df.columns)
     combos = {n: p for n, p in combos.items() if set(p) <= have}
+    if not combos:
+        return df, []
     with_target = target is not None and target in have
-    out_of_fold = with_target and mode == "out_of_fold"
-    base = df.withColumns({n: combined(*p) for n, p in combos.items()}) if combos else df
-    if out_of_fold:
-        base = base.withColumn("_fold", _fold_of(row_id, folds, seed))
-    overall = df.agg(F.avg(target)).scalar() if with_target else None
-    out, names = base, []
-    for name in combos:
-        names += [name, f"{name}_count"] + ([f"{name}_fraud_rate"] if with_target else [])
-        count = F.count("*").alias(f"{name}_count")
-        if not with_target:
-            out = out.join(base.groupBy(name).agg(count), name, "left")
-            continue
-        if not out_of_fold:
-            rate = _smoothed(F.sum(target), F.count(target), overall)
-            stats = base.groupBy(name).agg(count, F.coalesce(rate, overall).alias(f"{name}_fraud_rate"))
-            out = out.join(stats, name, "left")
-            continue
-        per_fold = base.groupBy(name, "_fold").agg(
-            F.count("*").alias("_n"), F.sum(target).alias("_pos"), F.count(target).alias("_lab"))
-        total = per_fold.groupBy(name).agg(
-            F.sum("_n").alias(f"{name}_count"), F.sum("_pos").alias("_tpos"), F.sum("_lab").alias("_tlab"))
-        stats = per_fold.join(total, name).select(
-            name, "_fold", f"{name}_count",
-            _smoothed(F.coalesce(F.col("_tpos"), F.lit(0)) - F.coalesce(F.col("_pos"), F.lit(0)),
-                      F.col("_tlab") - F.col("_lab"), overall).alias(f"{name}_fraud_rate"))
-        out = out.join(stats, [name, "_fold"], "left")
-    return out.drop("_fold"), names
+    base = df.withColumns({n: combined(*p) for n, p in combos.items()})
+    keys = columns_as_keys(base, list(combos))
+    outputs = {n: {f"{n}_count": "n_all", **({f"{n}_fraud_rate": "rate"} if with_target else {})} for n in combos}
+    if not with_target:
+        table = key_rows(base, keys).groupBy("name", "key").agg(F.count("*").alias("n")).withColumn("n_all", F.col("n"))
+    elif mode == "in_sample":
+        overall = df.agg(F.avg(target)).scalar()
+        stats = key_rows(base, keys, [target]).groupBy("name", "key").agg(
+            F.count("*").alias("n"), F.sum(target).alias("pos"), F.count(target).alias("lab"))
+        table = stats.select("name", "key", "n", F.col("n").alias("n_all"), F.coalesce(
+            _smoothed(F.coalesce("pos", F.lit(0)), F.col("lab"), overall), overall).alias("rate"))
+    elif mode == "out_of_fold":
+        overall = df.agg(F.avg(target)).scalar()
+        own = _fold_of(row_id, folds, seed)
+        per_fold = key_rows(base, keys, [F.col(target), own.alias("fold")]).groupBy("name", "key", "fold").agg(
+            F.count("*").alias("n"), F.coalesce(F.sum(target), F.lit(0)).alias("pos"), F.count(target).alias("lab"))
+        total = per_fold.groupBy("name", "key").agg(
+            F.sum("n").alias("n_all"), F.sum("pos").alias("all_pos"), F.sum("lab").alias("all_lab"))
+        rate = _smoothed(F.col("all_pos") - F.col("pos"), F.col("all_lab") - F.col("lab"), overall)
+        table = per_fold.join(total, ["name", "key"]).select(
+            "name", F.concat_ws(_FOLD_MARK, "key", "fold").alias("key"), "n", "n_all", rate.alias("rate"))
+        keys = {n: F.concat_ws(_FOLD_MARK, c, own) for n, c in keys.items()}
+    else:
+        raise ValueError(f"unknown mode {mode}")
+    out = attach(base, keys, table, outputs, row_id, **options)
+    names = [c for n in combos for c in (n, *outputs[n])]
+    return out.select(*df.columns, *names), names
 
 
 def interaction_features(df: DataFrame, families: Sequence[str] = tuple(FAMILIES), target: str | None = "isFraud",

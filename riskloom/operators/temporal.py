@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import clock
 from riskloom.functions.bins import labelled
+from riskloom.operators.keyed import attach, columns_as_keys, key_rows
+from riskloom.session import written
 
 TIME, ROW_ID, AMOUNT = "TransactionDT", "TransactionID", "TransactionAmt"
 
@@ -23,6 +25,8 @@ SINCE_KEYS = ("card1", "card2", "P_emaildomain", "R_emaildomain", "DeviceInfo",
 VELOCITY_KEYS = ("card1", "P_emaildomain", "DeviceInfo", "addr1")
 RFM_KEYS = ("card1", "card2", "P_emaildomain", "addr1", "DeviceInfo")
 GAP_KEYS = ("card1", "P_emaildomain", "DeviceInfo")
+GAP_PARTS = ("mean_gap", "std_gap", "min_gap", "max_gap")
+RFM_PARTS = ("recency", "frequency", "monetary_total", "monetary_mean", "monetary_std", "rfm_score")
 VELOCITY_WINDOWS = {"1h": 3600, "6h": 6 * 3600, "24h": 24 * 3600, "7d": 7 * 24 * 3600}
 
 _TICK = ["name", "key", "at"]
@@ -32,13 +36,6 @@ def _present(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [k for k in keys if k in df.columns]
 
 
-def _key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Narrow long form: (row id, time, key name, key value) for every non-null key."""
-    entries = F.array(*[F.struct(F.lit(k).alias("name"), F.col(k).cast("string").alias("key")) for k in keys])
-    return df.select(ROW_ID, F.col(TIME).alias("at"), F.inline(entries)).where(
-        F.col("key").isNotNull() & F.col("at").isNotNull())
-
-
 def _ticks(rows: DataFrame, windows: Mapping[str, int]) -> DataFrame:
     """One row per (key name, key, second) that occurs, with what happened strictly before it.
 
@@ -86,7 +83,7 @@ def key_timeline(df: DataFrame, keys: Sequence[str], windows: Mapping[str, int]
 
     Rows of one key in the same second are ordered by row id.
     """
-    rows = _key_rows(df, keys)
+    rows = key_rows(df, columns_as_keys(df, keys), [ROW_ID, F.col(TIME).alias("at")]).where(F.col("at").isNotNull())
     ticks = _ticks(rows, windows or {})
     same_second = Window.partitionBy(*_TICK).orderBy(ROW_ID)
     placed = rows.withColumn("_r", F.row_number().over(same_second)).join(ticks, _TICK)
@@ -120,19 +117,24 @@ def _velocity_columns(keys: Sequence[str], windows: Mapping[str, int]) -> dict[s
     return {f"{k}_velocity_{w}": (k, f"v_{w}") for k in keys for w in windows}
 
 
-def _with_gap_stats(timeline: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Mean, spread and range of a key's gaps next to each of its rows, and the outlier flag."""
-    stats = timeline.where(F.col("name").isin(list(keys))).groupBy("name", "key").agg(
-        F.avg("gap").alias("mean_gap"), F.stddev_samp("gap").alias("std_gap"),
+def _gap_table(timeline: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(name, key, n, mean, spread and range of the key's gaps)."""
+    return timeline.where(F.col("name").isin(list(keys))).groupBy("name", "key").agg(
+        F.count("*").alias("n"), F.avg("gap").alias("mean_gap"), F.stddev_samp("gap").alias("std_gap"),
         F.min("gap").alias("min_gap"), F.max("gap").alias("max_gap"))
-    out = timeline.join(stats, ["name", "key"], "left")
-    far = F.abs(F.col("gap") - F.col("mean_gap")) > 2 * F.col("std_gap")
-    return out.withColumn("unusual_gap", F.coalesce(far, F.lit(False)).cast("int"))
 
 
-def _gap_columns(keys: Sequence[str]) -> dict[str, tuple[str, str]]:
-    parts = ("mean_gap", "std_gap", "min_gap", "max_gap", "unusual_gap")
-    return {f"{k}_{p}": (k, p) for k in keys for p in parts}
+def _attach_gaps(df: DataFrame, table: DataFrame, keys: Sequence[str], gaps: Mapping[str, str]) -> DataFrame:
+    """Gap statistics per key, and a flag where the row's own gap (column ``gaps[key]``) is far from the mean."""
+    outputs = {k: {f"{k}_{p}": p for p in GAP_PARTS} for k in keys}
+    out = attach(df, columns_as_keys(df, keys), table, outputs)
+    far = {f"{k}_unusual_gap": F.coalesce(
+        F.abs(F.col(gaps[k]) - F.col(f"{k}_mean_gap")) > 2 * F.col(f"{k}_std_gap"), F.lit(False)).cast("int") for k in keys}
+    return out.withColumns(far)
+
+
+def _gap_names(keys: Sequence[str]) -> list[str]:
+    return [f"{k}_{p}" for k in keys for p in (*GAP_PARTS, "unusual_gap")]
 
 
 def create_time_since_features(df: DataFrame, keys: Sequence[str] = SINCE_KEYS) -> tuple[DataFrame, list[str]]:
@@ -157,10 +159,10 @@ def create_transaction_gap_features(df: DataFrame, keys: Sequence[str] = GAP_KEY
     keys = _present(df, keys)
     if TIME not in df.columns or not keys:
         return df, []
-    wanted = _gap_columns(keys)
-    flags = [c for c in wanted if c.endswith("_unusual_gap")]
-    spread = _spread(_with_gap_stats(key_timeline(df, keys), keys), wanted)
-    return _attach(df, spread, flags), list(wanted)
+    timeline = key_timeline(df, keys)
+    own = {f"_gap_{k}": (k, "gap") for k in keys}
+    out = _attach_gaps(_attach(df, _spread(timeline, own)), _gap_table(timeline, keys), keys, {k: f"_gap_{k}" for k in keys})
+    return out.select(*df.columns, *_gap_names(keys)), _gap_names(keys)
 
 
 def create_rfm_features(df: DataFrame, keys: Sequence[str] = RFM_KEYS) -> tuple[DataFrame, list[str]]:
@@ -169,23 +171,21 @@ def create_rfm_features(df: DataFrame, keys: Sequence[str] = RFM_KEYS) -> tuple[
     if not {TIME, AMOUNT} <= set(df.columns):
         return df, []
     latest = df.agg(F.max(TIME)).scalar()
-    out, names = df, []
-    for k in keys:
-        groups = df.where(F.col(k).isNotNull()).groupBy(k).agg(
-            F.max(TIME).alias("_last"), F.count(TIME).alias(f"{k}_frequency"),
-            F.sum(AMOUNT).alias(f"{k}_monetary_total"), F.avg(AMOUNT).alias(f"{k}_monetary_mean"),
-            F.stddev_samp(AMOUNT).alias(f"{k}_monetary_std"))
-        top_count = groups.agg(F.max(f"{k}_frequency")).scalar()
-        top_total = groups.agg(F.max(f"{k}_monetary_total")).scalar()
-        scored = groups.withColumn(f"{k}_recency", (latest - F.col("_last")) / clock.HOUR).withColumn(
-            f"{k}_rfm_score",
-            1 / (F.col(f"{k}_recency") + 1) + F.col(f"{k}_frequency") / (top_count + 1)
-            + F.try_divide(F.col(f"{k}_monetary_total"), top_total + 1))
-        made = [f"{k}_{p}" for p in
-                ("recency", "frequency", "monetary_total", "monetary_mean", "monetary_std", "rfm_score")]
-        out = out.join(scored.select(k, *made), k, "left")
-        names += made
-    return out, names
+    columns = columns_as_keys(df, keys)
+    groups = key_rows(df, columns, [F.col(TIME).alias("at"), F.col(AMOUNT).alias("amount")]).groupBy("name", "key").agg(
+        F.count("*").alias("n"), F.max("at").alias("last"), F.count("at").alias("frequency"),
+        F.sum("amount").alias("monetary_total"), F.avg("amount").alias("monetary_mean"),
+        F.stddev_samp("amount").alias("monetary_std"))
+    groups = written(groups.withColumn("recency", (latest - F.col("last")) / clock.HOUR))
+    # One row per key name.
+    tops = groups.groupBy("name").agg(F.max("frequency").alias("_f"), F.max("monetary_total").alias("_m"))
+    score = (1 / (F.col("recency") + 1) + F.col("frequency") / (F.col("_f") + 1)
+             + F.try_divide(F.col("monetary_total"), F.col("_m") + 1))
+    table = groups.join(F.broadcast(tops), "name").withColumn("rfm_score", score).drop("_f", "_m")
+    outputs = {k: {f"{k}_{p}": p for p in RFM_PARTS} for k in keys}
+    out = attach(df, columns, table, outputs)
+    names = [c for k in keys for c in outputs[k]]
+    return out.select(*df.columns, *names), names
 
 
 # Day parts, closed on the right, hour 0 included.
@@ -225,11 +225,12 @@ def create_temporal_features(df: DataFrame, include_velocity: bool = True) -> tu
     keys = list(dict.fromkeys([*since, *fast, *gaps]))
     out, names = df, []
     if keys:
-        wanted = {**_since_columns(since), **_velocity_columns(fast, windows), **_gap_columns(gaps)}
-        zero = [c for c, (_, part) in wanted.items() if part.startswith("v_") or part == "unusual_gap"]
-        timeline = _with_gap_stats(key_timeline(df, keys, windows), gaps)
-        out = _attach(df, _spread(timeline, wanted), zero)
-        names = list(wanted)
+        wanted = {**_since_columns(since), **_velocity_columns(fast, windows)}
+        timeline = key_timeline(df, keys, windows)
+        own = {f"_gap_{k}": (k, "gap") for k in gaps}
+        out = _attach(df, _spread(timeline, {**wanted, **own}), list(_velocity_columns(fast, windows)))
+        out = _attach_gaps(out, _gap_table(timeline, gaps), gaps, {k: f"_gap_{k}" for k in gaps}).drop(*own)
+        names = [*wanted, *_gap_names(gaps)]
     out, rfm = create_rfm_features(out)
     out, pattern = create_time_pattern_features(out)
     return out, names + rfm + pattern
