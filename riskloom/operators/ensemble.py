@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.nulls import folded_sum
 from riskloom.operators.evaluation import grouped_auc
+from riskloom.operators.keyed import attach, columns_as_keys, key_table
 from riskloom.operators.ordering import running_totals
 from riskloom.operators.quantiles import stacked
 
@@ -58,12 +59,10 @@ def rank_average(df: DataFrame, columns: Sequence[str], name: str = "rank_blend"
     counts = long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count("*").alias("n"))
     steps = running_totals(counts, ["feature", "value"], ["n"])
     span = steps.groupBy("feature").agg(F.min("n_before").alias("_start"), F.sum("n").alias("_total"))
-    ranks = steps.join(span, "feature").select(
-        "feature", "value", ((F.col("n_before") - F.col("_start") + (F.col("n") + 1) / 2) / F.col("_total")).alias("rank"))
-    out = df
-    for c in columns:
-        one = ranks.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col("rank").alias(f"_r_{c}"))
-        out = out.join(one, F.col(c).cast("double") == F.col("_v"), "left").drop("_v")
+    rank = (F.col("n_before") - F.col("_start") + (F.col("n") + 1) / 2) / F.col("_total")
+    ranks = key_table(steps.join(F.broadcast(span), "feature").select(
+        F.col("feature").alias("name"), F.col("value").alias("key"), "n", rank.alias("rank")))
+    out = attach(df, columns_as_keys(df, columns), ranks, {c: {f"_r_{c}": "rank"} for c in columns}, row_id, "double")
     return out.withColumn(name, folded_sum([F.col(f"_r_{c}") for c in columns]) / len(columns)).drop(
         *[f"_r_{c}" for c in columns])
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.ordering import hash_number, ordered_positions, row_index
+from riskloom.operators.ordering import before_mark, hash_number, position_marks, row_index
 
 ID, LABEL, TIME = "TransactionID", "isFraud", "TransactionDT"
 
@@ -32,32 +32,37 @@ def expanding_bounds(n: int, n_splits: int = 5) -> list[tuple[int, int]]:
     return [((i + 1) * block, min((i + 2) * block, n)) for i in range(n_splits)]
 
 
-def fold_membership(indexed: DataFrame, bounds: Sequence[tuple[int, int]], keep: Sequence[str],
-                    position: str = "row_pos") -> DataFrame:
+def fold_tests(df: DataFrame, bounds: Sequence[tuple[int, int]], time: str = TIME,
+               row_id: str = ID) -> list[tuple[Column, Column]]:
+    """(is training row, is validation row) per fold, as comparisons with the rows at the fold bounds."""
+    marks = position_marks(df, [p for b in bounds for p in b], time, row_id)
+    tests = []
+    for start, end in bounds:
+        early = before_mark(df, marks.get(start), time, row_id)
+        tests.append((early, ~early & before_mark(df, marks.get(end), time, row_id)))
+    return tests
+
+
+def fold_membership(df: DataFrame, tests: Sequence[tuple[Column, Column]], keep: Sequence[str]) -> DataFrame:
     """Long table (keep..., fold, part): part is ``train`` or ``valid``; rows after a fold's end are absent."""
-    pos = F.col(position)
-    entries = [F.struct(F.lit(i + 1).alias("fold"),
-                        F.when(pos < start, "train").when(pos < end, "valid").alias("part"))
-               for i, (start, end) in enumerate(bounds)]
-    return indexed.select(*keep, F.inline(F.array(*entries))).where(F.col("part").isNotNull())
+    entries = [F.struct(F.lit(i + 1).alias("fold"), F.when(train, "train").when(valid, "valid").alias("part"))
+               for i, (train, valid) in enumerate(tests)]
+    return df.select(*keep, F.inline(F.array(*entries))).where(F.col("part").isNotNull())
 
 
 def time_series_folds(df: DataFrame, n_splits: int = 5, test_size: float = 0.2,
                       keep: Sequence[str] = (ID,)) -> DataFrame:
-    pos = ordered_positions(df, [TIME, ID], keep)
-    return fold_membership(pos, time_series_bounds(pos.count(), n_splits, test_size), keep)
+    return fold_membership(df, fold_tests(df, time_series_bounds(df.count(), n_splits, test_size)), keep)
 
 
 def fold_plan(df: DataFrame, kind: str = "expanding", n_splits: int = 5, label: str = LABEL) -> DataFrame:
     """Sizes and label rates in percent per fold and part."""
-    pos = ordered_positions(df, [TIME, ID], [label])
-    n = pos.count()
+    n = df.count()
     bounds = expanding_bounds(n, n_splits) if kind == "expanding" else time_series_bounds(n, n_splits)
-    stats = fold_membership(pos, bounds, [label]).groupBy("fold").agg(
+    return fold_membership(df, fold_tests(df, bounds), [label]).groupBy("fold").agg(
         F.count_if(F.col("part") == "train").alias("train_size"), F.count_if(F.col("part") == "valid").alias("val_size"),
         (F.avg(F.when(F.col("part") == "train", F.col(label))) * 100).alias("train_rate"),
         (F.avg(F.when(F.col("part") == "valid", F.col(label))) * 100).alias("val_rate"))
-    return stats
 
 
 def hashed_fold(row_id: str = ID, k: int = 5, seed: int = 42) -> Column:
@@ -77,25 +82,29 @@ def shuffled_folds(df: DataFrame, k: int = 5, seed: int = 42, row_id: str = ID)
     return row_index(keyed, ["_h", row_id]).select(row_id, (F.col("row_pos") % k).cast("int").alias("fold"))
 
 
-def contiguous_fold(position: Column, n: int, k: int) -> Column:
-    """Consecutive folds; the first n % k folds are one row longer."""
+def contiguous_bounds(n: int, k: int) -> list[tuple[int, int]]:
+    """(start, end) of k consecutive folds; the first n % k are one row longer."""
     size, extra = divmod(n, k)
-    if size == 0:
-        return position.cast("int")
-    edge = extra * (size + 1)
-    return F.when(position < edge, F.floor(position / (size + 1))).otherwise(
-        extra + F.floor((position - edge) / size)).cast("int")
+    edges = [i * size + min(i, extra) for i in range(k + 1)]
+    return list(zip(edges[:-1], edges[1:]))
+
+
+def contiguous_fold(df: DataFrame, k: int) -> Column:
+    """Fold number 0..k-1 of consecutive folds in time order."""
+    starts = [s for s, _ in contiguous_bounds(df.count(), k)][1:]
+    marks = position_marks(df, starts)
+    fold = F.lit(0)
+    for s in starts:
+        fold = fold + (~before_mark(df, marks.get(s))).cast("int")
+    return fold
 
 
 def contiguous_folds(df: DataFrame, k: int = 5) -> DataFrame:
-    pos = ordered_positions(df, [TIME, ID])
-    return pos.select(ID, contiguous_fold(F.col("row_pos"), pos.count(), k).alias("fold"))
+    return df.select(ID, contiguous_fold(df, k).alias("fold"))
 
 
 def fold_stability(folds: DataFrame, fold: str = "fold", score: str = "val_auc") -> DataFrame:
     """Mean, population deviation, range, largest step between neighbours and stability of fold scores."""
-    from pyspark.sql import Window
-
     # One row per fold.
     order = Window.orderBy(fold)
     steps = folds.withColumn("_step", F.abs(F.col(score) - F.lag(score).over(order)))

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.keyed import attach, columns_as_keys, key_rows
+from riskloom.operators.keyed import KeyTable, attach, columns_as_keys, key_rows, key_table
 from riskloom.operators.quantiles import medians
 
 
@@ -45,26 +45,44 @@ def group_table(df: DataFrame, value: str, stats_by_key: dict[str, Sequence[str]
     return table
 
 
+class GroupStats:
+    """Statistics learnt on one frame and attached to any frame (fit / transform)."""
+
+    def __init__(self, value: str, requests: Sequence[GroupRequest]):
+        self.value, self.requests = value, list(requests)
+        self.table: KeyTable | None = None
+
+    def fit(self, df: DataFrame) -> GroupStats:
+        self.requests = [r for r in self.requests if r.key in df.columns]
+        stats: dict[str, list[str]] = {}
+        for r in self.requests:
+            stats.setdefault(r.key, []).extend(r.stats)
+        self.table = key_table(group_table(df, self.value, stats)) if stats else None
+        return self
+
+    def transform(self, df: DataFrame, **options) -> DataFrame:
+        if self.table is None:
+            return df
+        outputs: dict[str, dict[str, str]] = {}
+        for r in self.requests:
+            outputs.setdefault(r.key, {}).update({r.column(s): s for s in r.stats})
+        out = attach(df, columns_as_keys(df, list(outputs)), self.table, outputs, **options)
+        return out.select(*df.columns, *[r.column(s) for r in self.requests for s in r.stats])
+
+
 def attach_group_stats(df: DataFrame, value: str, requests: Sequence[GroupRequest], **options) -> DataFrame:
-    """Attach every requested statistic; absent key columns are skipped; null keys get nulls.
+    """Attach every requested statistic of ``df`` to its own rows.
 
-    Requests on the same key share one group. Groups are always formed from ``df`` as given.
+    Absent key columns are skipped; null keys get nulls; requests on the same key share one group.
     """
-    wanted = [r for r in requests if r.key in df.columns]
-    if not wanted:
-        return df
-    stats: dict[str, list[str]] = {}
-    outputs: dict[str, dict[str, str]] = {}
-    for r in wanted:
-        stats.setdefault(r.key, []).extend(r.stats)
-        outputs.setdefault(r.key, {}).update({r.column(s): s for s in r.stats})
-    out = attach(df, columns_as_keys(df, list(stats)), group_table(df, value, stats), outputs, **options)
-    return out.select(*df.columns, *[r.column(s) for r in wanted for s in r.stats])
+    return GroupStats(value, requests).fit(df).transform(df, **options)
 
 
 def value_frequency(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:
     """``<c>_freq`` (rows with the same value) and ``<c>_freq_log`` = log(1 + freq)."""
     keys = columns_as_keys(df, columns)
-    table = key_rows(df, keys).groupBy("name", "key").agg(F.count("*").alias("n"))
+    if not keys:
+        return df
+    table = key_table(key_rows(df, keys).groupBy("name", "key").agg(F.count("*").alias("n")))
     out = attach(df, keys, table, {c: {f"{c}_freq": "n"} for c in keys}, **options)
-    return out.withColumns({f"{c}_freq_log": F.log1p(f"{c}_freq") for c in keys}) if keys else out
+    return out.withColumns({f"{c}_freq_log": F.log1p(f"{c}_freq") for c in keys})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.bins import INFINITY, labelled
 from riskloom.functions.keys import MISSING_TEXT, combined
-from riskloom.operators.keyed import attach, columns_as_keys, key_rows
+from riskloom.operators.keyed import KeyTable, attach, columns_as_keys, key_rows, key_table
 from riskloom.operators.ordering import hash_number
 
 # Smoothing weight and default smallest group with a rate of its own.
@@ -105,7 +105,7 @@ def combination_features(df: DataFrame, combos: dict[str, tuple[str, ...]], targ
         keys = {n: F.concat_ws(_FOLD_MARK, c, own) for n, c in keys.items()}
     else:
         raise ValueError(f"unknown mode {mode}")
-    out = attach(base, keys, table, outputs, row_id, **options)
+    out = attach(base, keys, key_table(table), outputs, row_id, **options)
     names = [c for n in combos for c in (n, *outputs[n])]
     return out.select(*df.columns, *names), names
 
@@ -129,28 +129,29 @@ def create_interaction_features(df: DataFrame, mode: str = "out_of_fold") -> tup
 
 
 class RateEncoder:
-    """Smoothed rates learnt on one frame and applied to another (train / test)."""
+    """Smoothed rates and counts learnt on one frame and attached to another (train / test)."""
 
     def __init__(self, combos: dict[str, tuple[str, ...]], target: str = "isFraud"):
         self.combos, self.target = combos, target
-        self.tables: dict[str, DataFrame] = {}
+        self.table: KeyTable | None = None
         self.overall: float | None = None
 
     def fit(self, df: DataFrame) -> RateEncoder:
+        self.combos = {n: p for n, p in self.combos.items() if set(p) <= set(df.columns)}
         self.overall = df.agg(F.avg(self.target)).first()[0]
-        overall = F.lit(self.overall)
-        for name, parts in self.combos.items():
-            rate = _smoothed(F.sum(self.target), F.count(self.target), overall)
-            self.tables[name] = df.withColumn(name, combined(*parts)).groupBy(name).agg(
-                F.count("*").alias(f"{name}_count"), rate.alias(f"{name}_fraud_rate"))
+        keys = {n: combined(*p) for n, p in self.combos.items()}
+        stats = key_rows(df, keys, [self.target]).groupBy("name", "key").agg(
+            F.count("*").alias("n"), F.coalesce(F.sum(self.target), F.lit(0)).alias("pos"),
+            F.count(self.target).alias("lab"))
+        self.table = key_table(stats.select(
+            "name", "key", "n", _smoothed(F.col("pos"), F.col("lab"), F.lit(self.overall)).alias("rate")))
         return self
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, **options) -> DataFrame:
         """Unseen composites get the overall rate and a count of 0."""
-        out = df.withColumns({n: combined(*p) for n, p in self.combos.items()})
-        for name, stats in self.tables.items():
-            out = out.join(stats, name, "left").withColumns({
-                f"{name}_count": F.coalesce(F.col(f"{name}_count"), F.lit(0)),
-                f"{name}_fraud_rate": F.coalesce(F.col(f"{name}_fraud_rate"), F.lit(self.overall)),
-            })
-        return out
+        base = df.withColumns({n: combined(*p) for n, p in self.combos.items()})
+        outputs = {n: {f"{n}_count": "n", f"{n}_fraud_rate": "rate"} for n in self.combos}
+        out = attach(base, columns_as_keys(base, list(self.combos)), self.table, outputs, **options)
+        filled = {f"{n}_count": F.coalesce(F.col(f"{n}_count"), F.lit(0)) for n in self.combos}
+        filled.update({f"{n}_fraud_rate": F.coalesce(F.col(f"{n}_fraud_rate"), F.lit(self.overall)) for n in self.combos})
+        return out.withColumns(filled).select(*df.columns, *[c for n in self.combos for c in (n, *outputs[n])])

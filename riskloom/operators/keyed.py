@@ -13,6 +13,7 @@ key's columns are attached:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,36 +44,49 @@ def broadcast_rows(df: DataFrame) -> int:
     return max(size, 0) // BYTES_PER_ROW
 
 
-def attach(df: DataFrame, keys: Mapping[str, Column], table: DataFrame, outputs: Mapping[str, Mapping[str, str]],
+@dataclass(frozen=True)
+class KeyTable:
+    """A written (name, key, n, ...) table with the number of keys and rows per name."""
+
+    table: DataFrame
+    sizes: dict[str, tuple[int, int]]
+
+
+def key_table(table: DataFrame) -> KeyTable:
+    """Write a (name, key, n, ...) table, n = rows that have the key, and measure it."""
+    fixed = written(table)
+    measured = fixed.groupBy("name").agg(F.count("*").alias("k"), F.sum("n").alias("n")).collect()
+    return KeyTable(fixed, {r["name"]: (r["k"], r["n"]) for r in measured})
+
+
+def attach(df: DataFrame, keys: Mapping[str, Column], table: KeyTable, outputs: Mapping[str, Mapping[str, str]],
            row_id: str = ROW_ID, kind: str = "string", small_rows: int | None = None) -> DataFrame:
     """Add columns of a key table to ``df``; rows whose key is missing or unknown get nulls.
 
-    ``table``: (name, key, n, ...) with n = rows that have the key; ``outputs``: name -> {new column:
-    table column}. ``row_id`` must identify the rows of ``df``.
+    ``outputs``: name -> {new column: table column}. ``row_id`` must identify the rows of ``df``; a
+    frame without it joins each large key on its own.
     """
-    table = written(table)
     limit = broadcast_rows(df) if small_rows is None else small_rows
-    sizes = {r["name"]: (r["k"], r["n"]) for r in
-             table.groupBy("name").agg(F.count("*").alias("k"), F.sum("n").alias("n")).collect()}
     wanted = [n for n in outputs if n in keys]
-    small = [n for n in wanted if sizes.get(n, (0, 0))[0] <= limit]
+    small = [n for n in wanted if table.sizes.get(n, (0, 0))[0] <= limit]
     large = [n for n in wanted if n not in small]
     out = df
-    for i, n in enumerate(small):
+    for i, n in enumerate(wanted if row_id not in df.columns else small):
         columns = [F.col(c).alias(o) for o, c in outputs[n].items()]
-        one = table.where(F.col("name") == n).select(F.col("key").alias(f"_k{i}"), *columns)
-        out = out.join(F.broadcast(one), keys[n].cast(kind) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
-    if not large:
+        one = table.table.where(F.col("name") == n).select(F.col("key").alias(f"_k{i}"), *columns)
+        one = F.broadcast(one) if n in small else one
+        out = out.join(one, keys[n].cast(kind) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+    if not large or row_id not in df.columns:
         return out
     used = sorted({c for n in large for c in outputs[n].values()})
     rows = key_rows(df, {n: keys[n] for n in large}, [row_id], kind)
-    lookup = table.where(F.col("name").isin(large))
+    lookup = table.table.where(F.col("name").isin(large))
     bar = F.element_at(F.map_from_arrays(F.array(*[F.lit(n) for n in large]),
-                                         F.array(*[F.lit(sizes[n][1] / HOT_SHARE) for n in large])), F.col("name"))
+                                         F.array(*[F.lit(table.sizes[n][1] / HOT_SHARE) for n in large])), F.col("name"))
     # Fewer than HOT_SHARE keys per name can each own more than 1 / HOT_SHARE of the rows.
-    hot = F.broadcast(lookup.where(F.col("n") > bar).select("name", "key", *used))
+    hot = lookup.where(F.col("n") > bar).select("name", "key", *used)
     cold = lookup.where(F.col("n") <= bar).select("name", "key", *used)
-    found = rows.join(hot, ["name", "key"]).unionByName(
+    found = rows.join(F.broadcast(hot), ["name", "key"]).unionByName(
         rows.join(F.broadcast(hot.select("name", "key")), ["name", "key"], "left_anti").join(cold, ["name", "key"]))
     spread = found.groupBy(row_id).agg(
         *[F.max(F.when(F.col("name") == n, F.col(c))).alias(o) for n in large for o, c in outputs[n].items()])

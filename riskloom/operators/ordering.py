@@ -11,7 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from riskloom.operators import keyed
 from riskloom.session import slice_count, written
 
 
@@ -64,27 +66,57 @@ def row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_pos", sli
     )
 
 
-def ordered_positions(df: DataFrame, order_by: Sequence[str], keep: Sequence[str] = (),
-                      name: str = "row_pos") -> DataFrame:
-    """Positions as a narrow table: only the ordering columns and ``keep`` are shuffled."""
-    columns = list(dict.fromkeys([*order_by, *keep]))
-    return row_index(df.select(*columns), order_by, name)
+def position_marks(df: DataFrame, positions: Sequence[int], time: str = "TransactionDT",
+                   row_id: str = "TransactionID") -> dict[int, tuple]:
+    """(time, id) of the rows at the given 0-based positions of the (time, id) order.
+
+    Rows are counted per instant and only the instants that hold a position are looked into, so no
+    row-level sort of the table takes place. Positions past the last dated row are left out.
+    """
+    steps = value_positions(df, time)
+    n, before = F.col("n"), F.col("n_before")
+    hit = None
+    for p in sorted(set(positions)):
+        test = (before <= p) & (before + n > p)
+        hit = test if hit is None else hit | test
+    if hit is None:
+        return {}
+    instants = sorted(steps.where(hit).select(time, "n", "n_before").collect(), key=lambda r: r["n_before"])
+    if not instants:
+        return {}
+    kind = df.schema[time].dataType
+    inside = df.where(F.col(time).isin([literal(r[time], kind) for r in instants])).select(time, row_id)
+    start, places = 0, {}
+    for r in instants:
+        for p in positions:
+            if r["n_before"] <= p < r["n_before"] + r["n"]:
+                places[start + p - r["n_before"]] = p
+        start += r["n"]
+    found = row_index(inside, [time, row_id]).where(F.col("row_pos").isin(list(places))).collect()
+    return {places[r["row_pos"]]: (r[time], r[row_id]) for r in found}
+
+
+def literal(value, kind: T.DataType) -> Column:
+    """A collected value as a column of its own type, whatever the time zone of the driver."""
+    if isinstance(kind, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(kind)
+    return F.lit(value).cast(kind)
+
+
+def before_mark(df: DataFrame, mark: tuple | None, time: str = "TransactionDT", row_id: str = "TransactionID") -> Column:
+    """True for rows earlier than the marked row in (time, id) order; undated rows come last."""
+    if mark is None:
+        return F.lit(True)
+    at, first = literal(mark[0], df.schema[time].dataType), F.lit(mark[1])
+    return F.coalesce((F.col(time) < at) | ((F.col(time) == at) & (F.col(row_id) < first)), F.lit(False))
 
 
 def time_split(df: DataFrame, test_size: float = 0.2, time: str = "TransactionDT",
                row_id: str = "TransactionID") -> tuple[DataFrame, DataFrame]:
-    """The first int(n * (1 - test_size)) rows in time order, and the rest.
-
-    Only the (time, id) pair at the cut is looked up; both parts are plain filters on the input.
-    """
-    pos = ordered_positions(df, [time, row_id])
-    total = pos.count()
-    cut = int(total * (1 - test_size))
-    at = pos.where(F.col("row_pos") == cut).select(time, row_id).first()
-    if at is None:
-        return df, df.where(F.lit(False))
-    before = (F.col(time) < at[0]) | ((F.col(time) == at[0]) & (F.col(row_id) < at[1]))
-    return df.where(before), df.where(~before)
+    """The first int(n * (1 - test_size)) rows in time order, and the rest; both are plain filters."""
+    cut = int(df.count() * (1 - test_size))
+    early = before_mark(df, position_marks(df, [cut], time, row_id).get(cut), time, row_id)
+    return df.where(early), df.where(~early)
 
 
 def value_positions(df: DataFrame, value: str, slices: int | None = None) -> DataFrame:
@@ -93,13 +125,16 @@ def value_positions(df: DataFrame, value: str, slices: int | None = None) -> Dat
     return running_totals(counts, [value], ["n"], slices)
 
 
-def average_rank(df: DataFrame, value: str, name: str = "rank", scaled: bool = False) -> DataFrame:
+def average_rank(df: DataFrame, value: str, name: str = "rank", scaled: bool = False,
+                 row_id: str = "TransactionID") -> DataFrame:
     """1-based rank with ties sharing their mean rank; ``scaled`` divides by the row count."""
     steps = value_positions(df, value)
     rank = F.col("n_before") + (F.col("n") + 1) / 2
     if scaled:
         rank = rank / df.where(F.col(value).isNotNull()).agg(F.count("*")).scalar()
-    return df.join(steps.select(value, rank.alias(name)), value, "left")
+    table = steps.select(F.lit("v").alias("name"), F.col(value).alias("key"), "n", rank.alias("rank"))
+    return keyed.attach(df, {"v": F.col(value)}, keyed.key_table(table), {"v": {name: "rank"}}, row_id,
+                        df.schema[value].dataType.simpleString())
 
 
 def empirical_cdf(df: DataFrame, value: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from riskloom.functions import clock
 from riskloom.functions.bins import interval_index, labelled
 from riskloom.functions.keys import MISSING_TEXT, combined, same
+from riskloom.operators.keyed import KeyTable, attach, key_table
 from riskloom.operators.ordering import running_totals, time_split
 from riskloom.operators.quantiles import exact_quantiles, stacked
 
@@ -115,7 +116,7 @@ class LabelEncoder:
     def __init__(self, columns: Sequence[str], missing_text: str = MISSING_TEXT):
         self.columns = list(dict.fromkeys(columns))
         self.missing_text = missing_text
-        self.codes: DataFrame | None = None
+        self.codes: KeyTable | None = None
         self.other: dict[str, int] = {}
 
     def _text(self, df: DataFrame, c: str) -> Column:
@@ -125,21 +126,20 @@ class LabelEncoder:
         text = df.select(*[self._text(df, c).alias(c) for c in self.columns])
         values = frequency_table(text, self.columns).withColumn("one", F.lit(1))
         steps = running_totals(values, ["feature", "value"], ["one"])
-        first = steps.groupBy("feature").agg(F.min("one_before").alias("start"), F.count("*").alias("size"))
-        self.codes = steps.join(first, "feature").select(
-            "feature", "value", (F.col("one_before") - F.col("start")).cast("int").alias("code"))
-        sizes = {r["feature"]: r["size"] for r in first.collect()}
-        known = {r["feature"]: r["code"] for r in self.codes.where(F.col("value") == MISSING).collect()}
-        self.other = {c: known.get(c, sizes.get(c, 0)) for c in self.columns}
+        first = steps.groupBy("feature").agg(F.min("one_before").alias("start"))
+        code = (F.col("one_before") - F.col("start")).cast("int").alias("code")
+        self.codes = key_table(steps.join(F.broadcast(first), "feature").select(
+            F.col("feature").alias("name"), F.col("value").alias("key"), "n", code))
+        known = {r["name"]: r["code"] for r in self.codes.table.where(F.col("key") == MISSING).collect()}
+        self.other = {c: known.get(c, self.codes.sizes.get(c, (0, 0))[0]) for c in self.columns}
         return self
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        out = df
-        for c in [c for c in self.columns if c in df.columns]:
-            table = self.codes.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col("code").alias("_c"))
-            out = (out.withColumn("_v", self._text(out, c)).join(table, "_v", "left")
-                   .withColumn(c, F.coalesce(F.col("_c"), F.lit(self.other[c]))).drop("_v", "_c"))
-        return out.select(*df.columns)
+    def transform(self, df: DataFrame, **options) -> DataFrame:
+        here = [c for c in self.columns if c in df.columns]
+        keys = {c: self._text(df, c) for c in here}
+        out = attach(df, keys, self.codes, {c: {f"_code_{c}": "code"} for c in here}, **options)
+        made = {c: F.coalesce(F.col(f"_code_{c}"), F.lit(self.other[c])) for c in here}
+        return out.withColumns(made).select(*df.columns) if made else df
 
 
 class OneHotEncoder:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import clock
 from riskloom.functions.bins import labelled
-from riskloom.operators.keyed import attach, columns_as_keys, key_rows
+from riskloom.operators.keyed import attach, columns_as_keys, key_rows, key_table
 from riskloom.session import written
 
 TIME, ROW_ID, AMOUNT = "TransactionDT", "TransactionID", "TransactionAmt"
@@ -127,7 +127,7 @@ def _gap_table(timeline: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _attach_gaps(df: DataFrame, table: DataFrame, keys: Sequence[str], gaps: Mapping[str, str]) -> DataFrame:
     """Gap statistics per key, and a flag where the row's own gap (column ``gaps[key]``) is far from the mean."""
     outputs = {k: {f"{k}_{p}": p for p in GAP_PARTS} for k in keys}
-    out = attach(df, columns_as_keys(df, keys), table, outputs)
+    out = attach(df, columns_as_keys(df, keys), key_table(table), outputs)
     far = {f"{k}_unusual_gap": F.coalesce(
         F.abs(F.col(gaps[k]) - F.col(f"{k}_mean_gap")) > 2 * F.col(f"{k}_std_gap"), F.lit(False)).cast("int") for k in keys}
     return out.withColumns(far)
@@ -183,7 +183,7 @@ def create_rfm_features(df: DataFrame, keys: Sequence[str] = RFM_KEYS) -> tuple[
              + F.try_divide(F.col("monetary_total"), F.col("_m") + 1))
     table = groups.join(F.broadcast(tops), "name").withColumn("rfm_score", score).drop("_f", "_m")
     outputs = {k: {f"{k}_{p}": p for p in RFM_PARTS} for k in keys}
-    out = attach(df, columns, table, outputs)
+    out = attach(df, columns, key_table(table), outputs)
     names = [c for k in keys for c in outputs[k]]
     return out.select(*df.columns, *names), names
 

@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from riskloom.operators import folds as fold_rules
 from riskloom.operators.ensemble import mean_prediction, model_aucs, optimize_weights, prediction_uncertainty
 from riskloom.operators.evaluation import grouped_auc
-from riskloom.operators.ordering import ordered_positions
 from riskloom.session import shared_folder, written
 from riskloom.sources.tables import read_settings, write_settings
 
@@ -200,18 +199,14 @@ def _foldable(df: DataFrame, features: Sequence[str], strategy: str, k: int, see
     """The written training frame with a position or fold column, and (train test, valid test) per fold."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy}; choose from {STRATEGIES}")
-    rows = assembled(df, features)
     if strategy in ("time_series", "contiguous"):
-        place = ordered_positions(df, [TIME, ID]).select(ID, "row_pos")
-        rows = written(rows.join(place, ID))
-        n = rows.count()
-        pos = F.col("row_pos")
+        rows = written(assembled(df, features, keep=(ID, TIME)))
         if strategy == "time_series":
-            return rows, [(pos < s, (pos >= s) & (pos < e)) for s, e in fold_rules.time_series_bounds(n, k)]
-        fold = fold_rules.contiguous_fold(pos, n, k)
+            return rows, fold_rules.fold_tests(rows, fold_rules.time_series_bounds(rows.count(), k))
+        fold = fold_rules.contiguous_fold(rows, k)
         return rows, [(fold != i, fold == i) for i in range(k)]
     assign = fold_rules.stratified_folds if strategy == "stratified" else fold_rules.shuffled_folds
-    rows = written(rows.join(assign(df, k, seed), ID))
+    rows = written(assembled(df, features).join(assign(df, k, seed), ID))
     return rows, [(F.col("fold") != i, F.col("fold") == i) for i in range(k)]
 
 

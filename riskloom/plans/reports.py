@@ -296,7 +296,8 @@ register(
 
 register(
     "row_index", "o_orderkey:i row_pos:i",
-    lambda spark, sf: ordering.ordered_positions(fixture.table(spark, sf, "orders"), ["o_orderdate", "o_orderkey"]),
+    lambda spark, sf: ordering.row_index(
+        fixture.table(spark, sf, "orders").select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"]),
     "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row_pos FROM orders")
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -38,6 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
     app_id = spark.sparkContext.applicationId
     if app_id not in _local_roots:
         _local_roots[app_id] = tempfile.mkdtemp(prefix="riskloom-")
+        atexit.register(shutil.rmtree, _local_roots[app_id], ignore_errors=True)
     return _local_roots[app_id]
 
 
