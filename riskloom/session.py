@@ -32,7 +32,7 @@ def build_session(app_name: str = "riskloom", master: str | None = None, **extra
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir. Only a local session may do without one."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
