@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.keys import combined
-from riskloom.operators.group_stats import GroupRequest, attach_group_stats, value_frequency
+from riskloom.operators.group_stats import GroupRequest, GroupStats, attach_group_stats, value_frequency
 
 EPSILON = 1e-5
 
@@ -66,7 +66,7 @@ def with_composites(df: DataFrame, requests: Sequence[GroupRequest]) -> DataFram
     })
 
 
-def _derived(columns: Sequence[str], prefixes: set[str], value: str) -> dict:
+def derived_columns(columns: Sequence[str], prefixes: set[str], value: str) -> dict:
     """Ratios and differences computed from the attached statistics."""
     have, out, amount = set(columns), {}, F.col(value)
     if "card1" in prefixes and "card1_mean" in have:
@@ -87,15 +87,17 @@ def _derived(columns: Sequence[str], prefixes: set[str], value: str) -> dict:
 
 def aggregation_features(df: DataFrame, target_col: str = "TransactionAmt",
                          families: Sequence[str] = tuple(FAMILIES),
-                         prefixes: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
+                         prefixes: Sequence[str] | None = None,
+                         source: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """Attach the statistics of the chosen families; returns the frame and the feature names.
 
-    ``prefixes`` narrows a family to some of its requests.
+    ``prefixes`` narrows a family to some of its requests. Groups are formed from ``source`` (the
+    frame itself by default), which keeps their plans free of whatever was attached to ``df`` before.
     """
     requests = [r for f in families for r in FAMILIES[f] if prefixes is None or r.prefix in prefixes]
-    keyed = with_composites(df, requests)
-    out = attach_group_stats(keyed, target_col, requests)
-    out = out.withColumns(_derived(out.columns, {r.prefix for r in requests}, target_col) or {})
+    learnt = GroupStats(target_col, requests).fit(with_composites(df if source is None else source, requests))
+    out = learnt.transform(with_composites(df, requests))
+    out = out.withColumns(derived_columns(out.columns, {r.prefix for r in requests}, target_col) or {})
     composite_keys = set(COMPOSITES)
     names = [c for c in out.columns if c not in df.columns and c not in composite_keys]
     return out, names
@@ -121,8 +123,9 @@ def create_address_aggregations(df: DataFrame, target_col: str = "TransactionAmt
     return aggregation_features(df, target_col, ["address"])[0]
 
 
-def create_aggregation_features(df: DataFrame, target_col: str = "TransactionAmt") -> tuple[DataFrame, list[str]]:
-    return aggregation_features(df, target_col)
+def create_aggregation_features(df: DataFrame, target_col: str = "TransactionAmt",
+                                source: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+    return aggregation_features(df, target_col, source=source)
 
 
 def kernel_aggregations(df: DataFrame, value: str = "TransactionAmt") -> DataFrame:

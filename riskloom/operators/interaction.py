@@ -70,11 +70,13 @@ _FOLD_MARK = "\u0001"
 
 def combination_features(df: DataFrame, combos: dict[str, tuple[str, ...]], target: str | None = "isFraud",
                          mode: str = "in_sample", folds: int = 5, seed: int = 42,
-                         row_id: str = "TransactionID", **options) -> tuple[DataFrame, list[str]]:
+                         row_id: str = "TransactionID", source: DataFrame | None = None,
+                         **options) -> tuple[DataFrame, list[str]]:
     """Add the composite key, ``<combo>_count`` and, with a target, ``<combo>_fraud_rate``.
 
     mode ``in_sample`` uses every row of the group, its own included. ``out_of_fold`` uses only the
     rows of other folds: one (key, fold) aggregation, other-fold sums = total minus own fold.
+    Groups are formed from ``source``, the frame itself by default.
     """
     have = set(df.columns)
     combos = {n: p for n, p in combos.items() if set(p) <= have}
@@ -83,19 +85,21 @@ def combination_features(df: DataFrame, combos: dict[str, tuple[str, ...]], targ
     with_target = target is not None and target in have
     base = df.withColumns({n: combined(*p) for n, p in combos.items()})
     keys = columns_as_keys(base, list(combos))
+    source = df if source is None else source
+    parts = {n: combined(*p) for n, p in combos.items()}
     outputs = {n: {f"{n}_count": "n_all", **({f"{n}_fraud_rate": "rate"} if with_target else {})} for n in combos}
     if not with_target:
-        table = key_rows(base, keys).groupBy("name", "key").agg(F.count("*").alias("n")).withColumn("n_all", F.col("n"))
+        table = key_rows(source, parts).groupBy("name", "key").agg(F.count("*").alias("n")).withColumn("n_all", F.col("n"))
     elif mode == "in_sample":
-        overall = df.agg(F.avg(target)).scalar()
-        stats = key_rows(base, keys, [target]).groupBy("name", "key").agg(
+        overall = source.agg(F.avg(target)).scalar()
+        stats = key_rows(source, parts, [target]).groupBy("name", "key").agg(
             F.count("*").alias("n"), F.sum(target).alias("pos"), F.count(target).alias("lab"))
         table = stats.select("name", "key", "n", F.col("n").alias("n_all"), F.coalesce(
             _smoothed(F.coalesce("pos", F.lit(0)), F.col("lab"), overall), overall).alias("rate"))
     elif mode == "out_of_fold":
-        overall = df.agg(F.avg(target)).scalar()
+        overall = source.agg(F.avg(target)).scalar()
         own = _fold_of(row_id, folds, seed)
-        per_fold = key_rows(base, keys, [F.col(target), own.alias("fold")]).groupBy("name", "key", "fold").agg(
+        per_fold = key_rows(source, parts, [F.col(target), own.alias("fold")]).groupBy("name", "key", "fold").agg(
             F.count("*").alias("n"), F.coalesce(F.sum(target), F.lit(0)).alias("pos"), F.count(target).alias("lab"))
         total = per_fold.groupBy("name", "key").agg(
             F.sum("n").alias("n_all"), F.sum("pos").alias("all_pos"), F.sum("lab").alias("all_lab"))
@@ -111,21 +115,23 @@ def combination_features(df: DataFrame, combos: dict[str, tuple[str, ...]], targ
 
 
 def interaction_features(df: DataFrame, families: Sequence[str] = tuple(FAMILIES), target: str | None = "isFraud",
-                         mode: str = "in_sample") -> tuple[DataFrame, list[str]]:
+                         mode: str = "in_sample", source: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """Composite features of the chosen families; the amount band is added where it is needed."""
     names: list[str] = []
     base = df
     if "amt_product" in families and {"TransactionAmt", "ProductCD"} <= set(df.columns):
         base = base.withColumn("amt_bin", amount_band(F.col("TransactionAmt")))
+        source = None if source is None else source.withColumn("amt_bin", amount_band(F.col("TransactionAmt")))
         names.append("amt_bin")
     combos = {n: p for f in families for n, p in FAMILIES[f].items()}
-    out, made = combination_features(base, combos, target, mode)
+    out, made = combination_features(base, combos, target, mode, source=source)
     return out, names + made
 
 
-def create_interaction_features(df: DataFrame, mode: str = "out_of_fold") -> tuple[DataFrame, list[str]]:
+def create_interaction_features(df: DataFrame, mode: str = "out_of_fold",
+                                source: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """All interaction features. The default keeps a row's own label out of its rate."""
-    return interaction_features(df, mode=mode)
+    return interaction_features(df, mode=mode, source=source)
 
 
 class RateEncoder:

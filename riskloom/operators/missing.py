@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.nulls import is_missing, missing_in
-from riskloom.operators.group_stats import GroupRequest, attach_group_stats
+from riskloom.operators.group_stats import GroupRequest, GroupStats
 
 # Columns that are neither profiled for indicators nor features.
 NOT_FEATURES = ("isFraud", "TransactionID")
@@ -33,7 +33,13 @@ CRITICAL = ("TransactionAmt", "ProductCD", "card1", "card2")
 
 
 def _flag(test: Column) -> Column:
-    return test.cast("int")
+    """1 / 0. Written as a choice, not a cast: a flag that equals a term of the row sums would make the
+    optimizer restate every sum once per combination of flags."""
+    return F.when(test, 1).otherwise(0)
+
+
+def missing_flag(df: DataFrame, name: str) -> Column:
+    return _flag(is_missing(df, name))
 
 
 def prefix_groups(columns: Sequence[str]) -> dict[str, list[str]]:
@@ -63,7 +69,7 @@ def create_basic_missing_indicators(df: DataFrame, source: DataFrame | None = No
     rates = missing_rates(source if source is not None else df)
     flagged = [c for c in df.columns if rates.get(c, 0.0) > INDICATOR_RATE and c not in NOT_FEATURES][:INDICATOR_LIMIT]
     out, names = row_missing(df)
-    made = {f"{c}_ismissing": _flag(is_missing(df, c)) for c in flagged}
+    made = {f"{c}_ismissing": missing_flag(df, c) for c in flagged}
     return (out.withColumns(made) if made else out), names + list(made)
 
 
@@ -98,7 +104,7 @@ def create_card_missing_patterns(df: DataFrame, columns: Sequence[str] | None =
         return df, []
     count = missing_in(df, cards)
     made = {"card_missing_count": count, "card_missing_pct": count / len(cards),
-            **{f"{c}_missing": _flag(is_missing(df, c)) for c in cards}}
+            **{f"{c}_missing": missing_flag(df, c) for c in cards}}
     return df.withColumns(made), list(made)
 
 
@@ -126,14 +132,14 @@ def create_unusual_missing_patterns(df: DataFrame, columns: Sequence[str] | None
     return (df.withColumns(made) if made else df), list(made)
 
 
-def create_missing_interaction_features(df: DataFrame) -> tuple[DataFrame, list[str]]:
+def create_missing_interaction_features(df: DataFrame, source: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """The row's missing count next to the mean of its product, card and purchaser e-mail domain."""
     if "total_missing_count" not in df.columns:
         return df, []
     targets = {"ProductCD": "ProductCD_avg_missing", "card1": "card1_avg_missing", "P_emaildomain": "email_avg_missing"}
     present = {k: name for k, name in targets.items() if k in df.columns}
-    # All groups are formed from the frame as given, before any of the joins.
-    out = attach_group_stats(df, "total_missing_count", [GroupRequest(k, f"_{k}", ("mean",)) for k in present])
+    requests = [GroupRequest(k, f"_{k}", ("mean",)) for k in present]
+    out = GroupStats("total_missing_count", requests).fit(df if source is None else source).transform(df)
     out = out.withColumnsRenamed({f"_{k}_mean": name for k, name in present.items()})
     names = list(present.values())
     if "ProductCD" in present:
@@ -151,7 +157,7 @@ def create_missing_value_features(df: DataFrame) -> tuple[DataFrame, list[str]]:
         create_cooccurrence_features,
         lambda d: create_card_missing_patterns(d, columns),
         lambda d: create_unusual_missing_patterns(d, columns),
-        create_missing_interaction_features,
+        lambda d: create_missing_interaction_features(d, row_missing(df)[0]),
     ):
         out, made = step(out)
         names += made

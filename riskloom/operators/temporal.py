@@ -165,14 +165,16 @@ def create_transaction_gap_features(df: DataFrame, keys: Sequence[str] = GAP_KEY
     return out.select(*df.columns, *_gap_names(keys)), _gap_names(keys)
 
 
-def create_rfm_features(df: DataFrame, keys: Sequence[str] = RFM_KEYS) -> tuple[DataFrame, list[str]]:
+def create_rfm_features(df: DataFrame, keys: Sequence[str] = RFM_KEYS,
+                        source: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """Recency (hours), frequency, monetary total / mean / std and their simple score, per key."""
     keys = _present(df, keys)
     if not {TIME, AMOUNT} <= set(df.columns):
         return df, []
-    latest = df.agg(F.max(TIME)).scalar()
+    source = df if source is None else source
+    latest = source.agg(F.max(TIME)).scalar()
     columns = columns_as_keys(df, keys)
-    groups = key_rows(df, columns, [F.col(TIME).alias("at"), F.col(AMOUNT).alias("amount")]).groupBy("name", "key").agg(
+    groups = key_rows(source, columns, [F.col(TIME).alias("at"), F.col(AMOUNT).alias("amount")]).groupBy("name", "key").agg(
         F.count("*").alias("n"), F.max("at").alias("last"), F.count("at").alias("frequency"),
         F.sum("amount").alias("monetary_total"), F.avg("amount").alias("monetary_mean"),
         F.stddev_samp("amount").alias("monetary_std"))
@@ -215,10 +217,15 @@ def create_time_pattern_features(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return base.withColumns(made), [*clocked, *made]
 
 
-def create_temporal_features(df: DataFrame, include_velocity: bool = True) -> tuple[DataFrame, list[str]]:
-    """All temporal features; since, velocity and gap features share one key timeline."""
+def create_temporal_features(df: DataFrame, include_velocity: bool = True,
+                             source: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+    """All temporal features; since, velocity and gap features share one key timeline.
+
+    Timelines and groups are formed from ``source``, the frame itself by default.
+    """
     if TIME not in df.columns:
         return df, []
+    source = df if source is None else source
     since, gaps = _present(df, SINCE_KEYS), _present(df, GAP_KEYS)
     fast = _present(df, VELOCITY_KEYS) if include_velocity else []
     windows = VELOCITY_WINDOWS if include_velocity else {}
@@ -226,11 +233,11 @@ def create_temporal_features(df: DataFrame, include_velocity: bool = True) -> tu
     out, names = df, []
     if keys:
         wanted = {**_since_columns(since), **_velocity_columns(fast, windows)}
-        timeline = key_timeline(df, keys, windows)
+        timeline = key_timeline(source, keys, windows)
         own = {f"_gap_{k}": (k, "gap") for k in gaps}
         out = _attach(df, _spread(timeline, {**wanted, **own}), list(_velocity_columns(fast, windows)))
         out = _attach_gaps(out, _gap_table(timeline, gaps), gaps, {k: f"_gap_{k}" for k in gaps}).drop(*own)
         names = [*wanted, *_gap_names(gaps)]
-    out, rfm = create_rfm_features(out)
+    out, rfm = create_rfm_features(out, source=source)
     out, pattern = create_time_pattern_features(out)
     return out, names + rfm + pattern

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.operators import aggregation, interaction, temporal
+from riskloom.operators import aggregation, interaction, pipeline, temporal
 from riskloom.plans import fixture
 from riskloom.plans.registry import register
 
@@ -319,3 +319,24 @@ JOIN (SELECT TransactionID, {_vel_picks} FROM ful) USING (TransactionID)
 JOIN ({_rfm_text}) USING (TransactionID)
 JOIN ({_PATTERN_SQL}) USING (TransactionID)
 JOIN ({_gap_text}) USING (TransactionID)""")
+
+
+# --- everything ------------------------------------------------------------------------------
+
+_FINAL = "card1_mean:d card1_median:d ProductCD_median:d addr_comb_count:i card1_addr1_ProductCD_count:i"
+register(
+    "features_all",
+    f"{ID} total_missing_count:i {_FINAL} " + " ".join(
+        c for c in " ".join([_vel_cols, _rfm_cols, _gap_cols]).split() if c != ID),
+    lambda spark, sf: pipeline.build_features(fixture.joined(spark, sf))[0],
+    f"""WITH {_KEYED}, m AS (SELECT TransactionID, total_missing_count FROM (SELECT TransactionID, {' + '.join(
+        f'CAST({c} IS NULL AS INT)' for c in (
+            'card2', 'card4', 'card5', 'card6', 'addr1', 'addr2', 'P_emaildomain', 'R_emaildomain', 'D1', 'D2', 'M1', 'M2', 'V3',
+            'DeviceType', 'DeviceInfo', 'id_30', 'id_31', 'id_33'))} AS total_missing_count FROM ful)),
+c AS (SELECT TransactionID, avg(TransactionAmt) OVER (PARTITION BY card1) AS card1_mean, quantile_cont(TransactionAmt, 0.5) OVER
+  (PARTITION BY card1) AS card1_median, quantile_cont(TransactionAmt, 0.5) OVER (PARTITION BY ProductCD) AS ProductCD_median,
+  count(*) OVER (PARTITION BY addr_combined) AS addr_comb_count, count(*) OVER (PARTITION BY
+  {_sql_combo('card1', 'addr1', 'ProductCD')}) AS card1_addr1_ProductCD_count FROM keyed)
+--
+SELECT * FROM m JOIN c USING (TransactionID) JOIN (SELECT TransactionID, {_vel_picks} FROM ful) USING (TransactionID)
+JOIN ({_rfm_text}) USING (TransactionID) JOIN ({_gap_text}) USING (TransactionID)""")
