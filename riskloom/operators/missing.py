@@ -56,19 +56,19 @@ def missing_rates(df: DataFrame) -> dict[str, float]:
     return {c: (row[f"_{i}"] / total if total else 0.0) for i, c in enumerate(df.columns)}
 
 
-def row_missing(df: DataFrame) -> tuple[DataFrame, list[str]]:
+def row_missing(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
     """total_missing_count and its share of the profiled columns."""
-    count = missing_in(df, df.columns)
-    out = df.withColumn("total_missing_count", count).withColumn(
-        "total_missing_pct", F.col("total_missing_count") / len(df.columns))
+    columns = columns or df.columns
+    out = df.withColumn("total_missing_count", missing_in(df, columns)).withColumn(
+        "total_missing_pct", F.col("total_missing_count") / len(columns))
     return out, ["total_missing_count", "total_missing_pct"]
 
 
 def create_basic_missing_indicators(df: DataFrame, source: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """Row totals plus ``<c>_ismissing`` for the first columns whose missing rate is above 5 %."""
-    rates = missing_rates(source if source is not None else df)
-    flagged = [c for c in df.columns if rates.get(c, 0.0) > INDICATOR_RATE and c not in NOT_FEATURES][:INDICATOR_LIMIT]
-    out, names = row_missing(df)
+    rates = missing_rates(df if source is None else source)
+    flagged = [c for c, r in rates.items() if r > INDICATOR_RATE and c not in NOT_FEATURES][:INDICATOR_LIMIT]
+    out, names = row_missing(df, list(rates))
     made = {f"{c}_ismissing": missing_flag(df, c) for c in flagged}
     return (out.withColumns(made) if made else out), names + list(made)
 
@@ -108,7 +108,8 @@ def create_card_missing_patterns(df: DataFrame, columns: Sequence[str] | None =
     return df.withColumns(made), list(made)
 
 
-def create_unusual_missing_patterns(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
+def create_unusual_missing_patterns(df: DataFrame, columns: Sequence[str] | None = None,
+                                    source: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     columns = list(columns or df.columns)
     have, made = set(columns), {}
     critical = [c for c in CRITICAL if c in have]
@@ -126,7 +127,7 @@ def create_unusual_missing_patterns(df: DataFrame, columns: Sequence[str] | None
     if len(v_columns) > 50:
         made["high_V_missing"] = _flag(missing_in(df, v_columns) > len(v_columns) * 0.7)
     if "total_missing_pct" in df.columns:
-        average = df.agg(F.avg("total_missing_pct")).scalar()
+        average = (df if source is None else source).agg(F.avg("total_missing_pct")).scalar()
         made["missing_above_avg"] = _flag(F.col("total_missing_pct") > average * 1.5)
         made["missing_below_avg"] = _flag(F.col("total_missing_pct") < average * 0.5)
     return (df.withColumns(made) if made else df), list(made)
@@ -148,16 +149,17 @@ def create_missing_interaction_features(df: DataFrame, source: DataFrame | None
     return out, names
 
 
-def create_missing_value_features(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    """All missingness features."""
-    columns, names, out = df.columns, [], df
+def create_missing_value_features(df: DataFrame, source: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+    """All missingness features of the columns of ``source`` (the frame itself by default)."""
+    source = df if source is None else source
+    columns, names, out = source.columns, [], df
     for step in (
-        create_basic_missing_indicators,
+        lambda d: create_basic_missing_indicators(d, source),
         lambda d: create_group_missing_features(d, columns),
         create_cooccurrence_features,
         lambda d: create_card_missing_patterns(d, columns),
-        lambda d: create_unusual_missing_patterns(d, columns),
-        lambda d: create_missing_interaction_features(d, row_missing(df)[0]),
+        lambda d: create_unusual_missing_patterns(d, columns, row_missing(source)[0]),
+        lambda d: create_missing_interaction_features(d, row_missing(source)[0]),
     ):
         out, made = step(out)
         names += made

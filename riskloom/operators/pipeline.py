@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import aggregation, interaction, missing, temporal
@@ -16,20 +16,36 @@ FAMILIES = ("missing", "aggregation", "interaction", "temporal")
 
 def build_features(df: DataFrame, families: Sequence[str] = FAMILIES, rate_mode: str = "out_of_fold",
                    include_velocity: bool = True) -> tuple[DataFrame, dict[str, list[str]]]:
-    """All features of one frame and their names per family; missingness first, on the input columns alone."""
+    """All features of one frame and their names per family; every family looks at the input columns alone."""
     unknown = set(families) - set(FAMILIES)
     if unknown:
         raise ValueError(f"unknown families {sorted(unknown)}")
+    # Most look-ups first, while rows are narrow; the missingness flags are plain expressions and come last.
     steps = {
-        "missing": missing.create_missing_value_features,
+        "temporal": lambda d: temporal.create_temporal_features(d, include_velocity, source=df),
         "aggregation": lambda d: aggregation.create_aggregation_features(d, source=df),
         "interaction": lambda d: interaction.create_interaction_features(d, rate_mode, source=df),
-        "temporal": lambda d: temporal.create_temporal_features(d, include_velocity, source=df),
+        "missing": lambda d: missing.create_missing_value_features(d, source=df),
     }
     out, names = df, {}
-    for family in families:
-        out, names[family] = steps[family](out)
-    return out, names
+    for family, step in steps.items():
+        if family in families:
+            out, names[family] = step(out)
+    compile_wide_rows(df.sparkSession, len(out.columns))
+    added = [c for c in out.columns if c not in df.columns]
+    placed = [c for f in FAMILIES for c in names.get(f, [])]
+    return out.select(*df.columns, *placed, *[c for c in added if c not in set(placed)]), {
+        f: names[f] for f in FAMILIES if f in names}
+
+
+def compile_wide_rows(spark: SparkSession, columns: int) -> None:
+    """Raise the session's column limit for compiled stages to twice the width of the result.
+
+    Beyond the limit (100 by default) every look-up copies the wide row in interpreted steps.
+    """
+    name = "spark.sql.codegen.maxFields"
+    if int(spark.conf.get(name)) < 2 * columns:
+        spark.conf.set(name, str(2 * columns))
 
 
 class FeatureBuilder:

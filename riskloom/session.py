@@ -22,6 +22,8 @@ def build_session(app_name: str = "riskloom", master: str | None = None, **extra
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Feature frames have hundreds of columns; stages stay compiled up to this width.
+        "spark.sql.codegen.maxFields": "2000",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **extra,
     }
