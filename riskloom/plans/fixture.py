@@ -9,10 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.sources.tables import spread_over_cores
+
 # Fixed value: epoch second of 2024-01-01 00:00:00 UTC.
 EVENT_START = 1704067200
 
 
+def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_over_cores(table(spark, sf_dir, "events"), "event_id")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -21,7 +27,7 @@ _KEY = "cast(regexp_extract(props, '[0-9]+', 0) as int)"
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").selectExpr(
+    events = events_table(spark, sf_dir).selectExpr(
         "event_id AS id", "user_id AS u", "event_type", "value",
         "unix_timestamp(cast(ts AS timestamp)) AS second", f"{_KEY} AS k")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -85,7 +91,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").where("event_id % 4 = 0")
+    events = events_table(spark, sf_dir).where("event_id % 4 = 0")
     return _selected(events.selectExpr("event_id", f"{_KEY} AS k"), _IDENTITY)
 
 
@@ -95,7 +101,7 @@ def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three score columns with many ties, next to the label."""
-    events = table(spark, sf_dir, "events")
+    events = events_table(spark, sf_dir)
     return _selected(events.selectExpr("event_id", "user_id", f"{_KEY} AS k"), _SCORES)
 
 

@@ -45,6 +45,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return nan_to_null(reader.parquet(path))
 
 
+def spread_over_cores(df: DataFrame, key: str) -> DataFrame:
+    """Hash a scan with fewer splits than cores by ``key`` (few or unsplittable files); others stay as they are.
+
+    A large table always has more splits than cores and is never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def load_data(spark: SparkSession, transactions: str, identities: str, test_transactions: str | None = None,
               test_identities: str | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Left-join identity attributes to transactions, for the training and optionally the test tables."""
