@@ -102,7 +102,7 @@ def weight_grid(df: DataFrame, columns: Sequence[str], label: str = LABEL, steps
     span = order.groupBy("position").agg(F.min("neg_before").alias("_n0"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     wins = F.sum(F.col("pos").cast("double") * (F.col("neg_before") - F.col("_n0") + F.col("neg") / 2))
     pairs = F.max("_p").cast("double") * F.max("_n").cast("double")
-    aucs = order.join(span, "position").groupBy("position").agg(F.try_divide(wins, pairs).alias("auc"))
+    aucs = order.join(F.broadcast(span), "position").groupBy("position").agg(F.try_divide(wins, pairs).alias("auc"))
     weight = [F.element_at(F.array(*[F.lit(v[j]) for v in grid]), F.col("position") + 1).alias(f"w{j + 1}")
               for j in range(len(columns))]
     return aucs.select("position", *weight, "auc")

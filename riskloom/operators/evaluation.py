@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.stats import share
+from riskloom.operators.keyed import join_totals
 from riskloom.operators.ordering import running_totals
 from riskloom.operators.quantiles import exact_quantiles, stacked
 
@@ -27,8 +28,8 @@ def _score_steps(df: DataFrame, keys: Sequence[str], score: str, label: str) ->
     steps = running_totals(counts, [*keys, score], ["pos", "neg"])
     span = steps.groupBy(*keys).agg(
         F.min("pos_before").alias("_p0"), F.min("neg_before").alias("_n0"),
-        F.sum("pos").alias("pos_total"), F.sum("neg").alias("neg_total"))
-    return steps.join(span, list(keys)).select(
+        F.sum("pos").alias("pos_total"), F.sum("neg").alias("neg_total"), F.count("*").alias("_rows"))
+    return join_totals(steps, span, keys, "_rows").select(
         *keys, score, "pos", "neg", "pos_total", "neg_total",
         (F.col("pos_before") - F.col("_p0")).alias("pos_below"),
         (F.col("neg_before") - F.col("_n0")).alias("neg_below"))

@@ -91,3 +91,18 @@ def attach(df: DataFrame, keys: Mapping[str, Column], table: KeyTable, outputs:
     spread = found.groupBy(row_id).agg(
         *[F.max(F.when(F.col("name") == n, F.col(c))).alias(o) for n in large for o, c in outputs[n].items()])
     return out.join(spread, row_id, "left")
+
+
+def join_totals(rows: DataFrame, totals: DataFrame, keys: Sequence[str], size: str) -> DataFrame:
+    """Join per-group totals to the rows of their groups without gathering a large group in one task.
+
+    ``size`` is the column of ``totals`` with the number of rows of the group. Groups with more than
+    1 / HOT_SHARE of all rows, fewer than HOT_SHARE of them, are broadcast; the others are shuffled.
+    """
+    keys = list(keys)
+    bar = totals.agg(F.sum(size)).scalar() / HOT_SHARE
+    marked = totals.withColumn("_bar", bar)
+    hot = marked.where(F.col(size) > F.col("_bar")).drop("_bar", size)
+    cold = marked.where(F.col(size) <= F.col("_bar")).drop("_bar", size)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(cold, keys))

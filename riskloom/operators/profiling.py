@@ -157,9 +157,9 @@ def rank_sum_test(df: DataFrame, columns: Sequence[str], label: str = LABEL) ->
     counts = long.groupBy("feature", "value").agg(
         F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("ones"))
     steps = running_totals(counts, ["feature", "value"], ["n"])
-    start = F.min("n_before").alias("start")
-    base = steps.groupBy("feature").agg(start)
-    placed = steps.join(base, "feature").withColumn(
+    # One row per profiled column.
+    base = steps.groupBy("feature").agg(F.min("n_before").alias("start"))
+    placed = steps.join(F.broadcast(base), "feature").withColumn(
         "rank", F.col("n_before") - F.col("start") + (F.col("n") + 1) / 2)
     n, ties = F.col("n").cast("double"), F.pow(F.col("n").cast("double"), F.lit(3.0))
     sums = placed.groupBy("feature").agg(

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.operators.keyed import join_totals
 from riskloom.operators.ordering import running_totals
 
 
@@ -27,8 +28,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     source = present if keys else present.withColumn("_all", F.lit(0))
     counts = source.groupBy(*group, value).agg(F.count("*").alias("n"))
     steps = running_totals(counts.withColumn(value, F.col(value).cast("double")), [*group, value], ["n"])
-    span = steps.groupBy(*group).agg(F.min("n_before").alias("_start"), F.sum("n").alias("_total"))
-    placed = steps.join(span, group).withColumn("_at", F.col("n_before") - F.col("_start"))
+    span = steps.groupBy(*group).agg(
+        F.min("n_before").alias("_start"), F.sum("n").alias("_total"), F.count("*").alias("_rows"))
+    placed = join_totals(steps, span, group, "_rows").withColumn("_at", F.col("n_before") - F.col("_start"))
     picks = []
     for name, p in probs.items():
         spot = F.lit(float(p)) * (F.col("_total") - 1)
