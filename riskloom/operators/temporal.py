@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import clock
 from riskloom.functions.bins import labelled
 from riskloom.operators.keyed import attach, columns_as_keys, key_rows, key_table
+from riskloom.operators.ordering import row_index
 from riskloom.session import written
 
 TIME, ROW_ID, AMOUNT = "TransactionDT", "TransactionID", "TransactionAmt"
@@ -36,13 +37,12 @@ def _present(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [k for k in keys if k in df.columns]
 
 
-def _ticks(rows: DataFrame, windows: Mapping[str, int]) -> DataFrame:
+def _ticks(seconds: DataFrame, windows: Mapping[str, int]) -> DataFrame:
     """One row per (key name, key, second) that occurs, with what happened strictly before it.
 
     n_before: rows earlier than this second; prev_at: the latest earlier second; first_at: the first
     second of the key; v_<w>: rows in [at - w, at).
     """
-    seconds = rows.groupBy(*_TICK).agg(F.count("*").alias("n"))
     labels = list(windows)
     zero = F.lit(0).cast("long")
     if labels:
@@ -78,15 +78,34 @@ def _ticks(rows: DataFrame, windows: Mapping[str, int]) -> DataFrame:
         *[(total["n"] - total[f"out_{w}"]).alias(f"v_{w}") for w in labels])
 
 
-def key_timeline(df: DataFrame, keys: Sequence[str], windows: Mapping[str, int] | None = None) -> DataFrame:
+# A key's rows of one second are ordered in one task up to this number.
+CROWD_LIMIT = 1_000_000
+
+
+def _placed(rows: DataFrame, seconds: DataFrame, ticks: DataFrame, crowd_limit: int) -> DataFrame:
+    """Rows with their tick's columns and ``_r``, their 1-based place among the rows of the tick."""
+    same_second = Window.partitionBy(*_TICK).orderBy(ROW_ID)
+    crowded = seconds.where(F.col("n") > crowd_limit).select(*_TICK)
+    if crowded.isEmpty():
+        return rows.withColumn("_r", F.row_number().over(same_second)).join(ticks, _TICK)
+    # Crowded ticks number at most rows / crowd_limit; their rows are placed by a global order.
+    calm = rows.join(F.broadcast(crowded), _TICK, "left_anti").withColumn("_r", F.row_number().over(same_second))
+    packed = row_index(rows.join(F.broadcast(crowded), _TICK), [*_TICK, ROW_ID], "_pos")
+    starts = packed.groupBy(*_TICK).agg(F.min("_pos").alias("_start"))
+    packed = packed.join(F.broadcast(starts), _TICK).withColumn("_r", F.col("_pos") - F.col("_start") + 1)
+    few = ticks.join(F.broadcast(crowded), _TICK, "left_semi")
+    return calm.join(ticks, _TICK).unionByName(packed.drop("_pos", "_start").join(F.broadcast(few), _TICK))
+
+
+def key_timeline(df: DataFrame, keys: Sequence[str], windows: Mapping[str, int] | None = None,
+                 crowd_limit: int = CROWD_LIMIT) -> DataFrame:
     """Per (row, key name): gap to the previous row, hours since the first, running count, velocities.
 
     Rows of one key in the same second are ordered by row id.
     """
     rows = key_rows(df, columns_as_keys(df, keys), [ROW_ID, F.col(TIME).alias("at")]).where(F.col("at").isNotNull())
-    ticks = _ticks(rows, windows or {})
-    same_second = Window.partitionBy(*_TICK).orderBy(ROW_ID)
-    placed = rows.withColumn("_r", F.row_number().over(same_second)).join(ticks, _TICK)
+    seconds = written(rows.groupBy(*_TICK).agg(F.count("*").alias("n")))
+    placed = _placed(rows, seconds, _ticks(seconds, windows or {}), crowd_limit)
     gap = F.when(F.col("_r") > 1, F.lit(0.0)).otherwise((F.col("at") - F.col("prev_at")) / clock.HOUR)
     return placed.select(
         ROW_ID, "name", "key", gap.alias("gap"),

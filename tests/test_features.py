@@ -155,6 +155,14 @@ def test_time_since_and_gaps_with_ties(spark):
         same(gaps[f"{key}_unusual_gap"], want["odd"])
 
 
+def test_crowded_seconds_give_the_same_timeline(spark):
+    df = frame(spark)
+    order = ["name", "TransactionID"]
+    plain = temporal.key_timeline(df, ["card1", "addr1"], temporal.VELOCITY_WINDOWS).orderBy(*order).collect()
+    split = temporal.key_timeline(df, ["card1", "addr1"], temporal.VELOCITY_WINDOWS, crowd_limit=2).orderBy(*order).collect()
+    assert [r.asDict() for r in plain] == [r.asDict() for r in split] and len(plain) > 600
+
+
 def test_rfm(spark):
     got = collected(temporal.create_rfm_features(frame(spark))[0])
     pdf = pandas_rows().sort_values("TransactionID").reset_index(drop=True)
