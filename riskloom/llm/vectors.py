@@ -48,10 +48,11 @@ def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, miss:
     return 1 if meet >= 1 else max(1, math.ceil(math.log(miss) / math.log1p(-meet)))
 
 
-def _unit(vectors: pd.Series) -> np.ndarray:
-    x = np.stack(vectors.to_list()).astype(np.float64)
-    x /= np.abs(x).max(axis=1, keepdims=True)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+def unit(vector: Column) -> Column:
+    """A usable vector at length 1; scaled by its largest part first, so that no square overflows."""
+    scaled = F.transform(vector, lambda v: v / F.array_max(F.transform(vector, F.abs)))
+    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda total, v: total + v * v))
+    return F.transform(scaled, lambda v: v / norm)
 
 
 def _same_length(frame: pd.DataFrame) -> list[pd.DataFrame]:
@@ -72,7 +73,7 @@ def projection_order(reps: DataFrame, passes: int, seed: int = 0) -> DataFrame:
             if len(batch):
                 for part in _same_length(batch):
                     dims = len(part["vector"].iloc[0])
-                    x = np.stack(part["vector"].to_list()).astype(np.float64) - centre[dims]
+                    x = np.stack(part["vector"].to_list()) - centre[dims]
                     for n in range(passes):
                         planes = np.random.default_rng([seed, n, dims]).standard_normal((dims, BITS))
                         bits = (x @ planes > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
@@ -91,7 +92,7 @@ def window_links(reps: DataFrame, threshold: float, passes: int, window: int = W
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         for part in _same_length(frame.drop_duplicates("gid")):
-            x, ids = _unit(part["vector"]), part["gid"].to_numpy()
+            x, ids = np.stack(part["vector"].to_list()), part["gid"].to_numpy()
             near = x @ x.T >= threshold
             low, label = None, np.arange(len(ids))
             while low is None or (low != label).any():
@@ -106,7 +107,7 @@ def window_links(reps: DataFrame, threshold: float, passes: int, window: int = W
 def link_counts(members: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
     """(gid, links): over the other vectors of a component that link directly, the sum of their copies.
 
-    ``members``: gid, component, vector, copies. A component of m vectors is dealt into m / block parts and
+    ``members``: gid, component, vector (at length 1), copies. A component of m vectors is dealt into m / block parts and
     each couple of parts is one task's work, so a task holds two parts and pairs are never rows. Small
     components share tasks.
     """
@@ -127,7 +128,7 @@ def link_counts(members: DataFrame, threshold: float, block: int = BLOCK) -> Dat
         for _, own in frame.groupby("component"):
             for part in _same_length(own):
                 if len(part) > 1:
-                    x, ids, weight = _unit(part["vector"]), part["gid"].to_numpy(), part["copies"].to_numpy()
+                    x, ids, weight = np.stack(part["vector"].to_list()), part["gid"].to_numpy(), part["copies"].to_numpy()
                     near = x @ x.T >= threshold
                     np.fill_diagonal(near, False)
                     if part["i"].iloc[0] != part["j"].iloc[0]:  # only pairs across the two parts
@@ -152,13 +153,13 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "e
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     fine = usable(F.col("vector")) & F.col("vec_id").isNotNull()
     groups = rows.where(fine).groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    groups = step(groups.withColumn("gid", F.monotonically_increasing_id()))
+    groups = step(groups.withColumns({"gid": F.monotonically_increasing_id(), "unit": unit(F.col("vector"))}))
     n = groups.count()
-    reps = groups.select("gid", "vector")
+    reps = groups.select("gid", F.col("unit").alias("vector"))
     edges = window_links(reps, threshold, passes or passes_for(n, threshold, window), window, seed)
     found = step(components(edges))
     members = groups.join(found, groups.gid == found.node).drop("node")
-    links = step(link_counts(members.select("gid", "component", "vector", "copies"), threshold))
+    links = step(link_counts(members.select("gid", "component", F.col("unit").alias("vector"), "copies"), threshold))
     lowest = members.groupBy("component").agg(F.min("rep").alias("lowest"))
     ids = found.join(lowest, "component").select(F.col("node").alias("gid"), "lowest")
     told = groups.join(ids, "gid", "left").join(links, "gid", "left").select(
