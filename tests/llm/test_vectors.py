@@ -54,4 +54,4 @@ def test_repeated_rows_and_empty_table(spark):
 
 
 def test_passes_follow_from_the_number_of_vectors():
-    assert vectors.passes_for(100) == 1 < vectors.passes_for(10_000) < vectors.passes_for(10**8)
+    assert vectors.passes_for(60) == 1 < vectors.passes_for(10_000) < vectors.passes_for(10**8)
