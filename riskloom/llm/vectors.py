@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,11 +49,15 @@ def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, miss:
     return 1 if meet >= 1 else max(1, math.ceil(math.log(miss) / math.log1p(-meet)))
 
 
-def unit(vector: Column) -> Column:
-    """A usable vector at length 1; scaled by its largest part first, so that no square overflows."""
-    scaled = F.transform(vector, lambda v: v / F.array_max(F.transform(vector, F.abs)))
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda total, v: total + v * v))
-    return F.transform(scaled, lambda v: v / norm)
+@F.arrow_udf("array<double>")
+def unit(vectors: pa.Array) -> pa.Array:
+    """Usable vectors at length 1; scaled by the largest part first, so that no square overflows."""
+    out = []
+    for v in vectors:
+        x = v.values.to_numpy(zero_copy_only=False)
+        x = x / np.abs(x).max()
+        out.append(x / np.linalg.norm(x))
+    return pa.array(out, pa.list_(pa.float64()))
 
 
 def _same_length(frame: pd.DataFrame) -> list[pd.DataFrame]:
