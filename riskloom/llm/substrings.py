@@ -205,7 +205,9 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shard_
     if not crowded.isEmpty():
         masks = masks.unionByName(_singly(crowded))
     masks = step(masks.where("gone <> 0"))
-    told = different.join(masks, ["hash", "digest"], "left").select("hash", "digest", "origin", F.coalesce("gone", F.lit(0)).alias("gone"))
+    # Written, so that both sides of the next join are shuffled for it and a frequent segment can be split.
+    told = step(different.join(masks, ["hash", "digest"], "left").select(
+        "hash", "digest", "origin", F.coalesce("gone", F.lit(0)).alias("gone")))
     whole = F.expr("shiftleft(1L, cast(place & 31 as int)) - 1")
     first = F.struct("doc", "uid", "place") == F.col("origin")
     cut = F.struct(F.shiftright("place", 5).alias("first"), F.when(first, F.col("gone")).otherwise(whole).alias("mask"))
