@@ -49,15 +49,19 @@ def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, miss:
     return 1 if meet >= 1 else max(1, math.ceil(math.log(miss) / math.log1p(-meet)))
 
 
-@F.arrow_udf("array<double>")
-def unit(vectors: pa.Array) -> pa.Array:
+def unit(vector: Column) -> Column:
     """Usable vectors at length 1; scaled by the largest part first, so that no square overflows."""
-    out = []
-    for v in vectors:
-        x = v.values.to_numpy(zero_copy_only=False)
-        x = x / np.abs(x).max()
-        out.append(x / np.linalg.norm(x))
-    return pa.array(out, pa.list_(pa.float64()))
+
+    @F.arrow_udf("array<double>")
+    def scaled(vectors: pa.Array) -> pa.Array:
+        out = []
+        for v in vectors:
+            x = v.values.to_numpy(zero_copy_only=False)
+            x = x / np.abs(x).max()
+            out.append(x / np.linalg.norm(x))
+        return pa.array(out, pa.list_(pa.float64()))
+
+    return scaled(vector)
 
 
 def _same_length(frame: pd.DataFrame) -> list[pd.DataFrame]:
