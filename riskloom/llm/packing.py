@@ -26,8 +26,8 @@ from riskloom.llm.common import step, text_or_empty
 BUDGET = 2048
 SEPARATOR = 0
 #: Words whose ids a Python worker remembers; beyond that it forgets all and starts again.
-WORDS_KEPT = 400_000
-_DOCS = 512
+WORDS_KEPT = 120_000
+_DOCS = 128
 
 _readers: dict[str, WordIds] = {}
 

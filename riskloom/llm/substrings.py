@@ -27,9 +27,9 @@ from riskloom.llm.fm_index import repeated_windows
 WIDTH = 20
 GRAM = 6
 #: Words of one shard, and different segments of an anchor beyond which its windows are dealt out singly.
-SHARD_WORDS, CROWD = 600_000, 8_000
+SHARD_WORDS, CROWD = 250_000, 8_000
 _NO_ID = (1 << 63) - 1
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
