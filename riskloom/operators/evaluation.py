@@ -111,7 +111,8 @@ def prediction_profile(df: DataFrame, score: str, uncertainty: str | None = None
         basics += [F.avg(uncertainty).alias("unc_mean"), F.stddev_pop(uncertainty).alias("unc_std"),
                    F.min(uncertainty).alias("unc_low"), F.max(uncertainty).alias("unc_high")]
     marks = exact_quantiles(df, [], score, {f"p{p}": p / 100 for p in percentiles})
-    return df.agg(*basics).select("*", *[marks.select(f"p{p}").scalar().alias(f"p{p}") for p in percentiles])
+    # Both sides have one row by construction; the percentiles have none if no score is present.
+    return df.agg(*basics).join(F.broadcast(marks), F.lit(True), "left")
 
 
 def score_by_label(df: DataFrame, score: str, label: str = LABEL) -> DataFrame:
@@ -140,8 +141,9 @@ def score_segments(df: DataFrame, score: str) -> DataFrame:
 def confidence_counts(df: DataFrame, score: str, uncertainty: str) -> DataFrame:
     """High and low scores, expected positives, and rows beyond the 90th / 10th uncertainty percentile."""
     marks = exact_quantiles(df, [], uncertainty, {"p10": 0.1, "p90": 0.9})
-    p10, p90 = marks.select("p10").scalar(), marks.select("p90").scalar()
-    flagged = df.select(F.col(score).alias("s"), F.col(uncertainty).alias("u")).withColumns({"_lo": p10, "_hi": p90})
+    # The percentiles are one row by construction.
+    flagged = df.select(F.col(score).alias("s"), F.col(uncertainty).alias("u")).join(
+        F.broadcast(marks.select(F.col("p10").alias("_lo"), F.col("p90").alias("_hi"))), F.lit(True), "left")
     return flagged.agg(
         F.count("*").alias("n"), F.count_if(F.col("s") > 0.8).alias("high_score"),
         F.count_if(F.col("s") < 0.2).alias("low_score"), F.sum("s").alias("expected_positives"),

@@ -18,7 +18,7 @@ from riskloom.operators.group_stats import GroupRequest, GroupStats
 # Columns that are neither profiled for indicators nor features.
 NOT_FEATURES = ("isFraud", "TransactionID")
 INDICATOR_RATE = 0.05
-INDICATOR_LIMIT = 50
+INDICATOR_LIMIT: int | None = None
 
 # Column-name prefixes per family.
 PREFIX_GROUPS = {"V": "V", "C": "C", "D": "D", "M": "M", "id": "id_"}
@@ -64,10 +64,11 @@ def row_missing(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[Da
     return out, ["total_missing_count", "total_missing_pct"]
 
 
-def create_basic_missing_indicators(df: DataFrame, source: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
-    """Row totals plus ``<c>_ismissing`` for the first columns whose missing rate is above 5 %."""
+def create_basic_missing_indicators(df: DataFrame, source: DataFrame | None = None,
+                                    limit: int | None = INDICATOR_LIMIT) -> tuple[DataFrame, list[str]]:
+    """Row totals plus ``<c>_ismissing`` for every column whose missing rate is above 5 %; with ``limit`` the first ones."""
     rates = missing_rates(df if source is None else source)
-    flagged = [c for c, r in rates.items() if r > INDICATOR_RATE and c not in NOT_FEATURES][:INDICATOR_LIMIT]
+    flagged = [c for c, r in rates.items() if r > INDICATOR_RATE and c not in NOT_FEATURES][:limit]
     out, names = row_missing(df, list(rates))
     made = {f"{c}_ismissing": missing_flag(df, c) for c in flagged}
     return (out.withColumns(made) if made else out), names + list(made)

@@ -25,7 +25,7 @@ ID, LABEL, TIME, AMOUNT = "TransactionID", "isFraud", "TransactionDT", "Transact
 SEVERITY_EDGES = (0, 10, 30, 50, 70, 100)
 SEVERITY = ("<10% (Low)", "10-30% (Medium)", "30-50% (High)", "50-70% (Very High)", ">70% (Critical)")
 CARDINALITY_EDGES = (0, 5, 20, 50, 100)
-CARDINALITY = ("Very Low (<=5)", "Low (6-20)", "Medium (21-50)", "High (51-100)")
+CARDINALITY = ("Very Low (≤5)", "Low (6-20)", "Medium (21-50)", "High (51-100)")
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = (ID, LABEL)) -> list[str]:

@@ -62,8 +62,7 @@ def _partial_products(columns: list[str], centres: list[float]):
 def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(feature_a, feature_b, corr) for every pair in schema order; null when a side is constant.
 
-    Each task reduces its rows to one matrix of sums; only those sums are shuffled. The number of
-    tasks is bounded by a multiple of the cores, so the shuffle does not grow with the data.
+    Each task reduces its rows to one matrix of sums; only those sums are shuffled and added up per pair.
     """
     columns = list(columns or numeric_columns(df))
     spark = df.sparkSession
@@ -71,8 +70,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     row = values.agg(*[F.avg(F.col(f"`{c}`")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
     centres = [row[f"m{i}"] or 0.0 for i in range(len(columns))]
     schema = "i int, j int, " + ", ".join(f"{s} double" for s in _SUMS)
-    tasks = 4 * spark.sparkContext.defaultParallelism
-    sums = values.coalesce(tasks).mapInArrow(_partial_products(columns, centres), schema).groupBy("i", "j").agg(
+    sums = values.mapInArrow(_partial_products(columns, centres), schema).groupBy("i", "j").agg(
         *[F.sum(s).alias(s) for s in _SUMS])
     n, sx, sy, sxx, syy, sxy = (F.col(s) for s in _SUMS)
     vx, vy = n * sxx - sx * sx, n * syy - sy * sy

@@ -60,6 +60,8 @@ def map_params(params: Mapping[str, object]) -> tuple[dict[str, object], list[st
         elif target == "maxDepth":
             # Levelwise trees: no limit is not available, and 30 is the most the library grows.
             mapped[target] = UNLIMITED_DEPTH if int(value) < 0 else min(int(value), 30)
+            if mapped[target] != int(value):
+                warnings.warn(f"max_depth {value} is not available; {mapped[target]} is used", stacklevel=2)
         else:
             mapped[target] = value
     return mapped, ignored

@@ -21,18 +21,17 @@ from riskloom.session import written
 
 # Search ranges, (kind, low, high).
 SPACE = {
-    "learning_rate": ("log", 0.005, 0.1), "num_leaves": ("int", 32, 512), "max_depth": ("int", 6, 15),
-    "min_child_samples": ("int", 10, 100), "subsample": ("real", 0.6, 1.0), "colsample_bytree": ("real", 0.5, 1.0),
-    "reg_alpha": ("real", 0.0, 2.0), "reg_lambda": ("real", 0.0, 2.0),
+    "learning_rate": ("log", 0.005, 0.1), "max_depth": ("int", 6, 15), "min_child_samples": ("int", 10, 100),
+    "subsample": ("real", 0.6, 1.0), "colsample_bytree": ("real", 0.5, 1.0),
 }
 # What each stage searches, and where the others start.
 STAGES = (
-    ("learning_rate", "num_leaves", "max_depth"),
+    ("learning_rate", "max_depth"),
     ("subsample", "colsample_bytree", "min_child_samples"),
-    ("reg_alpha", "reg_lambda", "min_gain", "subsample"),
+    ("min_gain", "subsample"),
 )
-STAGE_START = {"subsample": 0.9, "colsample_bytree": 0.7, "min_child_samples": 50, "reg_alpha": 0.5, "reg_lambda": 0.5}
-# The last stage has no direct counterpart in Spark ML trees; the least gain of a split is searched as well.
+STAGE_START = {"subsample": 0.9, "colsample_bytree": 0.7, "min_child_samples": 50}
+# Only what the trainer has is searched: leaf counts and penalties are not among it, the least gain of a split is.
 FINE_SPACE = {**SPACE, "min_gain": ("log", 1e-6, 1e-2)}
 
 
@@ -61,7 +60,7 @@ class Tuner:
         self._rows: tuple[DataFrame, DataFrame] | None = None
 
     def _score(self, params: Mapping[str, object]) -> float:
-        usable = {k: v for k, v in params.items() if k not in ("num_leaves", "reg_alpha", "reg_lambda")}
+        usable = dict(params)
         if self.valid is not None:
             if self._rows is None:
                 self._rows = (written(assembled(self.train, self.features)), written(assembled(self.valid, self.features)))

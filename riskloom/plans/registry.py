@@ -1,7 +1,7 @@
 """Named queries, each with its column list and, where SQL can state it, the checking text.
 
 A column list such as ``"TransactionID:i card1_mean:d ProductCD:s"`` fixes names, order and types
-of the result on both engines: i = whole number, d = double rounded to 6 digits, s = text.
+of the result on both engines: i = whole number, d = double, s = text.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ class Query:
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
-        casts = {"i": 'CAST("{0}" AS BIGINT)', "d": 'round(CAST("{0}" AS DOUBLE), 6) + 0.0', "s": 'CAST("{0}" AS VARCHAR)'}
+        casts = {"i": 'CAST("{0}" AS BIGINT)', "d": 'CAST("{0}" AS DOUBLE)', "s": 'CAST("{0}" AS VARCHAR)'}
         out = ", ".join(f'{casts[kind].format(name)} AS "{name}"' for name, kind in self.columns)
         body = self.sql.strip()
         extra = ""
@@ -44,7 +44,7 @@ class Query:
 def shaped(df: DataFrame, columns: tuple[tuple[str, str], ...]) -> DataFrame:
     casts = {
         "i": lambda c: c.cast("bigint"),
-        "d": lambda c: F.round(c.cast("double"), 6) + F.lit(0.0),
+        "d": lambda c: c.cast("double"),
         "s": lambda c: c.cast("string"),
     }
     return df.select(*[casts[kind](F.col(f"`{name}`")).alias(name) for name, kind in columns])

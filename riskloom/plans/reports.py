@@ -486,7 +486,7 @@ _CARDINALITY_SQL = " UNION ALL ".join(
 register(
     "cardinality", "feature:s n_unique:i missing_pct:d cardinality:s",
     lambda spark, sf: profiling.cardinality(fixture.joined(spark, sf), _CARD_COLUMNS),
-    f"""SELECT *, CASE WHEN n_unique <= 5 THEN 'Very Low (<=5)' WHEN n_unique <= 20 THEN 'Low (6-20)'
+    f"""SELECT *, CASE WHEN n_unique <= 5 THEN 'Very Low (≤5)' WHEN n_unique <= 20 THEN 'Low (6-20)'
   WHEN n_unique <= 50 THEN 'Medium (21-50)' WHEN n_unique <= 100 THEN 'High (51-100)' END AS cardinality
 FROM ({_CARDINALITY_SQL})""")
 

@@ -13,7 +13,7 @@ from riskloom.operators.ordering import row_index
 
 ID, LABEL = "TransactionID", "isFraud"
 
-# Types of the known columns; every other column of a header is read as double.
+# Types of the known columns.
 _LONG = ("TransactionID", "TransactionDT")
 _INT = ("isFraud", "card1")
 _TEXT = ("ProductCD", "card4", "card6", "P_emaildomain", "R_emaildomain", "DeviceType", "DeviceInfo",
@@ -21,20 +21,28 @@ _TEXT = ("ProductCD", "card4", "card6", "P_emaildomain", "R_emaildomain", "Devic
          "id_35", "id_36", "id_37", "id_38", "M1", "M2", "M3", "M4", "M5", "M6", "M7", "M8", "M9")
 
 
-def column_type(name: str) -> T.DataType:
+def column_type(name: str, found: T.DataType) -> T.DataType:
+    """Type of a known column; of others the one found in the file, whole numbers as double."""
     if name in _LONG:
         return T.LongType()
     if name in _INT:
         return T.IntegerType()
-    return T.StringType() if name in _TEXT else T.DoubleType()
+    if name in _TEXT or not isinstance(found, T.NumericType):
+        return T.StringType()
+    return T.DoubleType()
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Scan a CSV with header. Without a schema only the header line is read to learn the columns."""
+    """Scan a CSV with header. Without a schema one more scan of the file finds the types of its columns.
+
+    A column outside the known ones is numeric only if all its values are. A value that does not fit the
+    schema fails the job.
+    """
     if schema is None:
-        names = spark.read.option("header", True).csv(path).columns
-        schema = T.StructType([T.StructField(n, column_type(n)) for n in names])
-    return nan_to_null(spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path))
+        found = spark.read.option("header", True).option("inferSchema", True).option("preferDate", False).csv(path).schema
+        schema = T.StructType([T.StructField(f.name, column_type(f.name, f.dataType)) for f in found])
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+    return nan_to_null(reader.csv(path))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -19,16 +19,23 @@ def connect(sf_dir: str):
     return con
 
 
-def _lines(frame: pd.DataFrame) -> list[str]:
-    frame = frame[sorted(frame.columns)]
-    cols = []
-    for c in frame.columns:
-        col = frame[c]
-        if pd.api.types.is_numeric_dtype(col):
-            cols.append(["" if pd.isna(v) else f"{float(v):.5f}".replace("-0.00000", "0.00000") for v in col])
-        else:
-            cols.append(["" if pd.isna(v) else str(v) for v in col])
-    return sorted("|".join(row) for row in zip(*cols))
+RELATIVE, ABSOLUTE = 1e-9, 1e-9
+
+
+def _rows(frame: pd.DataFrame) -> list[tuple]:
+    """Rows in an order that a last bit does not change: whole numbers and texts first, doubles rounded."""
+    exact = [c for c in sorted(frame.columns) if not pd.api.types.is_float_dtype(frame[c])]
+    real = [c for c in sorted(frame.columns) if c not in exact]
+    told = frame[exact].astype(object).where(frame[exact].notna(), None)
+    keys = [tuple("" if v is None else f"{float(v):.0f}" if isinstance(v, (bool, int, float)) else str(v) for v in row)
+            for row in told.itertuples(index=False)]
+    values = [tuple(float(v) for v in row) for row in frame[real].astype(float).itertuples(index=False)]
+    return sorted(zip(keys, values), key=lambda r: (r[0], tuple("" if v != v else f"{v:.6e}" for v in r[1])))
+
+
+def _close(a: tuple, b: tuple) -> bool:
+    return a[0] == b[0] and all((x != x and y != y) or x == y or abs(x - y) <= max(ABSOLUTE, RELATIVE * max(abs(x), abs(y)))
+                                for x, y in zip(a[1], b[1]))
 
 
 def differences(spark_rows: pd.DataFrame, sql_rows: pd.DataFrame) -> str | None:
@@ -40,8 +47,11 @@ def differences(spark_rows: pd.DataFrame, sql_rows: pd.DataFrame) -> str | None:
         a, b = spark_rows[c], sql_rows[c]
         if pd.api.types.is_numeric_dtype(a) != pd.api.types.is_numeric_dtype(b) and not (a.isna().all() or b.isna().all()):
             return f"type of {c} differs: {a.dtype} vs {b.dtype}"
-    left, right = _lines(spark_rows), _lines(sql_rows)
-    bad = [(x, y) for x, y in zip(left, right) if x != y]
+    for c in spark_rows.columns:  # a column of one engine may be whole where the other's has nulls
+        if pd.api.types.is_float_dtype(spark_rows[c]) != pd.api.types.is_float_dtype(sql_rows[c]) and pd.api.types.is_numeric_dtype(spark_rows[c]):
+            spark_rows, sql_rows = spark_rows.astype({c: float}), sql_rows.astype({c: float})
+    left, right = _rows(spark_rows), _rows(sql_rows)
+    bad = [(x, y) for x, y in zip(left, right) if not _close(x, y)]
     if bad:
         return f"{len(bad)} of {len(left)} rows differ, first:\n  {sorted(spark_rows.columns)}\n  {bad[0][0]}\n  {bad[0][1]}"
     return None

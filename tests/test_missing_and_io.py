@@ -113,3 +113,23 @@ def test_shared_folder_comes_from_the_session(spark):
     from riskloom.session import shared_folder
 
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_csv_keeps_unknown_text_columns_and_fails_on_wrong_values(spark, tmp_path):
+    from riskloom.sources.tables import read_csv
+
+    path = tmp_path / "t.csv"
+    path.write_text("TransactionID,Channel,id-12,D1\n1,web,a1,0.5\n2,shop,7,\n")
+    rows = [tuple(r) for r in read_csv(spark, str(path)).orderBy("TransactionID").collect()]
+    assert rows == [(1, "web", "a1", 0.5), (2, "shop", "7", None)]
+    path.write_text("TransactionID,D1\nx,0.5\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        read_csv(spark, str(path)).collect()
+
+
+def test_every_sparse_column_has_an_indicator_unless_limited(spark):
+    from riskloom.operators import missing
+
+    df = spark.createDataFrame([(i, *([None] * 60)) for i in range(4)], "TransactionID long, " + ", ".join(f"V{i} double" for i in range(60)))
+    assert len(missing.create_basic_missing_indicators(df)[1]) == 62
+    assert len(missing.create_basic_missing_indicators(df, limit=50)[1]) == 52
