@@ -25,12 +25,10 @@ from riskloom.llm.common import step, text_or_empty
 
 BUDGET = 2048
 SEPARATOR = 0
-#: Words whose ids a Python worker remembers; beyond that it forgets all and starts again.
+#: Words whose ids a task remembers; beyond that it forgets all and starts again.
 WORDS_KEPT = 120_000
 _DOCS = 128
 
-_readers: dict[str, WordIds] = {}
-
 
 class WordIds:
     """Ids of whole texts by a lower-casing tokenizer that drops white space, one look-up per word.
@@ -92,12 +90,6 @@ class WordIds:
             return b"".join([self.words[w] for w in words])
 
 
-def reader(path: str) -> WordIds:
-    if path not in _readers:
-        _readers[path] = WordIds(path)
-    return _readers[path]
-
-
 def cut_pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text",
                budget: int = BUDGET, separator: int = SEPARATOR) -> DataFrame:
     """Tokenise whole texts, end each with ``separator`` and cut those over ``budget`` into pieces.
@@ -111,7 +103,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", tex
     end = np.asarray([separator], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_ids, place, ranks = reader(tokenizer_path), TaskContext.get().partitionId(), [0] * (budget + 1)
+        word_ids, place, ranks = WordIds(tokenizer_path), TaskContext.get().partitionId(), [0] * (budget + 1)
         for whole in batches:
             for at in range(0, whole.num_rows, _DOCS):
                 batch = whole.slice(at, _DOCS)

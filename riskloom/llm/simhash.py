@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,12 +50,13 @@ def simhash(text: str) -> int:
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint long) per row; a null text counts as empty."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fingerprint": [simhash(t) for t in batch["text"]]})
+            found = pa.array([simhash(t.as_py()) for t in batch.column(1)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["doc_id", "fingerprint"])
 
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    return slim.mapInPandas(run, "doc_id long, fingerprint long")
+    return slim.mapInArrow(run, "doc_id long, fingerprint long")
 
 
 def shared_bytes(a: Column, b: Column) -> Column:
