@@ -17,7 +17,7 @@ from riskloom.session import build_session
 QUERIES = (
     "join_identity", "velocity", "time_since", "gap_stats", "rfm", "temporal_all", "agg_card1", "agg_all", "inter_all",
     "freq_encode", "missing_all", "preprocess_pipeline", "describe", "cardinality", "corr_pairs", "row_index",
-    "time_split", "stratified_folds", "roc_auc", "rank_blend", "weight_grid", "prediction_profile", "cross_validate",
+    "time_split", "stratified_folds", "roc_auc", "rank_blend", "weight_grid", "prediction_profile", "mann_whitney", "cross_validate", "stack_oof",
 )
 
 

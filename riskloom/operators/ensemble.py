@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from riskloom.functions.nulls import folded_sum
@@ -80,13 +80,25 @@ def weight_candidates(n_models: int, steps: int = 11) -> list[tuple[float, ...]]
     return [tuple([1.0 / n_models] * n_models)]
 
 
-def weight_grid(df: DataFrame, columns: Sequence[str], label: str = LABEL, steps: int = 11) -> DataFrame:
-    """(position, w1.., auc) for every candidate weight vector.
+def neighbours(weights: Sequence[float], steps: int = 11) -> list[tuple[float, ...]]:
+    """The weights, and for each model and share on a line the weights with that share, the others scaled to the rest."""
+    n, out = len(weights), [tuple(weights)]
+    for j, own in enumerate(weights):
+        for i in range(steps):
+            share = i / (steps - 1)
+            rest = [(w / (1 - own) if own < 1 else 1 / (n - 1)) * (1 - share) for w in weights]
+            out.append(tuple(share if k == j else w for k, w in enumerate(rest)))
+    return out
+
+
+def weight_grid(df: DataFrame, columns: Sequence[str], label: str = LABEL, steps: int = 11,
+                grid: Sequence[tuple[float, ...]] | None = None) -> DataFrame:
+    """(position, w1.., auc) for every candidate weight vector, ``weight_candidates`` unless given.
 
     Rows with the same predictions and label collapse first; each distinct row then meets at most
     121 weight vectors, and all curves are measured in one grouped pass.
     """
-    grid = weight_candidates(len(columns), steps)
+    grid = list(grid or weight_candidates(len(columns), steps))
     counts = df.where(F.col(label).isNotNull()).groupBy(*columns).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) != 1).cast("long")).alias("neg"))
     vectors = F.array(*[F.struct(F.lit(i).alias("position"), *[F.lit(w).alias(f"w{j + 1}") for j, w in enumerate(v)])
@@ -109,9 +121,21 @@ def weight_grid(df: DataFrame, columns: Sequence[str], label: str = LABEL, steps
 
 
 def optimize_weights(df: DataFrame, columns: Sequence[str], label: str = LABEL) -> dict[str, float]:
-    """The candidate with the greatest AUC; the earliest one on a tie."""
-    best = weight_grid(df, columns, label).orderBy(F.col("auc").desc_nulls_last(), "position").first()
-    return {c: best[f"w{j + 1}"] for j, c in enumerate(columns)}
+    """The candidate with the greatest AUC; the earliest one on a tie.
+
+    With over three models the search starts at equal weights and moves along one model's share at a time,
+    until no move betters the AUC.
+    """
+    def best_of(grid: Sequence[tuple[float, ...]]) -> Row:
+        return weight_grid(df, columns, label, grid=grid).orderBy(F.col("auc").desc_nulls_last(), "position").first()
+
+    best = best_of(weight_candidates(len(columns)))
+    while best is not None and len(columns) > 3:
+        step = best_of(neighbours([best[f"w{j + 1}"] for j in range(len(columns))]))
+        if step["auc"] is None or step["auc"] <= best["auc"] + 1e-12:
+            break
+        best = step
+    return {c: best[f"w{j + 1}"] for j, c in enumerate(columns)} if best else normalised(columns)
 
 
 def model_aucs(df: DataFrame, columns: Sequence[str], label: str = LABEL) -> DataFrame:

@@ -153,8 +153,14 @@ class RateEncoder:
             "name", "key", "n", _smoothed(F.col("pos"), F.col("lab"), F.lit(self.overall)).alias("rate")))
         return self
 
+    def fit_transform(self, df: DataFrame, folds: int = 5, seed: int = 42, row_id: str = "TransactionID",
+                      **options) -> DataFrame:
+        """Learn from ``df`` and attach rates to its own rows that leave out the row's fold, its own label included."""
+        self.fit(df)
+        return combination_features(df, self.combos, self.target, "out_of_fold", folds, seed, row_id, **options)[0]
+
     def transform(self, df: DataFrame, **options) -> DataFrame:
-        """Unseen composites get the overall rate and a count of 0."""
+        """For frames other than the one learnt from, whose rows know their own label. Unseen composites get the overall rate and a count of 0."""
         base = df.withColumns({n: combined(*p) for n, p in self.combos.items()})
         outputs = {n: {f"{n}_count": "n", f"{n}_fraud_rate": "rate"} for n in self.combos}
         out = attach(base, columns_as_keys(base, list(self.combos)), self.table, outputs, **options)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,15 +79,23 @@ class FeatureBuilder:
         self.rates = interaction.RateEncoder(combos, self.target).fit(base)
         return self
 
+    def fit_transform(self, train: DataFrame) -> DataFrame:
+        """Learn from ``train`` and return its own features; its target rates leave out each row's fold."""
+        self.fit(train)
+        return self._features(train, None, self.rates.fit_transform)
+
     def transform(self, df: DataFrame, history: DataFrame | None = None) -> DataFrame:
         """Features of ``df``; with ``history`` its rows count as the past of ``df``'s rows."""
         if self.stats is None or self.rates is None:
             raise ValueError("call fit first")
+        return self._features(df, history, self.rates.transform)
+
+    def _features(self, df: DataFrame, history: DataFrame | None, rated: Callable[[DataFrame], DataFrame]) -> DataFrame:
         flags = {f"{c}_ismissing": missing.missing_flag(df, c) for c in self.indicators if c in df.columns}
         base = missing.row_missing(df)[0].withColumns(flags) if flags else missing.row_missing(df)[0]
         out = self.stats.transform(self._prepared(base))
         out = out.withColumns(aggregation.derived_columns(out.columns, {r.prefix for r in self.requests}, self.value))
-        out = self.rates.transform(out)
+        out = rated(out)
         columns = [c for c in (ID, "TransactionDT", *temporal.SINCE_KEYS) if c in df.columns]
         past = df.select(*columns)
         if history is not None:

@@ -6,10 +6,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.missing import missing_rates
+from riskloom.operators.ordering import running_totals
 from riskloom.operators.profiling import numeric_columns
 
 MIN_KEPT = 50
@@ -101,29 +102,34 @@ def remove_correlated_features(df: DataFrame, threshold: float = 0.95, columns:
 def importance_cut(importances: DataFrame, threshold: float = 0.95, min_kept: int = MIN_KEPT) -> DataFrame:
     """Adds place, cumulative share and keep (1/0): kept while the share is at most the threshold.
 
-    When fewer than ``min_kept`` features pass, the top ``min_kept`` are kept instead. The table has
-    one row per feature, so the ordered window is as long as the column list.
+    When fewer than ``min_kept`` features pass, the top ``min_kept`` are kept instead. Features without
+    an importance come last. Places and shares come from running totals, however long the table is.
     """
-    order = Window.orderBy(F.col("importance").desc(), "feature")
-    everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    placed = importances.select(
-        "feature", "importance", F.row_number().over(order).alias("place"),
-        F.try_divide(F.sum("importance").over(upto), F.sum("importance").over(everything)).alias("cumulative_share"))
-    within = (F.col("cumulative_share") <= threshold).cast("int")
-    kept = placed.withColumn("_passing", F.sum(within).over(everything))
-    return kept.withColumn("keep", F.when(F.col("_passing") >= min_kept, F.coalesce(within, F.lit(0))).otherwise(
-        (F.col("place") <= min_kept).cast("int"))).drop("_passing")
+    value = F.coalesce(F.col("importance").cast("double"), F.lit(0.0))
+    falling = F.coalesce(-F.col("importance").cast("double"), F.lit(float("inf")))
+    steps = running_totals(
+        importances.select("feature", "importance", falling.alias("_order"), value.alias("_value"), F.lit(1).alias("_one")),
+        ["_order", "feature"], ["_value", "_one"])
+    # One row each by construction.
+    total = steps.agg(F.sum("_value").alias("_total"))
+    placed = steps.crossJoin(F.broadcast(total)).select(
+        "feature", "importance", (F.col("_one_before") + 1).cast("int").alias("place"),
+        F.try_divide(F.col("_value_before") + F.col("_value"), F.col("_total")).alias("cumulative_share"))
+    within = F.coalesce(F.col("cumulative_share") <= threshold, F.lit(False))
+    passing = placed.agg(F.count_if(within).alias("_passing"))
+    return placed.crossJoin(F.broadcast(passing)).withColumn(
+        "keep", F.when(F.col("_passing") >= min_kept, within).otherwise(F.col("place") <= min_kept).cast("int")).drop("_passing")
 
 
 def null_importance_rule(actual: DataFrame, null_runs: DataFrame) -> DataFrame:
     """Compare (feature, importance) with (feature, run, importance) from shuffled labels.
 
-    keep = above every null run, or ratio to the null mean above 2, or z-score above 2.
+    keep = above every null run, or ratio to the null mean above 2, or z-score above 2. The last two add 1 to what
+    they divide by, so importances are expected as gains over rows and trees and not as shares of 1.
     """
     null = null_runs.groupBy("feature").agg(
         F.avg("importance").alias("null_mean"), F.stddev_samp("importance").alias("null_std"),
-        F.max("importance").alias("null_max"))
+        F.max("importance").alias("null_max"), F.count("*").alias("n_runs"))
     gain = F.col("importance") - F.col("null_mean")
     both = actual.join(null, "feature").withColumns({
         "importance_ratio": F.col("importance") / (F.col("null_mean") + 1), "zscore": gain / (F.col("null_std") + 1)})

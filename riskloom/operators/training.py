@@ -6,6 +6,7 @@ is reduced to (id, label, vector, keep...) and written once, so every fit reads
 
 from __future__ import annotations
 
+import math
 import os
 import warnings
 from collections.abc import Callable, Mapping, Sequence
@@ -22,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.nulls import folded_sum
 from riskloom.operators import folds as fold_rules
 from riskloom.operators.ensemble import mean_prediction, model_aucs, optimize_weights, prediction_uncertainty
 from riskloom.operators.evaluation import grouped_auc
@@ -43,6 +45,8 @@ PARAM_NAMES = {
     "colsample_bytree": "featureSubsetStrategy", "random_state": "seed", "min_gain": "minInfoGain",
     "max_bins": "maxBins",
 }
+#: Rounds without a better validation loss after which boosting ends.
+PATIENCE = 50
 SILENT = {"objective", "metric", "boosting_type", "n_jobs", "verbose", "verbosity", "subsample_freq"}
 UNLIMITED_DEPTH = 5
 
@@ -105,14 +109,45 @@ def _use_shared_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(os.path.join(shared_folder(spark), "boosting"))
 
 
-def fit(estimator: Estimator, train: DataFrame, valid: DataFrame | None = None) -> Model:
-    """Fit; boosted trees stop early on the validation rows when there are any."""
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """(round with the least loss, whether ``patience`` rounds without a better one followed), counted from 1.
+
+    Rounds after that point do not count. Without any finite loss the last round is the best.
+    """
+    best, least = len(losses), math.inf
+    for i, loss in enumerate(losses, start=1):
+        if loss < least:
+            best, least = i, loss
+        elif least < math.inf and i - best >= patience:
+            return best, True
+    return best, False
+
+
+def fit_patiently(estimator: GBTClassifier, train: DataFrame, valid: DataFrame, patience: int = PATIENCE) -> tuple[Model, Model]:
+    """(model of the best round, model of all rounds fitted).
+
+    Spark's own rule ends at the first round that gains under a hundredth. Here a block of rounds is fitted, doubled
+    until the best round lies ``patience`` rounds back, and the best number of rounds is fitted once more: the
+    first rounds of a longer fit are the same trees, as every round has its own seed.
+    """
+    _use_shared_checkpoints(train.sparkSession)
+    most = estimator.getMaxIter()
+    rounds = min(most, 2 * patience)
+    while True:
+        full = estimator.copy({estimator.maxIter: rounds}).fit(train)
+        best, ended = best_round(full.evaluateEachIteration(valid), patience)
+        if ended or rounds >= most:
+            break
+        rounds = min(most, 2 * rounds)
+    return (full if best == rounds else estimator.copy({estimator.maxIter: best}).fit(train)), full
+
+
+def fit(estimator: Estimator, train: DataFrame, valid: DataFrame | None = None, patience: int = PATIENCE) -> Model:
+    """Fit; boosted trees keep the rounds up to the least loss on the validation rows when there are any."""
     _use_shared_checkpoints(train.sparkSession)
     if valid is None or not isinstance(estimator, GBTClassifier):
         return estimator.fit(train)
-    both = train.select("label", "features", F.lit(False).alias("held_out")).unionByName(
-        valid.select("label", "features", F.lit(True).alias("held_out")))
-    return estimator.copy({estimator.validationIndicatorCol: "held_out"}).fit(both)
+    return fit_patiently(estimator, train, valid, patience)[0]
 
 
 def scored(model: Model, rows: DataFrame, name: str = "prediction") -> DataFrame:
@@ -142,28 +177,34 @@ class Baseline:
     model: Model | None = None
     metrics: dict[str, float] = field(default_factory=dict)
     history: dict[str, list[float]] = field(default_factory=dict)
+    full_model: Model | None = None
 
     def _need_model(self) -> Model:
         if self.model is None:
             raise ValueError("the model has not been trained yet")
         return self.model
 
-    def train(self, train: DataFrame, valid: DataFrame, features: Sequence[str], num_boost_round: int = 100) -> dict:
+    def train(self, train: DataFrame, valid: DataFrame, features: Sequence[str], num_boost_round: int = 100,
+              early_stopping_rounds: int = PATIENCE) -> dict:
         self.features = list(features)
         parts = assembled(train, features).withColumn("part", F.lit("train")).unionByName(
             assembled(valid, features).withColumn("part", F.lit("valid")))
         rows = written(parts)
         early, late = rows.where(F.col("part") == "train"), rows.where(F.col("part") == "valid")
-        self.model = fit(boosted_trees(self.params, num_boost_round), early, late)
+        self.model, self.full_model = fit_patiently(
+            boosted_trees(self.params, num_boost_round), early, late, early_stopping_rounds)
         aucs = {r["part"]: r["auc"] for r in grouped_auc(scored(self.model, rows), ["part"], "prediction", "label").collect()}
-        self.history = {"train": list(self.model.evaluateEachIteration(early)),
-                        "valid": list(self.model.evaluateEachIteration(late))}
+        self.history = {"train": list(self.full_model.evaluateEachIteration(early)),
+                        "valid": list(self.full_model.evaluateEachIteration(late))}
         self.metrics = {"train_auc": aucs.get("train"), "val_auc": aucs.get("valid"),
                         "best_iteration": rounds_of(self.model), "num_features": len(self.features)}
         return self.metrics
 
-    def predict(self, df: DataFrame, keep: Sequence[str] = (ID,)) -> DataFrame:
-        return scored(self._need_model(), assembled(df, self.features, keep)).drop("label")
+    def predict(self, df: DataFrame, keep: Sequence[str] = (ID,), use_best_iteration: bool = True) -> DataFrame:
+        """Scores by the rounds up to the best one, or by all rounds that were fitted."""
+        model = self._need_model()
+        chosen = model if use_best_iteration or self.full_model is None else self.full_model
+        return scored(chosen, assembled(df, self.features, keep)).drop("label")
 
     def feature_importance(self, spark: SparkSession, top_n: int | None = 20) -> DataFrame:
         table = importance_table(spark, self._need_model(), self.features).orderBy(F.col("importance").desc(), "feature")
@@ -175,6 +216,7 @@ class Baseline:
 
     def save(self, spark: SparkSession, path: str) -> None:
         self._need_model().write().overwrite().save(f"{path}/model")
+        (self.full_model or self._need_model()).write().overwrite().save(f"{path}/full_model")
         write_settings(spark, {
             "params": self.params, "features": self.features, "metrics": self.metrics, "history": self.history,
             "saved_at": datetime.now(timezone.utc).isoformat(timespec="seconds")}, f"{path}/metadata")
@@ -183,13 +225,13 @@ class Baseline:
     def load(cls, spark: SparkSession, path: str) -> Baseline:
         meta = read_settings(spark, f"{path}/metadata")
         return cls(meta["params"], meta["features"], GBTClassificationModel.load(f"{path}/model"), meta["metrics"],
-                   meta["history"])
+                   meta["history"], GBTClassificationModel.load(f"{path}/full_model"))
 
 
 def train_baseline_model(train: DataFrame, valid: DataFrame, features: Sequence[str], params: dict | None = None,
-                         num_boost_round: int = 100) -> tuple[Baseline, dict]:
+                         num_boost_round: int = 100, early_stopping_rounds: int = PATIENCE) -> tuple[Baseline, dict]:
     model = Baseline(dict(params or {}))
-    return model, model.train(train, valid, features, num_boost_round)
+    return model, model.train(train, valid, features, num_boost_round, early_stopping_rounds)
 
 
 # --- cross-validation ------------------------------------------------------------------------
@@ -197,7 +239,8 @@ def train_baseline_model(train: DataFrame, valid: DataFrame, features: Sequence[
 STRATEGIES = ("time_series", "stratified", "standard", "contiguous")
 
 
-def _foldable(df: DataFrame, features: Sequence[str], strategy: str, k: int, seed: int) -> tuple[DataFrame, list]:
+def fold_frame(df: DataFrame, features: Sequence[str], strategy: str = "time_series", k: int = 5,
+               seed: int = 42) -> tuple[DataFrame, list]:
     """The written training frame with a position or fold column, and (train test, valid test) per fold."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy}; choose from {STRATEGIES}")
@@ -247,17 +290,19 @@ class CrossValidation:
 
 def cross_validate(df: DataFrame, features: Sequence[str], strategy: str = "time_series", n_splits: int = 5,
                    estimator: Callable[[], Estimator] | None = None, num_boost_round: int = 100,
-                   params: Mapping[str, object] | None = None, seed: int = 42, parallelism: int = 2) -> CrossValidation:
+                   params: Mapping[str, object] | None = None, seed: int = 42, parallelism: int = 2,
+                   early_stopping_rounds: int = PATIENCE, prepared: tuple[DataFrame, list] | None = None) -> CrossValidation:
     """Fit one model per fold, in parallel over one written frame.
 
     Out-of-fold predictions keep the last fold where folds overlap; rows no fold validates have none.
+    ``prepared`` is the result of ``fold_frame`` for the same arguments, for several runs over the same folds.
     """
     spark = df.sparkSession
     make = estimator or (lambda: boosted_trees(params, num_boost_round))
-    rows, tests = _foldable(df, features, strategy, n_splits, seed)
+    rows, tests = prepared or fold_frame(df, features, strategy, n_splits, seed)
 
     def one(test) -> Model:
-        return fit(make(), rows.where(test[0]), rows.where(test[1]))
+        return fit(make(), rows.where(test[0]), rows.where(test[1]), early_stopping_rounds)
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         models = list(pool.map(one, tests))
@@ -306,19 +351,38 @@ def compare_strategies(df: DataFrame, features: Sequence[str], strategies: Seque
     return out
 
 
+@dataclass
+class EnsembleCrossValidation:
+    """The cross-validated members of an ensemble and their (model, auc, gain) table."""
+
+    members: dict[str, CrossValidation]
+    table: DataFrame
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        """(id, one column per member, prediction): fold models averaged per member, members averaged."""
+        out = None
+        for name, cv in self.members.items():
+            part = cv.predict(df).withColumnRenamed("prediction", name)
+            out = part if out is None else out.join(part, ID)
+        return out.withColumn("prediction", folded_sum([F.col(n) for n in self.members]) / len(self.members))
+
+
 def ensemble_cross_validate(df: DataFrame, features: Sequence[str], configs: Mapping[str, Mapping[str, object]],
-                            strategy: str = "time_series", n_splits: int = 5, num_boost_round: int = 100) -> DataFrame:
-    """(model, auc, gain): each configuration's OOF AUC, and that of the averaged OOF predictions."""
-    wide = None
+                            strategy: str = "time_series", n_splits: int = 5,
+                            num_boost_round: int = 100) -> EnsembleCrossValidation:
+    """Cross-validate each configuration over the same folds; the gain is that of the averaged OOF predictions."""
+    wide, members, prepared = None, {}, fold_frame(df, features, strategy, n_splits)
     for name, params in configs.items():
-        cv = cross_validate(df, features, strategy, n_splits, params=params, num_boost_round=num_boost_round)
+        cv = members[name] = cross_validate(df, features, strategy, n_splits, params=params,
+                                            num_boost_round=num_boost_round, prepared=prepared)
         part = cv.oof.select(ID, *(["label"] if wide is None else []), F.col("prediction").alias(name))
         wide = part if wide is None else wide.join(part, ID)
     names = list(configs)
     mean = sum((F.col(n) for n in names[1:]), F.col(names[0])) / len(names)
     aucs = model_aucs(wide.withColumn("ensemble", mean), [*names, "ensemble"], "label").select("model", "auc")
     single = aucs.where(F.col("model") != "ensemble").agg(F.max("auc")).scalar()
-    return aucs.withColumn("gain", F.when(F.col("model") == "ensemble", F.col("auc") - single))
+    table = aucs.withColumn("gain", F.when(F.col("model") == "ensemble", F.col("auc") - single))
+    return EnsembleCrossValidation(members, written(table))
 
 
 # --- stacking --------------------------------------------------------------------------------
@@ -344,9 +408,10 @@ class Stacking:
     def fit_stacking(self, df: DataFrame, features: Sequence[str], n_folds: int = 5, stratified: bool = True) -> DataFrame:
         """(id, label, one column per base model) of out-of-fold predictions."""
         self.features = list(features)
-        wide = None
+        wide, strategy = None, "stratified" if stratified else "standard"
+        prepared = fold_frame(df, features, strategy, n_folds)
         for name, make in self.bases.items():
-            cv = cross_validate(df, features, "stratified" if stratified else "standard", n_folds, make)
+            cv = cross_validate(df, features, strategy, n_folds, make, prepared=prepared)
             self.cv[name] = cv
             part = cv.oof.select(ID, *(["label"] if wide is None else []), F.col("prediction").alias(name))
             wide = part if wide is None else wide.join(part, ID)

@@ -15,7 +15,7 @@ from riskloom.operators import selection
 from riskloom.operators.evaluation import auc_value
 from riskloom.operators.ordering import hash_number, row_index
 from riskloom.operators.training import (
-    ID, assembled, boosted_trees, cross_validate, fit, importance_table, scored,
+    ID, assembled, boosted_trees, cross_validate, fit, importance_table, rounds_of, scored,
 )
 from riskloom.session import written
 
@@ -115,8 +115,8 @@ def staged_tune(train: DataFrame, features: Sequence[str], valid: DataFrame | No
         tuner.trials = []
         fixed = {k: v for k, v in {**STAGE_START, **found}.items() if k not in names}
         found.update(tuner.tune(trials_per_stage, fixed=fixed, names=names))
-        log += [(number + 1, t["trial"], float(t["value"])) for t in tuner.trials]
-    return found, spark.createDataFrame(log, "stage int, trial int, value double")
+        log += [(number + 1, t["trial"], float(t["value"]), {n: float(v) for n, v in t["params"].items()}) for t in tuner.trials]
+    return found, spark.createDataFrame(log, "stage int, trial int, value double, params map<string,double>")
 
 
 def trial_summary(trials: DataFrame) -> DataFrame:
@@ -183,11 +183,21 @@ class FeatureSearch:
         return self.early.drop("label").join(by_hash.join(by_id, "row_pos").drop("row_pos"), ID)
 
     def null_importance(self, n_iterations: int = 5) -> tuple[list[str], DataFrame]:
-        """Features whose importance beats that of fits on shuffled labels."""
-        actual, runs = self.importance(), None
+        """Features whose importance beats that of fits on shuffled labels.
+
+        A tree model's importances are shares of 1; times training rows and trees they are on the scale of total
+        gains, for which the rules are made.
+        """
+        rows = self.early.count()
+
+        def gains(early: DataFrame | None = None) -> DataFrame:
+            model, _ = self._fit(self.features, early)
+            return importance_table(self.spark, model, self.features).withColumn(
+                "importance", F.col("importance") * rows * rounds_of(model))
+
+        actual, runs = gains(), None
         for i in range(n_iterations):
-            model, _ = self._fit(self.features, self.shuffled_labels(i))
-            one = importance_table(self.spark, model, self.features).withColumn("run", F.lit(i))
+            one = gains(self.shuffled_labels(i)).withColumn("run", F.lit(i))
             runs = one if runs is None else runs.unionByName(one)
         table = selection.null_importance_rule(actual, runs)
         kept = {r["feature"] for r in table.where(F.col("keep") == 1).collect()}

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import training, tuning
+from riskloom.operators import ensemble, interaction, selection, training, tuning
 from riskloom.operators.folds import time_series_bounds
 from riskloom.operators.ordering import time_split
 from riskloom.operators.pipeline import FeatureBuilder
@@ -115,3 +115,82 @@ def test_fitted_features_do_not_look_at_the_test_frame(spark):
             assert abs(r["card1_mean"] - want) < 1e-9
     # The past of the test rows reaches back into the training rows.
     assert max(r["card1_txn_count_so_far"] or 0 for r in rows) > test.where("card1 = 7").count()
+
+
+def test_best_round_waits_for_the_patience():
+    assert training.best_round([3.0, 2.0, 2.5, 2.4, 1.0], 2) == (2, True)
+    assert training.best_round([3.0, 2.0, 2.5, 2.4, 1.0], 3) == (5, False)
+    assert training.best_round([3.0, 2.0, 2.0], 5) == (2, False)
+    assert training.best_round([float("nan")] * 4, 2) == (4, False) and training.best_round([], 2) == (0, False)
+
+
+def test_boosting_goes_on_after_a_small_gain(planted):
+    train, valid = (training.assembled(d, FEATURES) for d in time_split(planted))
+    slow = training.boosted_trees({**PARAMS, "learning_rate": 0.002}, 6)
+    # The library's own rule ends here at once: no round gains a hundredth.
+    assert training.fit(slow, train, valid).getNumTrees == 6
+    both = train.selectExpr("label", "features", "false AS held_out").unionByName(valid.selectExpr("label", "features", "true AS held_out"))
+    assert slow.copy({slow.validationIndicatorCol: "held_out"}).fit(both).getNumTrees < 6
+
+
+def test_boosting_is_cut_to_its_best_round(spark):
+    rng = random.Random(9)
+    rows = [(float(rng.random() < 0.5), rng.random(), rng.random(), rng.random()) for _ in range(300)]
+    df = spark.createDataFrame([(i, i, int(r[0]), *r[1:]) for i, r in enumerate(rows)],
+                               "TransactionID long, TransactionDT long, isFraud int, x1 double, x2 double, x3 double")
+    train, valid = time_split(df)
+    noisy = {**PARAMS, "max_depth": 5}
+    model, metrics = training.train_baseline_model(train, valid, FEATURES, noisy, 12, early_stopping_rounds=3)
+    fitted = model.full_model.getNumTrees
+    assert metrics["best_iteration"] < fitted <= 12
+    losses = model.history["valid"]
+    assert metrics["best_iteration"] == training.best_round(losses, 3)[0]
+    again = model.model.evaluateEachIteration(training.assembled(valid, FEATURES))
+    assert again == pytest.approx(losses[:len(again)])
+    late = model.predict(valid).join(model.predict(valid, use_best_iteration=False).withColumnRenamed("prediction", "all"), "TransactionID")
+    assert late.where("prediction <> all").count() > 0
+
+
+def test_rates_of_the_training_frame_leave_out_the_own_label(spark):
+    rows = [(i, i, i % 2, f"g{i}") for i in range(8)]
+    df = spark.createDataFrame(rows, "TransactionID long, TransactionDT long, isFraud int, card1 string")
+    encoder = interaction.RateEncoder({"k": ("card1",)})
+    own = encoder.fit_transform(df).collect()
+    assert {round(r["k_fraud_rate"], 12) for r in own} == {0.5} and {r["k_count"] for r in own} == {1}
+    assert encoder.transform(df).columns == encoder.fit_transform(df).columns
+    assert {round(r["k_fraud_rate"], 6) for r in encoder.transform(df).collect()} == {round(5 / 11, 6), round(6 / 11, 6)}
+
+
+def test_weights_of_four_models_are_searched(spark):
+    rng = random.Random(2)
+    rows = [(i, i % 2, rng.random(), rng.random(), rng.random(), 0.6 * (i % 2) + 0.4 * rng.random()) for i in range(200)]
+    df = spark.createDataFrame(rows, "TransactionID long, isFraud int, a double, b double, c double, good double")
+    weights = ensemble.optimize_weights(df, ["a", "b", "c", "good"])
+    assert abs(sum(weights.values()) - 1) < 1e-9 and weights["good"] > 0.25
+    assert all(abs(sum(w) - 1) < 1e-9 for w in ensemble.neighbours([1.0, 0.0, 0.0, 0.0]))
+
+
+@pytest.mark.parametrize("importance, nulls, keep", [
+    (50.0, [40.0, 45.0, 49.0], 1),            # above every null run
+    (50.0, [0.0, 0.0, 60.0], 1),              # over twice the null mean
+    (50.0, [44.0, 46.0, 51.0], 0),
+    (50.0, [45.0, 45.5, 45.2, 45.1, 50.5], 0),
+    (50.0, [40.0] * 30 + [51.0], 1),          # over two deviations above the null mean
+])
+def test_each_null_importance_rule_can_keep(spark, importance, nulls, keep):
+    actual = spark.createDataFrame([("f", importance)], "feature string, importance double")
+    runs = spark.createDataFrame([("f", i, v) for i, v in enumerate(nulls)], "feature string, run int, importance double")
+    assert selection.null_importance_rule(actual, runs).first()["keep"] == keep
+
+
+def test_null_importances_are_gains(planted):
+    train, valid = time_split(planted)
+    kept, table = tuning.FeatureSearch(train, valid, FEATURES, PARAMS, 2).null_importance(2)
+    assert "x1" in kept
+    assert table.agg(F.sum("importance")).first()[0] == pytest.approx(480 * 2)
+
+
+def test_features_without_importance_come_last(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", None), ("c", 3.0), ("d", 1.0)], "feature string, importance double")
+    rows = {r["feature"]: (r["place"], r["cumulative_share"], r["keep"]) for r in selection.importance_cut(df, 0.8, 2).collect()}
+    assert rows == {"c": (1, 0.6, 1), "a": (2, 0.8, 1), "d": (3, 1.0, 0), "b": (4, 1.0, 0)}
