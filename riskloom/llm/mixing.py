@@ -1,9 +1,9 @@
 """Mixing sources to target weights: exact token budgets, met by documents in a hash-random order.
 
 Each document gets a random key from its id. Inside a source, documents are ordered by that key in
-ranges of its leading digits; the sizes of the ranges are summed, prefix sums over the ranges and inside
-each range give every document its place, and each source is cut exactly at its budget. A budget beyond
-the source's size takes whole epochs first. No source is ever ordered in one task.
+ranges of its leading digits, and ranges in blocks. Prefix sums of sizes over the blocks, over the ranges
+of a block and inside each range give every document its place, and each source is cut exactly at its
+budget. A budget beyond the source's size takes whole epochs first. No source is ever ordered in one task.
 """
 
 from __future__ import annotations
@@ -83,10 +83,17 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     head = F.substring("key", 1, RANGE_DIGITS).alias("range")
     ranges = step(sized.groupBy("source", head).agg(F.sum("size").alias("range_size")))
     goal = targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, max_epochs)
-    # At most 65,536 rows per source pass this window.
-    earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.select("source", "range", F.coalesce(F.sum("range_size").over(earlier), F.lit(0)).alias("start"))
-    starts = starts.join(goal, starts["source"].eqNullSafe(goal["source"])).drop(goal["source"])
+    # Neither window has more than 256 rows of a source in one task: blocks of a source, ranges of a block.
+    block = F.substring("range", 1, RANGE_DIGITS // 2).alias("block")
+    blocks = ranges.groupBy("source", block).agg(F.sum("range_size").alias("block_size"))
+    blocks_before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begins = blocks.select("source", "block", F.coalesce(F.sum("block_size").over(blocks_before), F.lit(0)).alias("begin"))
+    begins = begins.join(goal, begins["source"].eqNullSafe(goal["source"])).drop(goal["source"])
+    ranges_before = Window.partitionBy("source", "block").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranges.withColumn("block", block).withColumn(
+        "ahead", F.coalesce(F.sum("range_size").over(ranges_before), F.lit(0)))
+    starts = summed.join(begins, summed["source"].eqNullSafe(begins["source"]) & (summed["block"] == begins["block"])).select(
+        summed["source"], "range", "source_size", "target", (F.col("begin") + F.col("ahead")).alias("start"))
     inside = Window.partitionBy("source", "range").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
     local = sized.withColumn("range", head).withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     both = local.join(starts, local["source"].eqNullSafe(starts["source"]) & (local["range"] == starts["range"])).select(
