@@ -7,10 +7,14 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+#: Paths written inside each open ``intermediates`` block, the innermost last.
+_open_blocks: list[list[str]] = []
 
 
 def build_session(app_name: str = "riskloom", master: str | None = None, **extra: str) -> SparkSession:
@@ -54,10 +58,31 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), "riskloom", uuid.uuid4().hex)
+    if _open_blocks:
+        _open_blocks[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, the tables that operators wrote to the shared folder inside it.
+
+    Frames made in the block read those tables, so write the result before the block ends. Tables are
+    removed through the file system Spark writes them with, also when the block fails, and tables written
+    before the block stay. Blocks may be nested; threads of one driver share the innermost block.
+    """
+    paths: list[str] = []
+    _open_blocks.append(paths)
+    try:
+        yield
+    finally:
+        _open_blocks[:] = [b for b in _open_blocks if b is not paths]
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def slice_count(spark: SparkSession) -> int:
     """Number of range slices for a global order: the session's shuffle width."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

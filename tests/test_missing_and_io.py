@@ -1,11 +1,13 @@
 """Missingness features, sources, sinks and the submission check."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import missing, profiling, taxonomy
+from riskloom import session
+from riskloom.operators import missing, ordering, profiling, taxonomy
 from riskloom.sources import tables
 from tests.frames import collected, frame
 
@@ -115,6 +117,25 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_intermediate_tables_leave_with_their_block(spark, tmp_path):
+    def tables_there():
+        folder = os.path.join(session.shared_folder(spark), "riskloom")
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    rows = spark.createDataFrame([(1, 1.0), (2, 3.0), (3, None)], "TransactionID long, x double")
+    outer = session.written(rows)
+    before = tables_there()
+    with session.intermediates(spark):
+        ordering.row_index(session.written(rows), ["TransactionID"]).write.parquet(str(tmp_path / "result"))
+        with pytest.raises(ValueError), session.intermediates(spark):
+            session.written(rows)
+            inside = tables_there()
+            raise ValueError
+        assert before < tables_there() < inside
+    assert tables_there() == before and outer.count() == 3
+    assert spark.read.parquet(str(tmp_path / "result")).count() == 3
+
+
 def test_csv_keeps_unknown_text_columns_and_fails_on_wrong_values(spark, tmp_path):
     from riskloom.sources.tables import read_csv
 
