@@ -23,8 +23,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.keep_first(docs)
+    """One document of each group of near-duplicates: five-word shingles, a similarity of 0.8."""
+    return simhash.keep_first(docs, shingle=5, threshold=0.8)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

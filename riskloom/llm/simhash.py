@@ -9,6 +9,8 @@ pairs below the guaranteed six are dropped, and the rest is verified bit by bit.
 
 from __future__ import annotations
 
+import math
+import string
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -26,19 +28,28 @@ MAX_BITS = 2
 #: Fingerprints under one key beyond which its partners are looked up by value and not paired.
 LONG_LIST = 2048
 _CHUNK = 1 << 16
+#: One text in so many is looked at for crowded shingles, those in so many texts of the sample; slots that mark them.
+_SAMPLE, _OFTEN, _SLOTS = 16, 8, 1 << 20
 
 
-def simhash(text: str) -> int:
-    """64-bit fingerprint of the 3-word shingles of a text as a signed number; zero without words."""
+def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of the word shingles of a text in order; a shorter text is one shingle, one without words has none."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
-    joined, width = b" ".join(words), min(SHINGLE, len(words))
+        return np.zeros(0, dtype="<u8")
+    joined, width = b" ".join(words), min(shingle, len(words))
     stops = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], stops[:-1] + 1))[: len(words) - width + 1].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops[width - 1:].tolist())),
-                         dtype="<u8", count=len(starts))
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops[width - 1:].tolist())),
+                       dtype="<u8", count=len(starts))
+
+
+def simhash(text: str, shingle: int = SHINGLE) -> int:
+    """64-bit fingerprint of the word shingles of a text as a signed number; zero without words."""
+    hashes = shingles(text, shingle)
+    if not len(hashes):
+        return 0
     votes = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), _CHUNK):
         part = hashes[at:at + _CHUNK].view(np.uint8).reshape(-1, 8)
@@ -47,12 +58,12 @@ def simhash(text: str) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fingerprint long) per row; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pa.array([simhash(t.as_py()) for t in batch.column(1)], pa.int64())
+            found = pa.array([simhash(t.as_py(), shingle) for t in batch.column(1)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), found], ["doc_id", "fingerprint"])
 
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
@@ -101,7 +112,7 @@ def links(prints: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    long_list: int = LONG_LIST) -> DataFrame:
+                    long_list: int = LONG_LIST, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fingerprint long, component_id) per row of ``docs``.
 
     Documents link when their fingerprints differ in at most two bits; component_id is the smallest
@@ -110,7 +121,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     give repeated rows. Rows with a null doc_id link like others but never name a component; it is null
     if no row of it has an id. An empty table gives no rows; other columns are not read.
     """
-    prints = step(fingerprints(docs, doc_id, text))
+    prints = step(fingerprints(docs, doc_id, text, shingle))
     distinct = step(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("lowest")))
     classes = components(links(distinct, long_list))
     told = step(distinct.join(classes, distinct.fingerprint == classes.node, "left").select(
@@ -124,13 +135,129 @@ def hex_digits(fingerprint: str = "fingerprint") -> Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
 
 
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id, with all columns of ``docs``.
+def _clean(text: Column) -> Column:
+    """The words that shingles are made of: ASCII letters in lower case, one space between words."""
+    lower = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    return F.trim(F.regexp_replace(lower, r"[\x20\x09-\x0D]+", " "))
+
+
+def _crowded(texts: DataFrame, shingle: int) -> np.ndarray:
+    """Slots (by low bits) of shingles that many texts hold, told from a sample of the texts.
+
+    Any set of slots gives the same pairs; this one keeps lists short.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                yield pa.record_batch([pa.array(np.unique(shingles(text.as_py(), shingle)).view("<i8"))], ["shingle"])
+
+    sample = texts.where(F.pmod(F.xxhash64("gid"), F.lit(_SAMPLE)) == 0).select("text")
+    often = sample.mapInArrow(run, "shingle long").groupBy("shingle").count().where(F.col("count") >= _OFTEN)
+    slots = np.zeros(_SLOTS, dtype=bool)
+    slots[[r[0] for r in often.select(F.col("shingle").bitwiseAND(F.lit(_SLOTS - 1))).distinct().collect()]] = True
+    return slots
+
+
+def prefixes(texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """(gid, shingle, at, m): of the m different shingles of a text those that one of any similar text must meet.
+
+    With one order of shingles for all texts, two sets of a Jaccard similarity of at least ``threshold``
+    share one among the first m - ceil(threshold * m) + 1 of each. Crowded shingles come last in the order.
+    """
+    slots = _crowded(texts, shingle)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
+                gids, firsts, ats, sizes = [], [], [], []
+                for gid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    found = np.unique(shingles(text.as_py(), shingle))
+                    if m := len(found):
+                        late = slots[(found & np.uint64(_SLOTS - 1)).astype(np.int64)]
+                        first = np.concatenate((found[~late], found[late]))[: m - math.ceil(threshold * m - 1e-9) + 1]
+                        firsts.append(first.view("<i8"))
+                        gids.append(np.full(len(first), gid))
+                        ats.append(np.arange(len(first), dtype=np.int32))
+                        sizes.append(np.full(len(first), m, dtype=np.int32))
+                if gids:
+                    yield pa.record_batch([pa.array(np.concatenate(x)) for x in (gids, firsts, ats, sizes)], ["gid", "shingle", "at", "m"])
+
+    return texts.select("gid", "text").mapInArrow(run, "gid long, shingle long, at int, m int")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """The pairs (a, b) of gids whose texts have a Jaccard similarity of shingles of at least ``threshold``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, np.zeros(0, dtype="<u8")
+        for batch in batches:
+            good = []
+            for gid, x, y in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                if gid != last:
+                    last, own = gid, np.unique(shingles(y.as_py(), shingle))
+                other = np.unique(shingles(x.as_py(), shingle))
+                both = len(np.intersect1d(own, other, assume_unique=True))
+                good.append(both + 1e-9 >= threshold * (len(own) + len(other) - both))
+            yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    first = pairs.join(texts.select(F.col("gid").alias("a"), F.col("text").alias("x")), "a")
+    both = first.join(texts.select(F.col("gid").alias("b"), F.col("text").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def similar_texts(texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """(node, component) over the gids of texts (gid, text) that link at a Jaccard similarity of ``threshold``.
+
+    No radius of 64 bits takes in all such pairs without taking in a fixed share of all pairs, so fingerprints only
+    begin: a text is compared with the first of its SimHash group and with the first of every list of prefix
+    shingles it stands in. Lists that hold several components after that are paired across these. Every link
+    is verified on the shingles themselves and the components are those of all pairs.
+    """
+    hashed = near_duplicates(texts, "gid", "text", shingle=shingle)
+    near = hashed.where("doc_id <> component_id").select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
+    index = step(prefixes(texts, shingle, threshold))
+    lists = index.groupBy("shingle").agg(F.count("*").alias("n"), F.min("gid").alias("a")).where("n > 1")
+    listed = step(index.join(lists.select("shingle", "a"), "shingle"))
+    met = listed.where("gid <> a").select("a", F.col("gid").alias("b"))
+    begun = step(verified(near.unionByName(met).distinct(), texts, shingle, threshold))
+    classes = components(begun)
+    told = step(listed.drop("a").join(classes, listed["gid"] == classes["node"], "left").select(
+        "shingle", "gid", "at", "m", F.coalesce("component", "gid").alias("component")))
+    several = told.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    open_ = step(told.join(several.select("shingle"), "shingle"))
+    x, y = open_.alias("x"), open_.alias("y")
+    # What two texts share at most if this is the first shingle they share.
+    most = F.least(F.col("x.m") - F.col("x.at"), F.col("y.m") - F.col("y.at"))
+    enough = (most + 1e-6 >= threshold / (1 + threshold) * (F.col("x.m") + F.col("y.m")))
+    sized = F.least("x.m", "y.m") + 1e-6 >= threshold * F.greatest("x.m", "y.m")
+    across = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.gid") < F.col("y.gid")) & (F.col("x.component") != F.col("y.component"))
+    rest = x.join(y, across & sized & enough).select(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).distinct()
+    return components(begun.unionByName(verified(rest, texts, shingle, threshold)))
+
+
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+               threshold: float | None = None) -> DataFrame:
+    """One row of each group of near-duplicates, the one with the smallest id, with all columns of ``docs``.
 
-    Rows that repeat an id are one document, of which one row stays; rows with a null id all stay.
+    With a ``threshold`` texts link at a Jaccard similarity of at least that of their sets of ``shingle``-word
+    shingles, and those without words are one group; otherwise groups are those of ``near_duplicates``. Groups are of texts: rows with a null id follow those with one, and different texts
+    that repeat an id are different documents. Among rows of one id the choice depends on their content alone.
     """
-    found = near_duplicates(docs, doc_id, text)
-    ids = found.where("doc_id = component_id").select(F.col("doc_id").alias("_simhash_kept")).distinct()
-    order = Window.partitionBy("_simhash_kept").orderBy(*[F.col(f"`{c}`") for c in docs.columns])
-    named = docs.join(ids, F.col(doc_id) == F.col("_simhash_kept")).withColumn("_simhash_row", F.row_number().over(order))
-    return named.where("_simhash_row = 1").drop("_simhash_row", "_simhash_kept").unionByName(docs.where(F.col(doc_id).isNull()))
+    rows = docs.withColumn("_simhash_row", F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))))
+    clean = _clean(text_or_empty(text))
+    slim = rows.select(F.col(doc_id).alias("id"), "_simhash_row", F.md5(clean).alias("key"))
+    texts = docs.select(clean.alias("text")).groupBy(F.md5("text").alias("key")).agg(F.first("text").alias("text"))
+    texts = step(texts.withColumn("gid", F.monotonically_increasing_id()))
+    if threshold is None:
+        classes = near_duplicates(texts, "gid", "text", shingle=shingle).select(
+            F.col("doc_id").alias("node"), F.col("component_id").alias("component"))
+    else:
+        classes = similar_texts(texts, shingle, threshold)
+    named = texts.select("key", "gid").join(classes, F.col("gid") == F.col("node"), "left").select(
+        "key", F.coalesce("component", "gid").alias("component"))
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("_simhash_row"))
+    first = slim.join(named, "key").groupBy("component").agg(F.min(order).alias("first"))
+    kept = rows.join(step(first.select("first._simhash_row")), "_simhash_row")
+    return kept.dropDuplicates(["_simhash_row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
