@@ -31,6 +31,12 @@ def random_key(doc_id: Column, seed: str = "") -> Column:
     return F.md5(F.concat(F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("null"))))
 
 
+def row_identity(doc_id: Column, source: Column, text: Column) -> Column:
+    """A text of 32 hex digits for what a row is to the mix: its id, source and text, each of which may be null."""
+    marked = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("null"))
+    return F.md5(F.concat_ws("\n", F.md5(marked(doc_id)), F.md5(marked(source)), F.md5(marked(text))))
+
+
 def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """(source, source_size, target) from (source, source_size).
 
@@ -69,17 +75,19 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
         weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = "") -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) per row of ``docs``.
+    """(doc_id, source, size, source_size, target, taken, row) per row of ``docs``.
 
     size is the number of words of the text, 0 for null; taken the words of the document in the mix: its
     size for every epoch, and for the document at the cut its leading words up to the budget, the target
     rounded down. Null sources are one source, the last; null ids are allowed. Ties in the key, repeated ids
-    among them, follow by size; rows alike in both are alike in the result whatever their order.
+    among them, follow by size and then by ``row_identity``, which is the column row; rows alike in all are alike in
+    the result whatever their order.
     An empty table gives no rows. Other columns are not read.
     """
     key = random_key(F.col(doc_id), seed)
     sized = step(docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), key.alias("key")))
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), key.alias("key"),
+        row_identity(F.col(doc_id), F.col(source), F.col(text)).alias("row")))
     head = F.substring("key", 1, RANGE_DIGITS).alias("range")
     ranges = step(sized.groupBy("source", head).agg(F.sum("size").alias("range_size")))
     goal = targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, max_epochs)
@@ -94,29 +102,39 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         "ahead", F.coalesce(F.sum("range_size").over(ranges_before), F.lit(0)))
     starts = summed.join(begins, summed["source"].eqNullSafe(begins["source"]) & (summed["block"] == begins["block"])).select(
         summed["source"], "range", "source_size", "target", (F.col("begin") + F.col("ahead")).alias("start"))
-    inside = Window.partitionBy("source", "range").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "range").orderBy("key", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     local = sized.withColumn("range", head).withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     both = local.join(starts, local["source"].eqNullSafe(starts["source"]) & (local["range"] == starts["range"])).select(
-        "doc_id", local["source"], "size", "source_size", "target", (F.col("start") + F.col("inner")).alias("place"))
+        "doc_id", local["source"], "size", "source_size", "target", "row", (F.col("start") + F.col("inner")).alias("place"))
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     last = F.least(F.greatest(budget - epochs * F.col("source_size") - F.col("place"), F.lit(0)), F.col("size"))
-    return both.select("doc_id", "source", "size", "source_size", "target", (epochs * F.col("size") + last).alias("taken"))
+    return both.select("doc_id", "source", "size", "source_size", "target", (epochs * F.col("size") + last).alias("taken"), "row")
 
 
-def mixed_documents(docs: DataFrame, plan: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def mixed_documents(docs: DataFrame, plan: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                    source: str = "source") -> DataFrame:
     """The rows of ``docs`` as often as ``plan`` (from ``mix``) takes them, with the columns of ``docs``.
 
     The document at the cut ends after its last word that is taken; a column n_chars follows the text.
-    Each id must name one document; the plan's rows with taken = 0 leave.
+    Each row of ``docs`` meets one row of the plan, also where ids are null or repeated: rows alike in id, source and
+    text are numbered on both sides. The plan's rows with taken = 0 leave.
     """
-    per_id = plan.where("taken > 0").select(F.col("doc_id").alias("_mix_id"), F.col("size").alias("_mix_size"),
-                                            F.col("taken").alias("_mix_taken"))
+    # Rows alike differ in taken only at the cut, so a row has at most three ranges of numbers.
+    alike = plan.groupBy(F.col("row").alias("_mix_row"), F.col("size").alias("_mix_size"), F.col("taken").alias("_mix_taken")).agg(
+        F.count("*").alias("_mix_n"))
+    upto = Window.partitionBy("_mix_row").orderBy(F.col("_mix_taken").desc())
+    ranges = alike.withColumn("_mix_last", F.sum("_mix_n").over(upto)).where("_mix_taken > 0")
+    others = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered = docs.withColumn("_mix_key", row_identity(F.col(doc_id), F.col(source), F.col(text))).withColumn(
+        "_mix_at", F.row_number().over(Window.partitionBy("_mix_key").orderBy(others)))
     whole = F.floor(F.col("_mix_taken") / F.col("_mix_size")).cast("int")
     part = (F.col("_mix_taken") % F.col("_mix_size")).cast("int")
     copies = F.concat(F.when(whole > 0, F.array_repeat(F.lit(-1), whole)).otherwise(F.array().cast("array<int>")),
                       F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    rows = docs.join(per_id, F.col(doc_id).eqNullSafe(F.col("_mix_id"))).withColumn("_mix_words", F.explode(copies))
+    mine = (F.col("_mix_key") == F.col("_mix_row")) & (F.col("_mix_at") <= F.col("_mix_last")) & (
+        F.col("_mix_at") > F.col("_mix_last") - F.col("_mix_n"))
+    rows = numbered.join(ranges, mine).withColumn("_mix_words", F.explode(copies))
     leading = F.concat_ws("", F.slice(F.regexp_extract_all(F.col(text), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)),
                                       1, F.greatest("_mix_words", F.lit(0))))
     rows = rows.withColumn(text, F.when(F.col("_mix_words") > 0, leading).otherwise(F.col(text)))

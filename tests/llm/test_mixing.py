@@ -1,11 +1,11 @@
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
 from riskloom.llm import mixing
-from tests.llm.frames import awkward, empty, planted
+from tests.llm.frames import DOCS, awkward, empty, planted
 
 
 def brute(rows):
@@ -62,3 +62,19 @@ def test_empty_table_and_native_plan(spark):
     assert mixing.mix(empty(spark)).count() == 0
     plan = mixing.mix(planted(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_without_an_id_or_with_a_repeated_one_meet_their_own_plan(spark):
+    rows = [(None, f"w{i} " * (i + 1), "en", "s", 0) for i in range(30)] + [(None, "twice the same", "en", "s", 0)] * 3
+    rows += [(i // 2, f"x{i} " * (i % 7 + 1), "en", "t" if i % 3 else None, 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, DOCS)
+    plan = mixing.mix(docs)
+    out = Counter()
+    for r in mixing.mixed_documents(docs, plan).collect():
+        out[r["doc_id"], r["source"]] += len(r["text"].split())
+    want = Counter()
+    for r in plan.collect():
+        want[r["doc_id"], r["source"]] += r["taken"]
+    assert out == +want
+    sizes = Counter(r["size"] for r in plan.collect())
+    assert sizes == Counter(len(r[1].split()) for r in rows)
