@@ -36,8 +36,8 @@ class WordIds:
     White space ends a token of such a tokenizer and leaves no trace, so the ids of a text are the ids of
     its words in a row, and a word that was met before need not be encoded again. A word of a text with
     characters up to U+00FF only is normalised already once it is lower-cased; it is split by the pattern in the tokenizer's
-    own file and its parts go to the tokenizer's model. All other texts go through the tokenizer as they
-    are. Ids are little-endian unsigned 32-bit.
+    own file and its parts go to the tokenizer's model. All other texts, and those that spell an added token of the
+    tokenizer, go through the tokenizer as they are. Ids are little-endian unsigned 32-bit.
     """
 
     def __init__(self, path: str):
@@ -45,10 +45,11 @@ class WordIds:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.words, self.parts = {}, {}
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        added = [t["content"].lower() for t in spec.get("added_tokens") or []]
+        self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
         steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
         self.simple = steps == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
@@ -73,6 +74,9 @@ class WordIds:
             if word not in self.words:
                 self.words[word] = b"".join(map(self.part, self.cut.findall(word)))
 
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def __call__(self, text: str) -> bytes:
         try:
             plain = text.encode("latin-1")
@@ -80,9 +84,11 @@ class WordIds:
             plain = b""
         # U+001C to U+001F end a word for str.split() and not for the tokenizer.
         if not self.simple or len(plain.translate(None, b"\x1c\x1d\x1e\x1f")) < len(text):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.asarray(ids, dtype="<u4").tobytes()
-        words = text.lower().split()
+            return self.whole(text)
+        lower = text.lower()
+        if self.added and self.added.search(lower):
+            return self.whole(text)
+        words = lower.split()
         try:
             return b"".join([self.words[w] for w in words])
         except KeyError:

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from riskloom.llm import packing
 from tests.llm.frames import awkward, empty, planted
@@ -47,6 +48,13 @@ def test_word_look_ups_equal_whole_texts():
         assert np.frombuffer(reader(text), "<u4").tolist() == reader.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_have_the_ids_of_the_untouched_tokenizer():
+    reader, plain = packing.WordIds(PATH), Tokenizer.from_file(PATH)
+    assert np.frombuffer(reader("a<|endoftext|>b"), "<u4").tolist() == [320, 49407, 321]
+    for text in ["<|startoftext|> x <|endoftext|>", "<|ENDOFTEXT|> y", "a <|endoftext|", "c<|endoftext|><|endoftext|>d", "\u4e00<|endoftext|>"]:
+        assert np.frombuffer(reader(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("make", [awkward, planted])
 def test_pieces_hold_the_ids_of_the_texts(spark, make):
     docs = make(spark)
