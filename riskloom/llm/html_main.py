@@ -40,13 +40,19 @@ CONTENT = frozenset("article main".split())
 NO_CONTENT = frozenset(
     "head title nav footer aside form script style noscript template iframe object embed select option button input "
     "textarea svg math canvas audio video map dialog menu datalist xmp noembed noframes".split())
-# Containers that hold no content, by a part of their class or id, and by their role.
+# Containers that hold no content, by a class or their id, and by their role.
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion nav navbar "
     "navigation menu menus breadcrumb breadcrumbs sidebar aside rail footer masthead topbar toolbar header cookie cookies "
     "consent gdpr notice notices notification alert popup modal overlay comment comments commentlist disqus reply replies "
     "respond discussion share sharing social related recommended newsletter subscribe signup login search pager pagination "
     "widget widgets skip hidden".split())
+# Of these names those that parts of an article have as well; inside it only the template tells.
+UNSURE = frozenset(
+    "header discussion notice notices notification alert related recommended respond reply replies share sharing social "
+    "promo promotion rail overlay search widget widgets skip sidebar aside login banner menu sponsor sponsored".split())
+# Elements that are never lifted; of the others those named as without content may turn out to hold the page.
+NEVER = NO_CONTENT - {"form"}
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
 _TOKEN = re.compile(
@@ -72,21 +78,46 @@ def excluded(name: str, attributes: str, inside_content: bool) -> bool:
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "role" and value in ROLES):
             return True
         if key in ("class", "id"):
-            parts = {p for word in value.split() for p in re.split(r"[-_]+|(?<=[a-z])(?=\d)", word)}
-            if (parts - {"header"} if inside_content else parts) & NAMES:
+            if set(value.split()) & (NAMES - UNSURE if inside_content else NAMES):
                 return True
     return False
 
 
+def unseen(attributes: str) -> bool:
+    return any(k.lower() == "hidden" or (k.lower() == "aria-hidden" and "".join(v).lower() == "true")
+               for k, *v in _ATTRIBUTE.findall(attributes))
+
+
 def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
+    """``read`` of the page. Where no article is left, an exclusion does not hold for containers around one.
+
+    On a page without an article it does not hold for a container that has most of the page's text, such as a form
+    around the page.
+    """
+    lifted: frozenset[int] = frozenset()
+    while True:
+        out, weights, around = read(page, lifted)
+        if any(text and inside and not out_of_it for _, text, inside, out_of_it in out):
+            return out
+        most = sum(len(text) for _, text, _, _ in out) / 2
+        more = around or {at for at, weight in weights.items() if weight > most}
+        if not more:
+            return out
+        lifted |= more
+
+
+def read(page: str, lifted: frozenset[int]) -> tuple[list[tuple[str, str, bool, bool]], dict[int, int], set[int]]:
     """(path, text, inside the article, excluded) of every text block, and of every container with an empty text.
 
     The path names the containers around a block. White space inside a block is one space; a tag that is
     not inline ends a block, a line break inside it is a space. End tags without a start are ignored and
-    missing end tags are implied by those of the containers around.
+    missing end tags are implied by those of the containers around. Then, by the places of the excluded containers
+    that can be lifted: the length of their text, and which have an article inside. Those in ``lifted`` are not excluded.
     """
     out: list[tuple[str, str, bool, bool]] = []
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+    stack: list[tuple[str, str, bool, bool, int]] = [("", "", False, False, -1)]
+    weights: dict[int, int] = {}
+    around: set[int] = set()
     held: list[str] = []
 
     def flush() -> None:
@@ -95,6 +126,8 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
             held.clear()
             if text:
                 out.append((stack[-1][1], text, stack[-1][2], stack[-1][3]))
+                if stack[-1][4] >= 0:
+                    weights[stack[-1][4]] = weights.get(stack[-1][4], 0) + len(text)
 
     at, end, match = 0, len(page), _TOKEN.match
     while at < end:
@@ -115,8 +148,8 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
                     del stack[n:]
                     break
             continue
-        _, path, inside, out_of_it = stack[-1]
-        no_content = out_of_it or excluded(name, found[3], inside)
+        _, path, inside, out_of_it, root = stack[-1]
+        no_content = out_of_it or (found.start() not in lifted and excluded(name, found[3], inside))
         if name in INLINE and not (no_content and not out_of_it):
             if name == "br":
                 held.append(" ")
@@ -131,16 +164,20 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
         if name == "p" or name == "li":  # their end tags are often left out
             if stack[-1][0] == name:
                 stack.pop()
-                _, path, inside, out_of_it = stack[-1]
-                no_content = out_of_it or excluded(name, found[3], inside)
+                _, path, inside, out_of_it, root = stack[-1]
+                no_content = out_of_it or (found.start() not in lifted and excluded(name, found[3], inside))
         label = "#".join([name, *sorted(v.lower() for _, *vs in _ATTRIBUTE.findall(found[3]) for v in vs if v)]) if found[3] else name
         inside = inside or (name in CONTENT and not no_content)
-        stack.append((name, f"{path}/{label}", inside, no_content))
+        if no_content and not out_of_it and name not in NEVER and not unseen(found[3]):
+            root = found.start()
+        if name in CONTENT and root >= 0:
+            around.add(root)
+        stack.append((name, f"{path}/{label}", inside, no_content, root))
         out.append((stack[-1][1], "", inside, no_content))
         if len(stack) > 512:  # nobody nests content so deep; the rest of such a page is read flat
             del stack[256:]
     flush()
-    return out
+    return out, weights, around
 
 
 def token(path: str, text: str) -> int:

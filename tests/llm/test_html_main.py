@@ -19,6 +19,19 @@ def test_markup():
     assert main_text("<div>" * 3000 + "deep") == "deep"
 
 
+def test_exclusions_do_not_take_the_page():
+    for page in ["<div class='layout with-sidebar'><article>kept</article></div>", "<div id='page' class='has-nav'><article>kept</article></div>",
+                 "<form><div><main>kept</main></div></form>", "<form><p>kept</p></form>", "<form class=search><p>kept</form><nav>m</nav>",
+                 "<div class=sidebar><div class=menu><article>kept</article></div></div>"]:
+        assert main_text(page) == "kept"
+    assert main_text("<p>x</p><div hidden>never shown, however long it may be</div>") == "x"
+    inner = "<article><p>a</p><section id='discussion'>b</section><div class='related-work'>c</div><p class='notice'>d</p></article>"
+    assert main_text(inner) == "a\n\nb\n\nc\n\nd"
+    # Exclusions that leave an article stay, also those of articles.
+    assert main_text("<article>a<div id=comments><article>me too, and at length</article></div></article>") == "a"
+    assert main_text("<article>a</article><div class=sidebar><article>other</article></div><form>b, and more of it</form>") == "a"
+
+
 def frame(spark):
     rows, want = [], {}
     for i in range(12):  # one host whose menu and notice are plain elements, so only its template tells them
