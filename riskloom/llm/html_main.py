@@ -2,10 +2,11 @@
 
 Tokens are the tags of a page, told apart by the containers around them, and its text blocks. Tokens of
 one host whose occurrence vectors over the host's pages agree form an equivalence class. Classes that are
-frequent and hold a tag are valid; nested by the containers of their tags they are the host's template,
+frequent and hold a tag are valid; together they are the host's template,
 and what they fix on every page - menus, notices, footers, whatever their markup - is not content. What
-lies between the template's tokens are the slots. A slot is extracted unless a container around it says
-that it is no part of the article (navigation, form, advert, comment and so on).
+lies between the template's tokens are the slots, inside an article as well as around it. A slot is extracted
+unless it is outside the page's article or a container around it says that it is no part of it (navigation,
+form, advert, comment and so on). Valid classes are not arranged in a tree: a class counts if it holds a tag.
 
 An occurrence vector is held as the sum of a hash per (page, count), so that a host of any size is
 aggregated with partial sums. Equal pages of a host count once.
@@ -185,9 +186,9 @@ def token(path: str, text: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _outer(found: list[tuple[str, str, bool, bool]]) -> Counter:
-    """Counts of the tokens a template can be made of: all that stand outside the article."""
-    return Counter((token(path, text), not text) for path, text, inside, _ in found if not inside)
+def _counts(found: list[tuple[str, str, bool, bool]]) -> Counter:
+    """Counts of all tokens of a page, those inside the article included."""
+    return Counter((token(path, text), not text) for path, text, _, _ in found)
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -204,7 +205,7 @@ def templates(pages: DataFrame) -> DataFrame:
             out = []
             for host, page in zip(batch["host"], batch["html"]):
                 digest = xxhash.xxh64_intdigest(page.encode("utf-8", "surrogatepass")) >> 1
-                counts = _outer(blocks(page))
+                counts = _counts(blocks(page))
                 out.append((host, digest, [{"token": t, "tag": tag, "n": n} for (t, tag), n in counts.items()]))
             yield pd.DataFrame(out, columns=["host", "page", "tokens"])
 
@@ -214,6 +215,8 @@ def templates(pages: DataFrame) -> DataFrame:
         "tokens", F.array(F.struct(F.lit(0).cast("long").alias("token"), F.lit(True).alias("tag"), F.lit(1).alias("n"))))).alias("t"))
     vectors = seen.groupBy("host", "t.token", "t.tag").agg(
         F.count("*").alias("pages"), F.sum(F.xxhash64("page", "t.n").cast("decimal(38,0)")).alias("vector"))
+    # The many tokens of few pages are in no valid class; a host of few pages has none.
+    vectors = vectors.where(F.col("pages") >= LEAST_PAGES)
     classes = vectors.groupBy("host", "pages", "vector").agg(
         F.max("tag").alias("nested"), F.collect_list(F.when(~F.col("tag"), F.col("token"))).alias("texts"),
         F.max(F.col("token") == 0).alias("root"))
@@ -227,13 +230,14 @@ def templates(pages: DataFrame) -> DataFrame:
 def main_text(page: str, fixed: frozenset[int] = frozenset()) -> str:
     """The main text of one page: its blocks in order, joined by an empty line.
 
-    With an article (or main) element the content is what stands inside, otherwise all of the page that
-    the template ``fixed`` does not fix; excluded containers are left out of both.
+    What the template ``fixed`` fixes is left out, inside an article as well, and so are excluded containers. Among the
+    slots that remain the article (or main element) decides: with one, the content is what stands inside. An article
+    that is fixed as a whole stays.
     """
-    found = blocks(page)
-    inner = [text for _, text, inside, out_of_it in found if text and inside and not out_of_it]
-    if not inner:
-        inner = [text for path, text, _, out_of_it in found if text and not out_of_it and token(path, text) not in fixed]
+    found = [(path, text, inside) for path, text, inside, out_of_it in blocks(page) if text and not out_of_it]
+    slots = [(text, inside) for path, text, inside in found if token(path, text) not in fixed]
+    article = [text for _, text, inside in found if inside]
+    inner = ([text for text, inside in slots if inside] or article) if article else [text for text, _ in slots]
     return "\n\n".join(inner)
 
 

@@ -55,6 +55,14 @@ def test_template_of_a_host(spark):
     assert Counter((r["page_id"], r["url"], r["text"]) for r in got) == Counter((i, u, want[i]) for i, u, _ in rows)
 
 
+def test_template_inside_the_article(spark):
+    rows = [(i, f"http://h.example/{i}", f"<article><h1>Title {i}</h1><div class=x1>Tell your friends</div><p>Own words {i}.</p>"
+             f"<section class=x2><p>Comments are closed.</p></section></article>", "", 0) for i in range(8)]
+    rows += [(20 + i, "http://same.example/", f"<!-- {i} --><article>The same on all pages</article>", "", 0) for i in range(6)]
+    got = {r["page_id"]: r["text"] for r in html_main.extract(spark.createDataFrame(rows, KIND)).collect()}
+    assert got == {i: f"Title {i}\n\nOwn words {i}." for i in range(8)} | {20 + i: "The same on all pages" for i in range(6)}
+
+
 def test_repeated_rows_and_empty_table(spark):
     df, rows, _ = frame(spark)
     assert html_main.extract(df.unionByName(df)).count() == 2 * len(rows)
