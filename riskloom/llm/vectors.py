@@ -37,16 +37,32 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & good & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
-def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, miss: float = MISS) -> int:
+def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, miss: float = MISS,
+               spread: dict[float, int] | None = None) -> int:
     """Passes after which a pair at the threshold is missed with a probability of at most ``miss``.
 
+    ``spread`` has the squared lengths that unit vectors keep relative to the mean, and how many have each; without
+    it the mean is taken to be zero. A pair stays as far apart when the mean is taken away, so the shorter its vectors
+    get, the wider is their angle. The probability is that over all vectors but those of a squared length of at
+    most 1 - threshold: they are about as near to each other as a link asks, so none of their pairs is isolated.
     Two vectors at angle t agree in one bit with probability 1 - t / pi; they meet in a window if they
     agree in the bits that single it out. These are taken to be log2(4 n / window): where vectors crowd
     together a window reaches less far than on average.
     """
-    agree = 1 - math.acos(min(1.0, threshold)) / math.pi
+    far = {r: many for r, many in (spread or {1.0: 1}).items() if r > 1 - threshold + 1e-9}
+    if not far:
+        return 1
+    lengths, share = np.array(list(far)), np.array(list(far.values())) / sum(far.values())
+    agree = 1 - np.arccos(np.clip(1 - (1 - threshold) / lengths, -1, 1)) / math.pi
     meet = agree ** max(0.0, math.log2(4 * max(n, 1) / window))
-    return 1 if meet >= 1 else max(1, math.ceil(math.log(miss) / math.log1p(-meet)))
+    missed = lambda passes: float(share @ (1 - meet) ** passes)
+    low, high = 0, 1
+    while missed(high) > miss:
+        low, high = high, 2 * high
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if missed(middle) > miss else (low, middle)
+    return high
 
 
 def unit(vector: Column) -> Column:
@@ -68,14 +84,34 @@ def _same_length(frame: pd.DataFrame) -> list[pd.DataFrame]:
     return [part for _, part in frame.groupby(frame["vector"].map(len), sort=True)]
 
 
-def projection_order(reps: DataFrame, passes: int, seed: int = 0) -> DataFrame:
-    """(pass, dims, bits, gid) of every vector in every pass."""
-    at = reps.select("gid", "vector", F.size("vector").alias("dims"))
-    # One mean vector per length: hashes are taken of the vectors relative to it.
+def centres(reps: DataFrame) -> dict[int, np.ndarray]:
+    """The mean vector of each length."""
+    at = reps.select("vector", F.size("vector").alias("dims"))
     means = {}
     for r in at.select("dims", F.posexplode("vector").alias("i", "v")).groupBy("dims", "i").agg(F.avg("v").alias("m")).collect():
         means.setdefault(r["dims"], {})[r["i"]] = r["m"]
-    centre = {d: np.array([m[i] for i in range(d)]) for d, m in means.items()}
+    return {d: np.array([m[i] for i in range(d)]) for d, m in means.items()}
+
+
+def passes_needed(reps: DataFrame, threshold: float, window: int, centre: dict[int, np.ndarray]) -> int:
+    """``passes_for`` the vectors of the length that needs most, by their measured spread around the mean."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                for part in _same_length(batch):
+                    x = np.stack(part["vector"].to_list()) - centre[len(part["vector"].iloc[0])]
+                    yield pd.DataFrame({"dims": x.shape[1], "bin": np.floor((x * x).sum(axis=1) * 200).astype(np.int32)})
+
+    bins: dict[int, dict[float, int]] = {}
+    for r in reps.select("vector").mapInPandas(run, "dims int, bin int").groupBy("dims", "bin").count().collect():
+        bins.setdefault(r["dims"], {})[r["bin"] / 200] = r["count"]
+    return max((passes_for(sum(b.values()), threshold, window, spread=b) for b in bins.values()), default=1)
+
+
+def projection_order(reps: DataFrame, passes: int, seed: int = 0, centre: dict[int, np.ndarray] | None = None) -> DataFrame:
+    """(pass, dims, bits, gid) of every vector in every pass; hashes are taken relative to the mean of its length."""
+    centre = centres(reps) if centre is None else centre
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -88,12 +124,13 @@ def projection_order(reps: DataFrame, passes: int, seed: int = 0) -> DataFrame:
                         bits = (x @ planes > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
                         yield pd.DataFrame({"pass": n, "dims": dims, "bits": bits, "gid": part["gid"].to_numpy()})
 
-    return at.select("gid", "vector").mapInPandas(run, "pass int, dims int, bits long, gid long")
+    return reps.select("gid", "vector").mapInPandas(run, "pass int, dims int, bits long, gid long")
 
 
-def window_links(reps: DataFrame, threshold: float, passes: int, window: int = WINDOW, seed: int = 0) -> DataFrame:
+def window_links(reps: DataFrame, threshold: float, passes: int, window: int = WINDOW, seed: int = 0,
+                 centre: dict[int, np.ndarray] | None = None) -> DataFrame:
     """(a, b) links between gids that connect every group of vectors found to be linked in some window."""
-    placed = row_index(projection_order(reps, passes, seed), ["pass", "dims", "bits", "gid"], "place")
+    placed = row_index(projection_order(reps, passes, seed, centre), ["pass", "dims", "bits", "gid"], "place")
     block = F.floor(F.col("place") / window)
     # Every block is compared with itself and with the one before it.
     dealt = placed.select("gid", F.explode(F.array(block, block + 1)).alias("block")).join(reps, "gid")
@@ -157,15 +194,15 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "e
     never do, nor do those of ``usable`` = False, which are components of their own. Equal vectors are
     compared once and all link with each other: repeated rows count as vectors. Rows with a null vec_id
     link with nothing, belong to no component and are not kept. An empty table gives no rows; other columns
-    are not read. ``passes`` follows from the number of vectors unless it is given.
+    are not read. ``passes`` follows from the number of vectors and their spread unless it is given.
     """
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     fine = usable(F.col("vector")) & F.col("vec_id").isNotNull()
     groups = rows.where(fine).groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     groups = step(groups.withColumns({"gid": F.monotonically_increasing_id(), "unit": unit(F.col("vector"))}))
-    n = groups.count()
     reps = groups.select("gid", F.col("unit").alias("vector"))
-    edges = window_links(reps, threshold, passes or passes_for(n, threshold, window), window, seed)
+    centre = centres(reps)
+    edges = window_links(reps, threshold, passes or passes_needed(reps, threshold, window, centre), window, seed, centre)
     found = step(components(edges))
     members = groups.join(found, groups.gid == found.node).drop("node")
     links = step(link_counts(members.select("gid", "component", F.col("unit").alias("vector"), "copies"), threshold))

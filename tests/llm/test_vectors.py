@@ -55,3 +55,31 @@ def test_repeated_rows_and_empty_table(spark):
 
 def test_passes_follow_from_the_number_of_vectors():
     assert vectors.passes_for(60) == 1 < vectors.passes_for(10_000) < vectors.passes_for(10**8)
+
+
+def test_passes_follow_from_the_spread_around_the_mean():
+    rng = np.random.default_rng(3)
+    n, pairs, dims, window = 12_000, 300, 64, 16
+    common = rng.standard_normal(dims)
+    common /= np.linalg.norm(common)
+    own = rng.standard_normal((n, dims))
+    x = np.sqrt(0.7) * common + np.sqrt(0.3) * own / np.linalg.norm(own, axis=1)[:, None]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.standard_normal((pairs, dims))
+    side -= (side * x[:pairs]).sum(axis=1)[:, None] * x[:pairs]
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    x[pairs:2 * pairs] = 0.905 * x[:pairs] + np.sqrt(1 - 0.905**2) * side
+    y = x - x.mean(axis=0)
+    values, counts = np.unique(np.floor((y * y).sum(axis=1) * 200) / 200, return_counts=True)
+
+    def met(passes):
+        found = np.zeros(pairs, bool)
+        for k in range(passes):
+            bits = (y @ np.random.default_rng([0, k, dims]).standard_normal((dims, vectors.BITS)) > 0) @ (1 << np.arange(vectors.BITS - 1, -1, -1))
+            place = np.argsort(np.argsort(bits, kind="stable")) // window
+            found |= np.abs(place[:pairs] - place[pairs:2 * pairs]) <= 1
+        return found.mean()
+
+    assert met(vectors.passes_for(n, window=window)) < 0.99
+    assert met(vectors.passes_for(n, window=window, spread=dict(zip(values.tolist(), counts.tolist())))) >= 0.998
+    assert vectors.passes_for(n, spread={0.05: 10}) == 1
