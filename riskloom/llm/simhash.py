@@ -3,8 +3,9 @@
 Fingerprints that differ in at most two bits share at least six of their eight positional bytes. The
 index lists every fingerprint under six keys of four positional bytes each: the eight bytes form four
 neighbouring couples, two differing bits touch at most two couples, and so each such pair meets under
-the key of two untouched couples. For every pair that meets, the shared positional bytes are tallied,
-pairs below the guaranteed six are dropped, and the rest is verified bit by bit.
+the key of two untouched couples. The keys stand in for a tally of shared bytes over lists of single bytes,
+which would hold a 256th of all fingerprints each. Every pair that meets is verified bit by bit, which implies
+the guaranteed six bytes.
 """
 
 from __future__ import annotations
