@@ -47,6 +47,16 @@ def test_accuracy_on_the_tables(spark):
     assert np.mean([(r["s"] >= quality.THRESHOLD) == r["quality"] for r in rows]) > 0.8
 
 
+def test_both_labels_are_told_apart_on_the_tables(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    rows = docs.join(labels, "doc_id").where(quality.held_out()).select("quality", model.score(F.col("text")).alias("s")).collect()
+    label, score = np.array([r["quality"] for r in rows]), np.array([r["s"] for r in rows])
+    good, bad = score[label == 1], score[label == 0]
+    assert len(bad) >= 10 and np.mean(good[:, None] > bad) > 0.97
+    assert np.mean(good >= quality.THRESHOLD) > 0.95 and np.mean(bad < quality.THRESHOLD) > 0.9
+
+
 @pytest.mark.parametrize("labels", [[], [(5, 1, 0)], [(None, 1, None), (5, None, 0), (5, 1, 0), (5, 0, 0), (8, 7, 1), (9, 1, 0), (99, 0, 0)]])
 def test_awkward_rows(spark, labels):
     docs, table = awkward(spark), spark.createDataFrame(labels, LABELS)
