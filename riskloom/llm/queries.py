@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
-    chat, fingerprints, html_main, mixing, packing, quality, simhash, substrings, vectors, warc,
+    chat, fingerprints, html_main, mixing, packing, quality, ranking, runs, simhash, substrings, suffixes, vectors, warc,
 )
 from riskloom.llm.common import table
 
@@ -87,6 +87,30 @@ def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "edited_fingerprint", "near_edited", "near_next")
 
 
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 200-byte strings that stand anywhere else."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeating words of all documents, every tenth of which is made to repeat a passage."""
+    found = runs.periodic_runs(runs.with_repeating_tails(table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 CHAT_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -182,6 +206,30 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coales
 FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
 
+RANKING_SQL = r"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS row, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+counts AS (SELECT row, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+docs AS (SELECT row, sum(tf)::BIGINT AS n FROM counts GROUP BY row),
+total AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+asked AS (
+  SELECT qid, item_id, term, count(*) AS qtf FROM (
+    SELECT item_id, row_number() OVER () AS qid, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM counts, total WHERE term IN (SELECT term FROM asked) GROUP BY term, n_docs),
+scores AS (
+  SELECT qid, item_id, row, doc_id, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN docs USING (row), total GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": best_fit_packing,
     "op2_chat_formatting": chat_formatting,
@@ -193,6 +241,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": html_extraction,
     "op9_substring_dedup": substring_dedup,
     "op10_document_fingerprints": document_fingerprints,
+    "op11_lexical_search": lexical_search,
+    "op12_suffix_dedup": suffix_dedup,
+    "op13_periodic_runs": periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -201,4 +252,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_embedding_dedup": VECTOR_SQL,
     "op6_warc": WARC_SQL,
     "op9_substring_dedup": SUBSTRING_SQL,
+    "op11_lexical_search": RANKING_SQL,
 }
