@@ -10,12 +10,14 @@ local count plus the counts of earlier slices. No group of equal lengths is ever
 from __future__ import annotations
 
 import json
-import struct
+import re
+import unicodedata
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,9 +27,36 @@ from riskloom.llm.common import step, text_or_empty
 
 BUDGET = 2048
 SEPARATOR = 0
-#: Words whose ids a task remembers; beyond that it forgets all and starts again.
-WORDS_KEPT = 120_000
-_DOCS = 128
+#: Words, and parts of words, that one of the two generations of a worker's memory holds.
+WORDS_KEPT, PARTS_KEPT = 300_000, 150_000
+#: Documents, and their characters, that are looked up together.
+_DOCS, _CHARS = 128, 1 << 20
+#: Bytes that a byte-level tokenizer shows as themselves; the others are shown as U+0100 and on, in their order.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+
+class TwoGenerations(dict):
+    """Found values by key. A full generation becomes the old one, in which what is asked for again is found."""
+
+    def __init__(self, most: int):
+        self.most, self.old = most, {}
+
+    def turn(self) -> None:
+        """To be called between two uses: what was not asked for during a whole generation is forgotten."""
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
+    def missing(self, keys: set) -> list:
+        """Those of ``keys`` that neither generation holds; those of the old one move to the new."""
+        unknown = []
+        for key in keys:
+            found = self.old.get(key)
+            if found is None:
+                unknown.append(key)
+            else:
+                self[key] = found
+        return unknown
 
 
 class WordIds:
@@ -36,64 +65,102 @@ class WordIds:
     White space ends a token of such a tokenizer and leaves no trace, so the ids of a text are the ids of
     its words in a row, and a word that was met before need not be encoded again. A word of a text with
     characters up to U+00FF only is normalised already once it is lower-cased; it is split by the pattern in the tokenizer's
-    own file and its parts go to the tokenizer's model. All other texts, and those that spell an added token of the
-    tokenizer, go through the tokenizer as they are. Ids are little-endian unsigned 32-bit.
+    own file and its parts go to the tokenizer's model, those of many words at once. All other texts, and those that spell
+    an added token of the tokenizer, go through the tokenizer as they are. Ids are little-endian unsigned 32-bit.
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words, self.parts = {}, {}
+        self.words, self.parts = TwoGenerations(WORDS_KEPT), TwoGenerations(PARTS_KEPT)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        added = [t["content"].lower() for t in spec.get("added_tokens") or []]
-        self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
+        self.added = [t["content"].lower() for t in spec.get("added_tokens") or []]
         steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
-        self.simple = steps == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.simple = steps == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cuts] == ["Split", "ByteLevel"] and bool(suffix)
         if self.simple:
-            self.cut = regex.compile(cuts[0]["pattern"]["Regex"])
-            self.bytes_as_text = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-
-    def part(self, part: str) -> bytes:
-        found = self.parts.get(part)
-        if found is None:
-            shown = part if part.isascii() and part.isprintable() else self.bytes_as_text.pre_tokenize_str(part)[0][0]
-            ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
-            found = self.parts[part] = struct.pack(f"<{len(ids)}I", *ids)
-        return found
+            self.cut = re.compile(self._narrow(cuts[0]["pattern"]["Regex"]))
+            # The model alone, for parts that blanks keep apart; its last token of each part has the suffix.
+            self.model = Tokenizer(self.tokenizer.model)
+            self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+            hidden = [b for b in range(256) if b not in set(_SHOWN)]
+            self.shown = {b: b for b in _SHOWN} | {b: 256 + n for n, b in enumerate(hidden)}
+
+    @staticmethod
+    def _narrow(pattern: str) -> str:
+        """The pattern with letters and numbers spelt out for characters up to U+00FF."""
+        for kind in "LN":
+            own = "".join(re.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == kind)
+            pattern = pattern.replace(f"[\\p{{{kind}}}]", f"[{own}]").replace(f"\\p{{{kind}}}", own)
+        return pattern
+
+    def new_parts(self, parts: list[str]) -> None:
+        shown = [p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(self.shown) for p in parts]
+        ids = np.asarray(self.model.encode_batch_fast([" ".join(shown)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) == len(parts):
+            data, stops = ids.tobytes(), (4 * ends).tolist()
+            self.parts.update(zip(parts, (data[a:b] for a, b in zip([0] + stops, stops))))
+        else:
+            for part, own in zip(parts, shown):
+                self.parts[part] = np.array([t.id for t in self.tokenizer.model.tokenize(own)], dtype="<u4").tobytes()
 
     def new_words(self, words: list[str]) -> None:
-        if len(self.words) > WORDS_KEPT:
-            self.words.clear()
-        if len(self.parts) > WORDS_KEPT:
-            self.parts.clear()
-        for word in words:
-            if word not in self.words:
-                self.words[word] = b"".join(map(self.part, self.cut.findall(word)))
+        cut = [self.cut.findall(w) for w in words]
+        self.parts.turn()
+        unknown = self.parts.missing({p for own in cut for p in own} - self.parts.keys())
+        if unknown:
+            self.new_parts(unknown)
+        part = self.parts.__getitem__
+        self.words.update(zip(words, (part(own[0]) if len(own) == 1 else b"".join(map(part, own)) for own in cut)))
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def __call__(self, text: str) -> bytes:
+    def split(self, text: str) -> list[str] | None:
+        """The words of a text that can be looked up, None if it has to go through the tokenizer."""
         try:
             plain = text.encode("latin-1")
         except UnicodeEncodeError:
-            plain = b""
+            return None
         # U+001C to U+001F end a word for str.split() and not for the tokenizer.
         if not self.simple or len(plain.translate(None, b"\x1c\x1d\x1e\x1f")) < len(text):
-            return self.whole(text)
+            return None
         lower = text.lower()
-        if self.added and self.added.search(lower):
-            return self.whole(text)
-        words = lower.split()
-        try:
-            return b"".join([self.words[w] for w in words])
-        except KeyError:
-            self.new_words(words)
-            return b"".join([self.words[w] for w in words])
+        return None if any(a in lower for a in self.added) else lower.split()
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        self.words.turn()
+        split = [self.split(t) for t in texts]
+        unknown = self.words.missing(set().union(*(s for s in split if s)) - self.words.keys())
+        if unknown:
+            self.new_words(unknown)
+        word = self.words.__getitem__
+        return [self.whole(t) if s is None else b"".join(map(word, s)) for t, s in zip(texts, split)]
+
+    def __call__(self, text: str) -> bytes:
+        return self.many([text])[0]
+
+
+#: The readers of this worker, by path: what a task has met, later tasks need not encode again.
+_readers: dict[str, WordIds] = {}
+
+
+def _together(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of up to ``_DOCS`` texts with ``_CHARS`` characters, or of one longer text."""
+    first = held = 0
+    for n, size in enumerate(sizes):
+        if n > first and (n - first == _DOCS or held + size > _CHARS):
+            yield first, n
+            first, held = n, 0
+        held += size
+    if len(sizes) > first:
+        yield first, len(sizes)
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text",
@@ -109,13 +176,15 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", tex
     end = np.asarray([separator], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_ids, place, ranks = WordIds(tokenizer_path), TaskContext.get().partitionId(), [0] * (budget + 1)
+        if tokenizer_path not in _readers:
+            _readers[tokenizer_path] = WordIds(tokenizer_path)
+        word_ids, place, ranks = _readers[tokenizer_path], TaskContext.get().partitionId(), [0] * (budget + 1)
         for whole in batches:
-            for at in range(0, whole.num_rows, _DOCS):
-                batch = whole.slice(at, _DOCS)
+            for first, last in _together(pc.utf8_length(whole.column(1)).to_pylist()):
+                batch = whole.slice(first, last - first)
                 rows = []
-                for name, text_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    ids = word_ids(text_) + end
+                for name, ids in zip(batch.column(0).to_pylist(), word_ids.many(batch.column(1).to_pylist())):
+                    ids += end
                     for n, begin in enumerate(range(0, len(ids), 4 * budget)):
                         piece = ids[begin:begin + 4 * budget]
                         length = len(piece) // 4
