@@ -1,11 +1,11 @@
-"""Near-duplicate documents by SimHash, found through a byte-position inverted index.
-
-Fingerprints that differ in at most two bits share at least six of their eight positional bytes. The
-index lists every fingerprint under six keys of four positional bytes each: the eight bytes form four
-neighbouring couples, two differing bits touch at most two couples, and so each such pair meets under
-the key of two untouched couples. The keys stand in for a tally of shared bytes over lists of single bytes,
-which would hold a 256th of all fingerprints each. Every pair that meets is verified bit by bit, which implies
-the guaranteed six bytes.
+"""Near-duplicate documents by SimHash, found through a byte-position inverted index with count filtering.
+
+Fingerprints that differ in at most two bits share at least six of their eight positional bytes. Lists of single
+positional bytes would hold a 256th of all fingerprints each, so the index has a list for every four of the eight
+positions and every value of these bytes: 70 postings per fingerprint, in lists of a 2^32nd. A pair that shares b
+positional bytes shares C(b, 4) lists. The lists that each pair shares are tallied, pairs with the guaranteed
+C(6, 4) = 15 are retained and verified bit by bit. A fingerprint in a long list is not paired: all values within two
+bits of it are looked up.
 """
 
 from __future__ import annotations
@@ -26,11 +26,12 @@ from riskloom.llm.common import components, step, text_or_empty
 SEED = 42
 SHINGLE = 3
 MAX_BITS = 2
-#: Fingerprints under one key beyond which its partners are looked up by value and not paired.
-LONG_LIST = 2048
+#: Fingerprints of one list beyond which its partners are looked up by value, about as many rows as pairs would be.
+LONG_LIST = 64
+#: Positions of a list, and the lists that a pair with the guaranteed shared bytes shares.
+_POSITIONS = 4
+_LISTS = math.comb(8 - MAX_BITS, _POSITIONS)
 _CHUNK = 1 << 16
-#: One text in so many is looked at for crowded shingles, those in so many texts of the sample; slots that mark them.
-_SAMPLE, _OFTEN, _SLOTS = 16, 8, 1 << 20
 
 
 def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
@@ -71,37 +72,34 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     return slim.mapInArrow(run, "doc_id long, fingerprint long")
 
 
-def shared_bytes(a: Column, b: Column) -> Column:
-    """How many of the eight byte positions hold the same byte in both."""
-    x = a.bitwiseXOR(b)
-    return sum(((F.shiftrightunsigned(x, 8 * p).bitwiseAND(F.lit(255))) == 0).cast("int") for p in range(8))
-
-
 def postings(prints: DataFrame) -> DataFrame:
-    """Six index entries (slot, key) per fingerprint: which couples of bytes, and their values."""
-    couple = [F.shiftrightunsigned("fingerprint", 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(4)]
-    entries = [F.struct(F.lit(n).alias("slot"), (F.shiftleft(couple[i], 16) + couple[j]).alias("key"))
-               for n, (i, j) in enumerate(combinations(range(4), 2))]
-    return prints.select("*", F.inline(F.array(*entries)))
+    """An index entry (slot, key) per fingerprint and choice of four byte positions: the choice, and the bytes."""
+    entries = []
+    for slot, chosen in enumerate(combinations(range(8), _POSITIONS)):
+        key = F.lit(0)
+        for n, position in enumerate(chosen):
+            byte = F.shiftrightunsigned("fingerprint", 8 * position).bitwiseAND(F.lit(255))
+            key = key + F.shiftleft(byte.cast("long"), 8 * n)
+        entries.append(F.struct(F.lit(slot).alias("slot"), key.alias("key")))
+    return prints.select("fingerprint", F.inline(F.array(*entries)))
 
 
 def links(prints: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
     """(a, b): fingerprints that differ in at least one and at most two bits, a < b.
 
-    ``prints`` holds each fingerprint once. Lists of up to ``long_list`` entries are paired under their
-    key. For fingerprints in a longer list the values within two bits are enumerated and looked up,
-    2,080 of them whatever the length of the list.
+    ``prints`` holds each fingerprint once. Pairs of lists of up to ``long_list`` entries are tallied. For
+    fingerprints in a longer list the values within two bits are enumerated and looked up, 2,080 of them whatever
+    the length of the list; a pair none of whose lists is long has its whole tally.
     """
     index = postings(prints.select("fingerprint"))
     sizes = index.groupBy("slot", "key").agg(F.count("*").alias("n"))
     listed = step(index.join(sizes.where("n > 1"), ["slot", "key"]))
     short, crowded = listed.where(F.col("n") <= long_list), listed.where(F.col("n") > long_list)
     left = short.select("slot", "key", F.col("fingerprint").alias("a"))
-    right = short.select(F.col("slot").alias("_slot"), F.col("key").alias("_key"), F.col("fingerprint").alias("b"))
+    right = short.select("slot", "key", F.col("fingerprint").alias("b"))
+    tally = left.join(right, ["slot", "key"]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("lists"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS
-    tallied = shared_bytes(F.col("a"), F.col("b")) >= 8 - MAX_BITS
-    same_list = (F.col("slot") == F.col("_slot")) & (F.col("key") == F.col("_key"))
-    met = left.join(right, same_list & (F.col("a") < F.col("b")) & tallied & near).select("a", "b")
+    met = tally.where(F.col("lists") >= _LISTS).where(near).select("a", "b")
     if not crowded.isEmpty():
         one = [1 << i for i in range(64)]
         masks = [m - (1 << 64) if m >> 63 else m for m in one + [x | y for x, y in combinations(one, 2)]]
@@ -142,123 +140,24 @@ def _clean(text: Column) -> Column:
     return F.trim(F.regexp_replace(lower, r"[\x20\x09-\x0D]+", " "))
 
 
-def _crowded(texts: DataFrame, shingle: int) -> np.ndarray:
-    """Slots (by low bits) of shingles that many texts hold, told from a sample of the texts.
-
-    Any set of slots gives the same pairs; this one keeps lists short.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0):
-                yield pa.record_batch([pa.array(np.unique(shingles(text.as_py(), shingle)).view("<i8"))], ["shingle"])
-
-    sample = texts.where(F.pmod(F.xxhash64("gid"), F.lit(_SAMPLE)) == 0).select("text")
-    often = sample.mapInArrow(run, "shingle long").groupBy("shingle").count().where(F.col("count") >= _OFTEN)
-    slots = np.zeros(_SLOTS, dtype=bool)
-    slots[[r[0] for r in often.select(F.col("shingle").bitwiseAND(F.lit(_SLOTS - 1))).distinct().collect()]] = True
-    return slots
-
-
-def prefixes(texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """(gid, shingle, at, m): of the m different shingles of a text those that one of any similar text must meet.
-
-    With one order of shingles for all texts, two sets of a Jaccard similarity of at least ``threshold``
-    share one among the first m - ceil(threshold * m) + 1 of each. Crowded shingles come last in the order.
-    """
-    slots = _crowded(texts, shingle)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                batch = whole.slice(start, 256)
-                gids, firsts, ats, sizes = [], [], [], []
-                for gid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    found = np.unique(shingles(text.as_py(), shingle))
-                    if m := len(found):
-                        late = slots[(found & np.uint64(_SLOTS - 1)).astype(np.int64)]
-                        first = np.concatenate((found[~late], found[late]))[: m - math.ceil(threshold * m - 1e-9) + 1]
-                        firsts.append(first.view("<i8"))
-                        gids.append(np.full(len(first), gid))
-                        ats.append(np.arange(len(first), dtype=np.int32))
-                        sizes.append(np.full(len(first), m, dtype=np.int32))
-                if gids:
-                    yield pa.record_batch([pa.array(np.concatenate(x)) for x in (gids, firsts, ats, sizes)], ["gid", "shingle", "at", "m"])
-
-    return texts.select("gid", "text").mapInArrow(run, "gid long, shingle long, at int, m int")
-
-
-def verified(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) of gids whose texts have a Jaccard similarity of shingles of at least ``threshold``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, np.zeros(0, dtype="<u8")
-        for batch in batches:
-            good = []
-            for gid, x, y in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
-                if gid != last:
-                    last, own = gid, np.unique(shingles(y.as_py(), shingle))
-                other = np.unique(shingles(x.as_py(), shingle))
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                good.append(both + 1e-9 >= threshold * (len(own) + len(other) - both))
-            yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    first = pairs.join(texts.select(F.col("gid").alias("a"), F.col("text").alias("x")), "a")
-    both = first.join(texts.select(F.col("gid").alias("b"), F.col("text").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-
-
-def similar_texts(texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """(node, component) over the gids of texts (gid, text) that link at a Jaccard similarity of ``threshold``.
-
-    No radius of 64 bits takes in all such pairs without taking in a fixed share of all pairs, so fingerprints only
-    begin: a text is compared with the first of its SimHash group and with the first of every list of prefix
-    shingles it stands in. Lists that hold several components after that are paired across these. Every link
-    is verified on the shingles themselves and the components are those of all pairs.
-    """
-    hashed = near_duplicates(texts, "gid", "text", shingle=shingle)
-    near = hashed.where("doc_id <> component_id").select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
-    index = step(prefixes(texts, shingle, threshold))
-    lists = index.groupBy("shingle").agg(F.count("*").alias("n"), F.min("gid").alias("a")).where("n > 1")
-    listed = step(index.join(lists.select("shingle", "a"), "shingle"))
-    met = listed.where("gid <> a").select("a", F.col("gid").alias("b"))
-    begun = step(verified(near.unionByName(met).distinct(), texts, shingle, threshold))
-    classes = components(begun)
-    told = step(listed.drop("a").join(classes, listed["gid"] == classes["node"], "left").select(
-        "shingle", "gid", "at", "m", F.coalesce("component", "gid").alias("component")))
-    several = told.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_ = step(told.join(several.select("shingle"), "shingle"))
-    x, y = open_.alias("x"), open_.alias("y")
-    # What two texts share at most if this is the first shingle they share.
-    most = F.least(F.col("x.m") - F.col("x.at"), F.col("y.m") - F.col("y.at"))
-    enough = (most + 1e-6 >= threshold / (1 + threshold) * (F.col("x.m") + F.col("y.m")))
-    sized = F.least("x.m", "y.m") + 1e-6 >= threshold * F.greatest("x.m", "y.m")
-    across = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.gid") < F.col("y.gid")) & (F.col("x.component") != F.col("y.component"))
-    rest = x.join(y, across & sized & enough).select(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).distinct()
-    return components(begun.unionByName(verified(rest, texts, shingle, threshold)))
-
-
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-               threshold: float | None = None) -> DataFrame:
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row of each group of near-duplicates, the one with the smallest id, with all columns of ``docs``.
 
-    With a ``threshold`` texts link at a Jaccard similarity of at least that of their sets of ``shingle``-word
-    shingles, and those without words are one group; otherwise groups are those of ``near_duplicates``. Groups are of texts: rows with a null id follow those with one, and different texts
-    that repeat an id are different documents. Among rows of one id the choice depends on their content alone.
+    Groups are those of ``near_duplicates`` over texts: null, empty and blank texts are one group; rows with a null
+    id follow those with one, and different texts that repeat an id are different documents. Among rows of one id the
+    choice depends on their content alone. An empty table gives no rows. Columns of any name stay as they are.
     """
-    rows = docs.withColumn("_simhash_row", F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    own = next(n for n in (f"_row{k}" for k in range(len(docs.columns) + 1)) if n not in docs.columns)
+    rows = docs.withColumn(own, F.md5(F.to_json(F.struct(*names))))
     clean = _clean(text_or_empty(text))
-    slim = rows.select(F.col(doc_id).alias("id"), "_simhash_row", F.md5(clean).alias("key"))
+    slim = rows.select(F.col(f"`{doc_id}`").alias("id"), F.col(own).alias("row"), F.md5(clean).alias("key"))
     texts = docs.select(clean.alias("text")).groupBy(F.md5("text").alias("key")).agg(F.first("text").alias("text"))
     texts = step(texts.withColumn("gid", F.monotonically_increasing_id()))
-    if threshold is None:
-        classes = near_duplicates(texts, "gid", "text", shingle=shingle).select(
-            F.col("doc_id").alias("node"), F.col("component_id").alias("component"))
-    else:
-        classes = similar_texts(texts, shingle, threshold)
-    named = texts.select("key", "gid").join(classes, F.col("gid") == F.col("node"), "left").select(
-        "key", F.coalesce("component", "gid").alias("component"))
-    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("_simhash_row"))
+    classes = near_duplicates(texts, "gid", "text", shingle=shingle).select(
+        F.col("doc_id").alias("gid"), F.col("component_id").alias("component"))
+    named = texts.select("key", "gid").join(classes, "gid").select("key", "component")
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
     first = slim.join(named, "key").groupBy("component").agg(F.min(order).alias("first"))
-    kept = rows.join(step(first.select("first._simhash_row")), "_simhash_row")
-    return kept.dropDuplicates(["_simhash_row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = rows.join(step(first.select(F.col("first.row").alias(own))), own)
+    return kept.dropDuplicates([own]).select(*names)
