@@ -1,7 +1,10 @@
 """From raw documents to packed training sequences, in stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written and read again as the next
-stage's ``docs``. All stages but the last return the columns of ``documents``.
+stage's ``docs``. All stages but the last return the columns of ``documents``. Null texts count as empty and are scored,
+grouped and packed as such; null values of other columns stay. Null ids stay null, order after all others and have no label. Rows
+that repeat an id with another text are documents of their own, rows that repeat id and text leave one at
+the second stage. Ties are decided by content. An empty table gives no rows at every stage.
 """
 
 from __future__ import annotations
@@ -23,8 +26,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, a similarity of 0.8."""
-    return simhash.keep_first(docs, shingle=5, threshold=0.8)
+    """One document of each group of near-duplicates, by fingerprints of three-word shingles within two bits."""
+    return simhash.keep_first(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
