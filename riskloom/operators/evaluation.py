@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.stats import share
 from riskloom.operators.keyed import join_totals
 from riskloom.operators.ordering import running_totals
-from riskloom.operators.quantiles import exact_quantiles, stacked
+from riskloom.operators.quantiles import column_quantiles, stacked
 
 ID, LABEL = "TransactionID", "isFraud"
 
@@ -110,14 +110,14 @@ def prediction_profile(df: DataFrame, score: str, uncertainty: str | None = None
     if uncertainty:
         basics += [F.avg(uncertainty).alias("unc_mean"), F.stddev_pop(uncertainty).alias("unc_std"),
                    F.min(uncertainty).alias("unc_low"), F.max(uncertainty).alias("unc_high")]
-    marks = exact_quantiles(df, [], score, {f"p{p}": p / 100 for p in percentiles})
+    marks = column_quantiles(df, [score], {f"p{p}": p / 100 for p in percentiles}).drop("feature")
     # Both sides have one row by construction; the percentiles have none if no score is present.
     return df.agg(*basics).join(F.broadcast(marks), F.lit(True), "left")
 
 
 def score_by_label(df: DataFrame, score: str, label: str = LABEL) -> DataFrame:
     basic = df.groupBy(label).agg(F.count(score).alias("n"), F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"))
-    return basic.join(exact_quantiles(df, [label], score, {"median": 0.5}), label)
+    return basic.join(column_quantiles(df, [score], {"median": 0.5}, [label]).drop("feature"), label)
 
 
 # Segments closed on the left, the last one open-ended.
@@ -140,7 +140,7 @@ def score_segments(df: DataFrame, score: str) -> DataFrame:
 
 def confidence_counts(df: DataFrame, score: str, uncertainty: str) -> DataFrame:
     """High and low scores, expected positives, and rows beyond the 90th / 10th uncertainty percentile."""
-    marks = exact_quantiles(df, [], uncertainty, {"p10": 0.1, "p90": 0.9})
+    marks = column_quantiles(df, [uncertainty], {"p10": 0.1, "p90": 0.9})
     # The percentiles are one row by construction.
     flagged = df.select(F.col(score).alias("s"), F.col(uncertainty).alias("u")).join(
         F.broadcast(marks.select(F.col("p10").alias("_lo"), F.col("p90").alias("_hi"))), F.lit(True), "left")
@@ -159,7 +159,7 @@ def score_drift(train: DataFrame, test: DataFrame, score: str, limit: float = 0.
     both = train.select(F.lit("train").alias("part"), F.col(score).alias("s")).unionByName(
         test.select(F.lit("test").alias("part"), F.col(score).alias("s")))
     basic = both.groupBy("part").agg(F.avg("s").alias("mean"), F.stddev_pop("s").alias("std"))
-    wide = basic.join(exact_quantiles(both, ["part"], "s", DRIFT_MARKS), "part")
+    wide = basic.join(column_quantiles(both, ["s"], DRIFT_MARKS, ["part"]).drop("feature"), "part")
     long = stacked(wide, ["mean", "median", "std", "p95", "p99"], keep=["part"], feature="metric")
     out = long.groupBy("metric").agg(
         F.max(F.when(F.col("part") == "train", F.col("value"))).alias("train"),

@@ -17,7 +17,7 @@ from riskloom.functions.bins import interval_index, labelled
 from riskloom.functions.keys import MISSING_TEXT, combined, same
 from riskloom.operators.keyed import KeyTable, attach, key_table
 from riskloom.operators.ordering import running_totals, time_split
-from riskloom.operators.quantiles import exact_quantiles, stacked
+from riskloom.operators.quantiles import column_quantiles, stacked
 
 NOT_FEATURES = ("TransactionID", "isFraud")
 MISSING = "missing"
@@ -85,7 +85,7 @@ class Imputer:
             row = df.agg(*[F.avg(F.col(f"`{c}`")).alias(c) for c in self.numeric]).first()
             self.fill.update({c: row[c] for c in self.numeric if row[c] is not None})
         elif self.numeric:
-            table = exact_quantiles(stacked(df, self.numeric), ["feature"], "value", {"median": 0.5})
+            table = column_quantiles(df, self.numeric, {"median": 0.5})
             self.fill.update({r["feature"]: r["median"] for r in table.collect()})
         if self.categorical_strategy == MISSING:
             self.fill.update(dict.fromkeys(self.categorical, MISSING))
@@ -264,11 +264,11 @@ def downcast(df: DataFrame) -> DataFrame:
 def quantile_edges(df: DataFrame, value: str, q: int = 10) -> list[float]:
     """Distinct exact q-quantile edges of a column (at most q + 1 numbers)."""
     probs = {f"e{i}": i / q for i in range(q + 1)}
-    row = exact_quantiles(df, [], value, probs).first()
+    row = column_quantiles(df, [value], probs).first()
     if row is None:
         return []
     edges: list[float] = []
-    for e in row:
+    for e in row[1:]:
         if not edges or e != edges[-1]:
             edges.append(e)
     return edges

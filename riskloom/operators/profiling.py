@@ -16,7 +16,7 @@ from riskloom.functions.nulls import is_missing
 from riskloom.functions.stats import pearson, share
 from riskloom.operators.ordering import running_totals
 from riskloom.operators.preprocess import frequency_table
-from riskloom.operators.quantiles import exact_quantiles, stacked
+from riskloom.operators.quantiles import column_quantiles, stacked
 from riskloom.operators.taxonomy import MISSING_RULES, families, family_of
 
 ID, LABEL, TIME, AMOUNT = "TransactionID", "isFraud", "TransactionDT", "TransactionAmt"
@@ -107,12 +107,8 @@ QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 def describe(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
     """Count, mean, std, min, quartiles and max per column, optionally per group."""
-    keys = ["feature"] + ([by] if by else [])
-    long = stacked(df, columns, keep=[by] if by else []).where(F.col("value").isNotNull())
-    basic = long.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("low"), F.max("value").alias("high"))
-    return basic.join(exact_quantiles(long, keys, "value", QUARTILES), keys)
+    basics = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "low": F.min, "high": F.max}
+    return column_quantiles(df, columns, QUARTILES, [by] if by else [], basics)
 
 
 def cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -182,10 +178,7 @@ def _two_sided(z: pd.Series) -> pd.Series:
 
 def group_summary(df: DataFrame, columns: Sequence[str], label: str = LABEL) -> DataFrame:
     """Mean, median and std per column and label."""
-    long = stacked(df, columns, keep=[label]).where(F.col("value").isNotNull())
-    keys = ["feature", label]
-    basic = long.groupBy(*keys).agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
-    return basic.join(exact_quantiles(long, keys, "value", {"median": 0.5}), keys)
+    return column_quantiles(df, columns, {"median": 0.5}, [label], {"mean": F.avg, "std": F.stddev_samp})
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: str | None = None, low: float | None = None,
@@ -265,8 +258,7 @@ def amount_by(df: DataFrame, part: str, amount: str = AMOUNT, by_label: bool = F
     """Mean, median and std of the amount per time part (and label)."""
     keys = [part] + ([LABEL] if by_label else [])
     rows = df.select(time_part(part).alias(part), LABEL, F.col(amount).alias("amount"))
-    basic = rows.groupBy(*keys).agg(F.avg("amount").alias("mean_amt"), F.stddev_samp("amount").alias("std_amt"))
-    return basic.join(exact_quantiles(rows, keys, "amount", {"median_amt": 0.5}), keys)
+    return column_quantiles(rows, ["amount"], {"median_amt": 0.5}, keys, {"mean_amt": F.avg, "std_amt": F.stddev_samp}).drop("feature")
 
 
 def time_span(train: DataFrame, test: DataFrame, time: str = TIME) -> DataFrame:
