@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.nulls import folded_sum
+from riskloom.operators.blocks import bucket, tree_sum
 from riskloom.operators.evaluation import grouped_auc
 from riskloom.operators.keyed import attach, columns_as_keys, key_table
 from riskloom.operators.ordering import running_totals
 from riskloom.operators.quantiles import stacked
+from riskloom.session import written
+
+#: Cells of a score histogram.
+CELLS = 4096
 
 ID, LABEL = "TransactionID", "isFraud"
 
@@ -91,33 +99,127 @@ def neighbours(weights: Sequence[float], steps: int = 11) -> list[tuple[float, .
     return out
 
 
+class _Grid:
+    """Scores of rows under many weight vectors, and the cells of equal width they fall into."""
+
+    def __init__(self, grid: Sequence[tuple[float, ...]], lows: Sequence[float], highs: Sequence[float], cells: int):
+        self.grid, self.cells = [tuple(v) for v in grid], cells
+        ends = [(self._sum(v, [min(w * a, w * b) for w, a, b in zip(v, lows, highs)]),
+                 self._sum(v, [max(w * a, w * b) for w, a, b in zip(v, lows, highs)])) for v in self.grid]
+        self.ends = [(low, cells / (high - low) if high > low else 0.0) for low, high in ends]
+
+    @staticmethod
+    def _sum(vector: tuple[float, ...], terms: Sequence) -> float:
+        total = terms[0]
+        for term in terms[1:]:
+            total = total + term
+        return total
+
+    def scores(self, x: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(position, scores, cells) per weight vector; a greater score is never in a lower cell."""
+        for position, vector in enumerate(self.grid):
+            score = self._sum(vector, [c * w for c, w in zip(x, vector)])
+            low, scale = self.ends[position]
+            yield position, score, np.clip((score - low) * scale, 0, self.cells - 1).astype(np.int64)
+
+
+def _read(batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    *x, pos, neg = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+    return x, pos, neg
+
+
+def _histograms(scorer: _Grid):
+    """Per task and weight vector: positives and negatives by cell."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(scorer.grid), 2, scorer.cells), dtype=np.int64)
+        for batch in batches:
+            x, pos, neg = _read(batch)
+            for position, _, cell in scorer.scores(x):
+                np.add.at(counts[position, 0], cell, pos)
+                np.add.at(counts[position, 1], cell, neg)
+        for position in range(len(counts)):
+            yield pa.record_batch([pa.array([position], pa.int32()), pa.array([bucket()], pa.int32()),
+                                   pa.array([counts[position].tobytes()], pa.binary())], ["position", "bucket", "data"])
+    return run
+
+
+def _mixed_rows(scorer: _Grid, bases: Broadcast):
+    """(position, score, pos, neg, base) of the rows in cells with both classes; base: negatives of earlier such cells."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = bases.value
+        for batch in batches:
+            x, pos, neg = _read(batch)
+            for position, score, cell in scorer.scores(x):
+                start = base[position][cell] if position in base else np.full(len(cell), -1)
+                own = np.flatnonzero(start >= 0)
+                if len(own):
+                    yield pa.record_batch(
+                        [pa.array(np.full(len(own), position, dtype=np.int32)), pa.array(score[own]), pa.array(pos[own]),
+                         pa.array(neg[own]), pa.array(start[own])], ["position", "score", "pos", "neg", "base"])
+    return run
+
+
+def grid_aucs(df: DataFrame, columns: Sequence[str], label: str, grid: Sequence[tuple[float, ...]],
+              best_only: bool = False) -> dict[int, float | None]:
+    """AUC per place in ``grid``, exact, ties counted half; with ``best_only`` only of those that may be the best.
+
+    Rows that have all predictions collapse by predictions and label. Tasks count both classes by cell of score, for
+    every weight vector. Pairs of rows in different cells are told by these counts; rows of cells that hold both
+    classes are put in order. The counts alone bound each AUC from both sides, so that a search for the best orders
+    rows of few vectors only.
+    """
+    present = df.where(F.col(label).isNotNull())
+    for c in columns:
+        present = present.where(F.col(f"`{c}`").isNotNull() & ~F.isnan(F.col(f"`{c}`").cast("double")))
+    counts = written(present.groupBy(*[F.col(f"`{c}`").cast("double").alias(f"x{j}") for j, c in enumerate(columns)]).agg(
+        F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) != 1).cast("long")).alias("neg")))
+    names = [f"x{j}" for j in range(len(columns))]
+    row = counts.agg(*[f(n).alias(f"{k}{n}") for n in names for k, f in (("l", F.min), ("h", F.max))]).first()
+    if row[0] is None:
+        return dict.fromkeys(range(len(grid)))
+    scorer = _Grid(grid, [row[f"l{n}"] for n in names], [row[f"h{n}"] for n in names], CELLS)
+    parts = counts.mapInArrow(_histograms(scorer), "position int, bucket int, data binary")
+    # CELLS numbers per weight vector and class, whatever the number of rows.
+    histograms = {r["position"]: np.frombuffer(r["data"], dtype=np.int64).reshape(2, CELLS)
+                  for r in tree_sum(parts, ["position"], "int64").collect()}
+    pairs, sure, open_ = {}, {}, {}
+    for position, (pos, neg) in histograms.items():
+        pairs[position] = int(pos.sum()) * int(neg.sum())
+        sure[position] = sum(int(p) * int(n) for p, n in zip(pos, np.cumsum(neg) - neg) if p)
+        open_[position] = sum(int(p) * int(n) for p, n in zip(pos, neg) if p and n)
+    if not next(iter(pairs.values())):
+        return dict.fromkeys(range(len(grid)))
+    least = max(sure.values()) if best_only else 0
+    kept = [p for p in sorted(histograms) if sure[p] + open_[p] >= least]
+    bases, total = {}, 0
+    for position in (p for p in kept if open_[p]):
+        pos, neg = histograms[position]
+        mixed = (pos > 0) & (neg > 0)
+        own = np.where(mixed, neg, 0)
+        bases[position] = np.where(mixed, total + np.cumsum(own) - own, -1)
+        total += int(own.sum())
+    wins = dict.fromkeys(kept, 0.0)
+    if bases:
+        shared = df.sparkSession.sparkContext.broadcast(bases)
+        rows = counts.mapInArrow(_mixed_rows(scorer, shared), "position int, score double, pos long, neg long, base long")
+        steps = running_totals(rows.groupBy("position", "score").agg(
+            F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.min("base").alias("base")), ["position", "score"], ["neg"])
+        inside = F.sum(F.col("pos").cast("double") * (F.col("neg_before") - F.col("base") + F.col("neg") / 2))
+        wins |= {r["position"]: r["wins"] for r in steps.groupBy("position").agg(inside.alias("wins")).collect()}
+    return {p: (sure[p] + wins[p]) / pairs[p] for p in kept}
+
+
 def weight_grid(df: DataFrame, columns: Sequence[str], label: str = LABEL, steps: int = 11,
-                grid: Sequence[tuple[float, ...]] | None = None) -> DataFrame:
+                grid: Sequence[tuple[float, ...]] | None = None, best_only: bool = False) -> DataFrame:
     """(position, w1.., auc) for every candidate weight vector, ``weight_candidates`` unless given.
 
-    Rows with the same predictions and label collapse first; each distinct row then meets at most
-    121 weight vectors, and all curves are measured in one grouped pass.
+    Rows that lack a prediction or the label are left out; the AUC is null when a class is absent. With
+    ``best_only`` vectors that cannot be the best by their counts have no row.
     """
     grid = list(grid or weight_candidates(len(columns), steps))
-    counts = df.where(F.col(label).isNotNull()).groupBy(*columns).agg(
-        F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) != 1).cast("long")).alias("neg"))
-    vectors = F.array(*[F.struct(F.lit(i).alias("position"), *[F.lit(w).alias(f"w{j + 1}") for j, w in enumerate(v)])
-                        for i, v in enumerate(grid)])
-    spread = counts.select(*columns, "pos", "neg", F.inline(vectors))
-    score = None
-    for j, c in enumerate(columns):
-        term = F.col(c) * F.col(f"w{j + 1}")
-        score = term if score is None else score + term
-    steps_in = spread.withColumn("score", score).groupBy("position", "score").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    order = running_totals(steps_in, ["position", "score"], ["neg"])
-    span = order.groupBy("position").agg(F.min("neg_before").alias("_n0"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    wins = F.sum(F.col("pos").cast("double") * (F.col("neg_before") - F.col("_n0") + F.col("neg") / 2))
-    pairs = F.max("_p").cast("double") * F.max("_n").cast("double")
-    aucs = order.join(F.broadcast(span), "position").groupBy("position").agg(F.try_divide(wins, pairs).alias("auc"))
-    weight = [F.element_at(F.array(*[F.lit(v[j]) for v in grid]), F.col("position") + 1).alias(f"w{j + 1}")
-              for j in range(len(columns))]
-    return aucs.select("position", *weight, "auc")
+    aucs = grid_aucs(df, columns, label, grid, best_only)
+    names = "".join(f"w{j + 1} double, " for j in range(len(columns)))
+    return df.sparkSession.createDataFrame([(p, *grid[p], a) for p, a in sorted(aucs.items())], f"position int, {names}auc double")
 
 
 def optimize_weights(df: DataFrame, columns: Sequence[str], label: str = LABEL) -> dict[str, float]:
@@ -126,16 +228,18 @@ def optimize_weights(df: DataFrame, columns: Sequence[str], label: str = LABEL)
     With over three models the search starts at equal weights and moves along one model's share at a time,
     until no move betters the AUC.
     """
-    def best_of(grid: Sequence[tuple[float, ...]]) -> Row:
-        return weight_grid(df, columns, label, grid=grid).orderBy(F.col("auc").desc_nulls_last(), "position").first()
-
-    best = best_of(weight_candidates(len(columns)))
-    while best is not None and len(columns) > 3:
-        step = best_of(neighbours([best[f"w{j + 1}"] for j in range(len(columns))]))
-        if step["auc"] is None or step["auc"] <= best["auc"] + 1e-12:
+    def best_of(grid: Sequence[tuple[float, ...]]) -> tuple[float | None, tuple[float, ...]]:
+        aucs = grid_aucs(df, columns, label, grid, best_only=True)
+        place = min(aucs, key=lambda p: (aucs[p] is None, -(aucs[p] or 0.0), p))
+        return aucs[place], grid[place]
+
+    auc, best = best_of(weight_candidates(len(columns)))
+    while auc is not None and len(columns) > 3:
+        other, step = best_of(neighbours(best))
+        if other is None or other <= auc + 1e-12:
             break
-        best = step
-    return {c: best[f"w{j + 1}"] for j, c in enumerate(columns)} if best else normalised(columns)
+        auc, best = other, step
+    return dict(zip(columns, best)) if auc is not None else normalised(columns)
 
 
 def model_aucs(df: DataFrame, columns: Sequence[str], label: str = LABEL) -> DataFrame:

@@ -1,14 +1,17 @@
 """Global order: running totals, row numbers, splits, ranks, samples.
 
 A global order never goes through one task. Rows are range-partitioned on the ordering columns
-and written once with their slice number and sequence; running totals are then local sums plus
+and written once with their slice number and their running total inside it, or their sequence; to that comes
 the total of all earlier slices, a table of at most one row per slice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,34 +19,56 @@ from pyspark.sql import types as T
 from riskloom.operators import keyed
 from riskloom.session import slice_count, written
 
+#: Rows of a slice of a large table, and the least that are worth a slice of their own.
+SLICE_ROWS, LEAST_ROWS = 1_000_000, 10_000
+
+
+def _local_totals(measures: Sequence[int], exact: Sequence[bool]):
+    """Per task: the columns, the slice, and per measure the sum over the task's earlier rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, carry = TaskContext.get().partitionId(), [0 if e else 0.0 for e in exact]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            before = []
+            for k, (m, whole) in enumerate(zip(measures, exact)):
+                own = batch.column(m).cast(pa.int64() if whole else pa.float64()).fill_null(0).to_numpy(zero_copy_only=False)
+                sums = np.cumsum(own) + carry[k]
+                before.append(pa.array(np.concatenate((sums[:1] * 0 + carry[k], sums[:-1]))))
+                carry[k] = sums[-1]
+            names = [*batch.schema.names, "_slice", *[f"_loc{k}" for k in range(len(measures))]]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(batch.num_rows, place, dtype=np.int32)), *before], names)
+    return run
+
 
 def running_totals(df: DataFrame, order_by: Sequence[str], measures: Sequence[str],
                    slices: int | None = None) -> DataFrame:
     """Add ``<m>_before``: the sum of ``m`` over all rows that come earlier in the order.
 
-    ``order_by`` must identify rows (it does for pre-aggregated tables). Nulls come first.
+    ``order_by`` must identify rows (it does for pre-aggregated tables). Nulls come first; a null measure counts
+    as 0. The table is written and its rows counted; they set the number of slices, so that a slice has about
+    ``SLICE_ROWS`` rows at any size. One shuffle orders it, and sums inside a slice are carried along as the slice is
+    written.
     """
     spark = df.sparkSession
-    count = slices or slice_count(spark)
-    ordered = (
-        df.repartitionByRange(count, *order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_slice", F.spark_partition_id())
-        .withColumn("_seq", F.monotonically_increasing_id())
-    )
-    fixed = written(ordered)
-    # One row per slice: `count` rows at most, whatever the data size.
+    if slices is None:
+        df = written(df)
+        rows = df.count()
+        slices = max(-(-rows // SLICE_ROWS), min(slice_count(spark), -(-rows // LEAST_ROWS)), 1)
+    exact = [isinstance(df.schema[m].dataType, T.IntegralType) for m in measures]
+    ordered = df.repartitionByRange(slices, *order_by).sortWithinPartitions(*order_by)
+    kinds = [T.StructField("_slice", T.IntegerType())] + [
+        T.StructField(f"_loc{k}", T.LongType() if e else T.DoubleType()) for k, e in enumerate(exact)]
+    places = [df.columns.index(m) for m in measures]
+    fixed = written(ordered.mapInArrow(_local_totals(places, exact), T.StructType([*df.schema.fields, *kinds])))
+    # One row per slice, a millionth of the rows.
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = fixed.groupBy("_slice").agg(*[F.sum(m).alias(f"_{m}") for m in measures]).select(
-        "_slice", *[F.coalesce(F.sum(f"_{m}").over(earlier), F.lit(0)).alias(f"_{m}_off") for m in measures]
-    )
-    inside = Window.partitionBy("_slice").orderBy("_seq").rowsBetween(Window.unboundedPreceding, -1)
-    local = fixed.withColumns({f"_{m}_loc": F.coalesce(F.sum(m).over(inside), F.lit(0)) for m in measures})
-    joined = local.join(F.broadcast(offsets), "_slice")
-    return joined.select(
+    offsets = fixed.groupBy("_slice").agg(*[F.sum(m).alias(f"_{k}") for k, m in enumerate(measures)]).select(
+        "_slice", *[F.coalesce(F.sum(f"_{k}").over(earlier), F.lit(0)).alias(f"_off{k}") for k in range(len(measures))])
+    return fixed.join(F.broadcast(offsets), "_slice").select(
         *[F.col(f"`{c}`") for c in df.columns],
-        *[(F.col(f"_{m}_off") + F.col(f"_{m}_loc")).alias(f"{m}_before") for m in measures],
-    )
+        *[(F.col(f"_off{k}") + F.col(f"_loc{k}")).alias(f"{m}_before") for k, m in enumerate(measures)])
 
 
 def row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_pos", slices: int | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.operators.blocks import bucket, tree_sum
 from riskloom.operators.missing import missing_rates
 from riskloom.operators.ordering import running_totals
 from riskloom.operators.profiling import numeric_columns
@@ -34,45 +35,68 @@ def remove_single_value_features(df: DataFrame) -> list[str]:
 # --- correlation -----------------------------------------------------------------------------
 
 _SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+#: Columns of a block.
+BLOCK = 64
 
 
-def _partial_products(columns: list[str], centres: list[float]):
-    """Per task: pairwise-complete sums of centred columns, one row per column pair i < j."""
+def _blocks(size: int, block: int) -> list[tuple[int, int]]:
+    """Pairs of column blocks, the first not after the second."""
+    n = -(-size // block)
+    return [(p, q) for p in range(n) for q in range(p, n)]
+
+
+def _products(size: int, centres: list[float], block: int):
+    """Per task: pairwise-complete sums of centred columns, one row per pair of column blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = len(columns)
-        totals = {s: np.zeros((size, size)) for s in _SUMS}
+        totals = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             x = np.column_stack([
                 batch.column(i).to_numpy(zero_copy_only=False).astype("float64") for i in range(size)])
             mask = ~np.isnan(x)
             x = np.where(mask, x - centres, 0.0)
-            m = mask.astype("float64")
-            totals["n"] += m.T @ m
-            totals["sx"] += x.T @ m
-            totals["sy"] += m.T @ x
-            totals["sxx"] += (x * x).T @ m
-            totals["syy"] += m.T @ (x * x)
-            totals["sxy"] += x.T @ x
-        i, j = np.triu_indices(size, k=1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(totals[s][i, j]) for s in _SUMS]],
-            names=["i", "j", *_SUMS])
+            m, square = mask.astype("float64"), x * x
+            own = (m.T @ m, x.T @ m, m.T @ x, square.T @ m, m.T @ square, x.T @ x)
+            totals = own if totals is None else tuple(np.add(t, o, out=t) for t, o in zip(totals, own))
+        if totals is None:
+            return
+        for p, q in _blocks(size, block):
+            cut = [t[p * block:(p + 1) * block, q * block:(q + 1) * block] for t in totals]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p], pa.int32()), pa.array([q], pa.int32()), pa.array([bucket()], pa.int32()),
+                 pa.array([np.stack(cut).tobytes()], pa.binary())], names=["p", "q", "bucket", "data"])
+    return run
+
+
+def _unfolded(size: int, block: int):
+    """(i, j, sums) for the column pairs i < j of summed blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for p, q, data in zip(*[c.to_pylist() for c in batch.columns]):
+                i, j = (np.arange(k * block, min((k + 1) * block, size)) for k in (p, q))
+                sums = np.frombuffer(data).reshape(len(_SUMS), len(i), len(j))
+                above = i[:, None] < j[None, :]
+                i, j = np.broadcast_arrays(i[:, None], j[None, :])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(i[above], pa.int32()), pa.array(j[above], pa.int32()), *[pa.array(s[above]) for s in sums]],
+                    names=["i", "j", *_SUMS])
     return run
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(feature_a, feature_b, corr) for every pair in schema order; null when a side is constant.
 
-    Each task reduces its rows to one matrix of sums; only those sums are shuffled and added up per pair.
+    Each task reduces its rows to matrices of sums, cut into pairs of column blocks, which are added up by
+    ``tree_sum``; pairs become rows only after that.
     """
     columns = list(columns or numeric_columns(df))
-    spark = df.sparkSession
     values = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
     row = values.agg(*[F.avg(F.col(f"`{c}`")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
     centres = [row[f"m{i}"] or 0.0 for i in range(len(columns))]
-    schema = "i int, j int, " + ", ".join(f"{s} double" for s in _SUMS)
-    sums = values.mapInArrow(_partial_products(columns, centres), schema).groupBy("i", "j").agg(
-        *[F.sum(s).alias(s) for s in _SUMS])
+    parts = values.mapInArrow(_products(len(columns), centres, BLOCK), "p int, q int, bucket int, data binary")
+    sums = tree_sum(parts, ["p", "q"], "float64").mapInArrow(
+        _unfolded(len(columns), BLOCK), "i int, j int, " + ", ".join(f"{s} double" for s in _SUMS))
     n, sx, sy, sxx, syy, sxy = (F.col(s) for s in _SUMS)
     vx, vy = n * sxx - sx * sx, n * syy - sy * sy
     # A constant side leaves only rounding noise of its squared sum.
