@@ -4,15 +4,18 @@ Many keys are looked at together: one scan unpivots them into (name, key) rows,
 aggregates all of them, and the small result is written once. Its measured size then decides how a
 key's columns are attached:
 
-* a key with few distinct values is broadcast, so the wide table is not shuffled at all;
+* the smallest tables are broadcast, as long as their measured bytes fit a budget for all of them together, so the
+  wide table is not shuffled for them at all;
 * all other keys share one narrow detour (id, name, key): look-up on (name, key), back together on
-  the id, one join with the wide table. Keys that own more than a thousandth of the rows, at most a
-  thousand per name, are looked up by broadcast, so no task ever receives a hot key's rows.
+  the id, one join with the wide table. Keys that own more than ``TASK_ROWS`` rows are looked up by broadcast, so no
+  task receives a hot key's rows. Where over ``MOST_HOT`` keys of a name could own so many, the bar rises with the
+  rows, so that a name never has more than ``MOST_HOT`` keys in a broadcast.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +25,14 @@ from riskloom.session import written
 
 ROW_ID = "TransactionID"
 BYTES_PER_ROW = 100
-HOT_SHARE = 1000
+#: Rows of one key that a task may receive, and keys of a name that may be broadcast because they own more.
+TASK_ROWS, MOST_HOT = 1_000_000, 10_000
+#: Tables of the session's broadcast limit that may be broadcast together.
+BUDGET_TABLES = 8
+#: Bytes of a looked-up row besides its key, and of each of its other columns.
+_ROW_BYTES, _CELL_BYTES = 56, 8
+
+_budgets: list[list[int]] = []
 
 
 def key_rows(df: DataFrame, keys: Mapping[str, Column], keep: Sequence[str] = (), kind: str = "string") -> DataFrame:
@@ -35,28 +45,66 @@ def columns_as_keys(df: DataFrame, names: Sequence[str]) -> dict[str, Column]:
     return {n: F.col(f"`{n}`") for n in names if n in df.columns}
 
 
-def broadcast_rows(df: DataFrame) -> int:
-    """Rows of a key table that fit the session's broadcast limit."""
+def broadcast_bytes(df: DataFrame) -> int:
+    """The session's broadcast limit for one table."""
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
     text = text.lower().rstrip("b")
     size = int(text[:-1]) * units[text[-1]] if text and text[-1] in units else int(text or 0)
-    return max(size, 0) // BYTES_PER_ROW
+    return max(size, 0)
+
+
+def broadcast_rows(df: DataFrame) -> int:
+    """Rows of ordinary width that fit the session's broadcast limit."""
+    return broadcast_bytes(df) // BYTES_PER_ROW
+
+
+@contextmanager
+def broadcast_budget(df: DataFrame) -> Iterator[None]:
+    """Let all look-ups of the block share one budget of broadcast bytes; by default each call has its own."""
+    _budgets.append([BUDGET_TABLES * broadcast_bytes(df)])
+    try:
+        yield
+    finally:
+        _budgets.pop()
+
+
+def hot_bar(rows: int) -> int:
+    """Rows of a key above which it is hot, in a table of so many rows: at most ``MOST_HOT`` keys own more."""
+    return max(TASK_ROWS, -(-rows // MOST_HOT))
 
 
 @dataclass(frozen=True)
 class KeyTable:
-    """A written (name, key, n, ...) table with the number of keys and rows per name."""
+    """A written (name, key, n, ...) table with the number of keys and rows, and the bytes, per name."""
 
     table: DataFrame
     sizes: dict[str, tuple[int, int]]
+    bytes: dict[str, int]
 
 
 def key_table(table: DataFrame) -> KeyTable:
     """Write a (name, key, n, ...) table, n = rows that have the key, and measure it."""
     fixed = written(table)
-    measured = fixed.groupBy("name").agg(F.count("*").alias("k"), F.sum("n").alias("n")).collect()
-    return KeyTable(fixed, {r["name"]: (r["k"], r["n"]) for r in measured})
+    measured = fixed.groupBy("name").agg(
+        F.count("*").alias("k"), F.sum("n").alias("n"), F.sum(F.octet_length(F.col("key").cast("string"))).alias("b")).collect()
+    width = _ROW_BYTES + _CELL_BYTES * (len(fixed.columns) - 2)
+    return KeyTable(fixed, {r["name"]: (r["k"], r["n"]) for r in measured}, {r["name"]: r["k"] * width + (r["b"] or 0) for r in measured})
+
+
+def _small(df: DataFrame, table: KeyTable, wanted: Sequence[str], small_rows: int | None) -> list[str]:
+    """The names whose tables are broadcast: the smallest ones, while they fit the budget."""
+    if small_rows is not None:
+        return [n for n in wanted if table.sizes.get(n, (0, 0))[0] <= small_rows]
+    limit = broadcast_bytes(df)
+    budget, chosen = _budgets[-1] if _budgets else [BUDGET_TABLES * limit], set()
+    for n in sorted(wanted, key=lambda n: table.bytes.get(n, 0)):
+        size = table.bytes.get(n, 0)
+        if size > min(limit, budget[0]):
+            break
+        budget[0] -= size
+        chosen.add(n)
+    return [n for n in wanted if n in chosen]
 
 
 def attach(df: DataFrame, keys: Mapping[str, Column], table: KeyTable, outputs: Mapping[str, Mapping[str, str]],
@@ -66,9 +114,8 @@ def attach(df: DataFrame, keys: Mapping[str, Column], table: KeyTable, outputs:
     ``outputs``: name -> {new column: table column}. ``row_id`` must identify the rows of ``df``; a
     frame without it joins each large key on its own.
     """
-    limit = broadcast_rows(df) if small_rows is None else small_rows
     wanted = [n for n in outputs if n in keys]
-    small = [n for n in wanted if table.sizes.get(n, (0, 0))[0] <= limit]
+    small = _small(df, table, wanted, small_rows)
     large = [n for n in wanted if n not in small]
     out = df
     for i, n in enumerate(wanted if row_id not in df.columns else small):
@@ -82,8 +129,8 @@ def attach(df: DataFrame, keys: Mapping[str, Column], table: KeyTable, outputs:
     rows = key_rows(df, {n: keys[n] for n in large}, [row_id], kind)
     lookup = table.table.where(F.col("name").isin(large))
     bar = F.element_at(F.map_from_arrays(F.array(*[F.lit(n) for n in large]),
-                                         F.array(*[F.lit(table.sizes[n][1] / HOT_SHARE) for n in large])), F.col("name"))
-    # Fewer than HOT_SHARE keys per name can each own more than 1 / HOT_SHARE of the rows.
+                                         F.array(*[F.lit(hot_bar(table.sizes[n][1])) for n in large])), F.col("name"))
+    # At most MOST_HOT keys per name own more.
     hot = lookup.where(F.col("n") > bar).select("name", "key", *used)
     cold = lookup.where(F.col("n") <= bar).select("name", "key", *used)
     found = rows.join(F.broadcast(hot), ["name", "key"]).unionByName(
@@ -96,11 +143,11 @@ def attach(df: DataFrame, keys: Mapping[str, Column], table: KeyTable, outputs:
 def join_totals(rows: DataFrame, totals: DataFrame, keys: Sequence[str], size: str) -> DataFrame:
     """Join per-group totals to the rows of their groups without gathering a large group in one task.
 
-    ``size`` is the column of ``totals`` with the number of rows of the group. Groups with more than
-    1 / HOT_SHARE of all rows, fewer than HOT_SHARE of them, are broadcast; the others are shuffled.
+    ``size`` is the column of ``totals`` with the number of rows of the group. Groups with more rows than a task may
+    receive, at most ``MOST_HOT`` of them, are broadcast; the others are shuffled.
     """
     keys = list(keys)
-    bar = totals.agg(F.sum(size)).scalar() / HOT_SHARE
+    bar = F.greatest(F.lit(TASK_ROWS), F.ceil(totals.agg(F.sum(size)).scalar() / MOST_HOT))
     marked = totals.withColumn("_bar", bar)
     hot = marked.where(F.col(size) > F.col("_bar")).drop("_bar", size)
     cold = marked.where(F.col(size) <= F.col("_bar")).drop("_bar", size)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import aggregation, interaction, missing, temporal
 from riskloom.operators.group_stats import GroupStats
+from riskloom.operators.keyed import broadcast_budget
 
 ID = "TransactionID"
 FAMILIES = ("missing", "aggregation", "interaction", "temporal")
@@ -28,9 +29,10 @@ def build_features(df: DataFrame, families: Sequence[str] = FAMILIES, rate_mode:
         "missing": lambda d: missing.create_missing_value_features(d, source=df),
     }
     out, names = df, {}
-    for family, step in steps.items():
-        if family in families:
-            out, names[family] = step(out)
+    with broadcast_budget(df):
+        for family, step in steps.items():
+            if family in families:
+                out, names[family] = step(out)
     compile_wide_rows(df.sparkSession, len(out.columns))
     added = [c for c in out.columns if c not in df.columns]
     placed = [c for f in FAMILIES for c in names.get(f, [])]

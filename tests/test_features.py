@@ -204,3 +204,37 @@ def test_broadcast_limit_follows_the_session(spark):
 def test_random_rows_hold_a_hot_key():
     rows = random_rows()
     assert sum(r[5] == 7 for r in rows) > len(rows) / 4
+
+
+def test_hot_keys_by_an_absolute_bound(spark, monkeypatch):
+    """A key with 0.09 % of the rows is taken out of the shuffle once it has more rows than a task may receive."""
+    monkeypatch.setattr(keyed, "TASK_ROWS", 80)
+    df = spark.range(100_000).select(
+        F.col("id").alias("TransactionID"), F.when(F.col("id") < 90, -1).otherwise(F.col("id") % 5000).cast("int").alias("k"))
+    table = keyed.key_table(keyed.key_rows(df, {"k": F.col("k")}).groupBy("name", "key").agg(F.count("*").alias("n")))
+    assert table.sizes["k"] == (5001, 100_000) and keyed.hot_bar(100_000) == 80
+    assert table.table.where(F.col("n") > keyed.hot_bar(100_000)).select("key").collect() == [("-1",)]
+    out = keyed.attach(df, {"k": F.col("k")}, table, {"k": {"f": "n"}}, small_rows=0)
+    assert {r[0]: r[1] for r in out.groupBy("k").agg(F.max("f")).collect()} == {
+        r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
+    monkeypatch.setattr(keyed, "MOST_HOT", 10)
+    assert keyed.hot_bar(100_000) == 10_000
+
+
+def test_one_budget_for_the_broadcasts_of_a_build(spark, monkeypatch):
+    df = frame(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = [(n, f"{n}{i}", 1, 2.0) for n, many in (("a", 10), ("b", 30), ("c", 60)) for i in range(many)]
+    table = keyed.key_table(spark.createDataFrame(rows, "name string, key string, n long, v double"))
+    assert sum(table.bytes.values()) == 100 * (56 + 16) + 30 * 2 + 70 * 3
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2900")
+        monkeypatch.setattr(keyed, "BUDGET_TABLES", 1)
+        assert keyed._small(df, table, ["c", "b", "a"], None) == ["a"]
+        monkeypatch.setattr(keyed, "BUDGET_TABLES", 2)
+        assert keyed._small(df, table, ["c", "b", "a"], None) == ["b", "a"]
+        with keyed.broadcast_budget(df):
+            taken = [keyed._small(df, table, ["a", "b"], None) for _ in range(4)]
+        assert taken == [["a", "b"], ["a"], ["a"], ["a"]] and not keyed._budgets
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
