@@ -19,6 +19,8 @@ from riskloom.operators.group_stats import GroupRequest, GroupStats
 NOT_FEATURES = ("isFraud", "TransactionID")
 INDICATOR_RATE = 0.05
 INDICATOR_LIMIT: int | None = None
+# Fixed value: V columns from which on a high share of missing ones is a feature.
+V_COLUMNS_ABOVE = 50
 
 # Column-name prefixes per family.
 PREFIX_GROUPS = {"V": "V", "C": "C", "D": "D", "M": "M", "id": "id_"}
@@ -64,12 +66,20 @@ def row_missing(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[Da
     return out, ["total_missing_count", "total_missing_pct"]
 
 
+def often_missing(rates: dict[str, float], limit: int | None = INDICATOR_LIMIT) -> list[str]:
+    """Columns with a missing rate above 5 %; with ``limit`` the first ones."""
+    return [c for c, r in rates.items() if r > INDICATOR_RATE and c not in NOT_FEATURES][:limit]
+
+
 def create_basic_missing_indicators(df: DataFrame, source: DataFrame | None = None,
                                     limit: int | None = INDICATOR_LIMIT) -> tuple[DataFrame, list[str]]:
     """Row totals plus ``<c>_ismissing`` for every column whose missing rate is above 5 %; with ``limit`` the first ones."""
     rates = missing_rates(df if source is None else source)
-    flagged = [c for c, r in rates.items() if r > INDICATOR_RATE and c not in NOT_FEATURES][:limit]
-    out, names = row_missing(df, list(rates))
+    return _indicators(df, list(rates), often_missing(rates, limit))
+
+
+def _indicators(df: DataFrame, columns: list[str], flagged: list[str]) -> tuple[DataFrame, list[str]]:
+    out, names = row_missing(df, columns)
     made = {f"{c}_ismissing": missing_flag(df, c) for c in flagged}
     return (out.withColumns(made) if made else out), names + list(made)
 
@@ -109,8 +119,12 @@ def create_card_missing_patterns(df: DataFrame, columns: Sequence[str] | None =
     return df.withColumns(made), list(made)
 
 
-def create_unusual_missing_patterns(df: DataFrame, columns: Sequence[str] | None = None,
-                                    source: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+def create_unusual_missing_patterns(df: DataFrame, columns: Sequence[str] | None = None, source: DataFrame | None = None,
+                                    average: float | None = None, v_columns_above: int = V_COLUMNS_ABOVE) -> tuple[DataFrame, list[str]]:
+    """Flags of missing cells that seldom go together; ``high_V_missing`` only with more than ``v_columns_above`` V columns.
+
+    The average share of missing cells is that of ``source`` (the frame itself by default) unless it is given.
+    """
     columns = list(columns or df.columns)
     have, made = set(columns), {}
     critical = [c for c in CRITICAL if c in have]
@@ -125,12 +139,12 @@ def create_unusual_missing_patterns(df: DataFrame, columns: Sequence[str] | None
         if {a, b} <= have:
             made[name] = _flag(is_missing(df, a) != is_missing(df, b))
     v_columns = [c for c in columns if c.startswith("V")]
-    if len(v_columns) > 50:
+    if len(v_columns) > v_columns_above:
         made["high_V_missing"] = _flag(missing_in(df, v_columns) > len(v_columns) * 0.7)
     if "total_missing_pct" in df.columns:
-        average = (df if source is None else source).agg(F.avg("total_missing_pct")).scalar()
-        made["missing_above_avg"] = _flag(F.col("total_missing_pct") > average * 1.5)
-        made["missing_below_avg"] = _flag(F.col("total_missing_pct") < average * 0.5)
+        mean = (df if source is None else source).agg(F.avg("total_missing_pct")).scalar() if average is None else F.lit(average)
+        made["missing_above_avg"] = _flag(F.col("total_missing_pct") > mean * 1.5)
+        made["missing_below_avg"] = _flag(F.col("total_missing_pct") < mean * 0.5)
     return (df.withColumns(made) if made else df), list(made)
 
 
@@ -138,10 +152,21 @@ def create_missing_interaction_features(df: DataFrame, source: DataFrame | None
     """The row's missing count next to the mean of its product, card and purchaser e-mail domain."""
     if "total_missing_count" not in df.columns:
         return df, []
-    targets = {"ProductCD": "ProductCD_avg_missing", "card1": "card1_avg_missing", "P_emaildomain": "email_avg_missing"}
-    present = {k: name for k, name in targets.items() if k in df.columns}
-    requests = [GroupRequest(k, f"_{k}", ("mean",)) for k in present]
-    out = GroupStats("total_missing_count", requests).fit(df if source is None else source).transform(df)
+    return _versus_groups(df, _group_averages(df if source is None else source))
+
+
+# Groups whose average missing count is shown next to the row's.
+AVERAGES = {"ProductCD": "ProductCD_avg_missing", "card1": "card1_avg_missing", "P_emaildomain": "email_avg_missing"}
+
+
+def _group_averages(source: DataFrame) -> GroupStats:
+    requests = [GroupRequest(k, f"_{k}", ("mean",)) for k in AVERAGES if k in source.columns]
+    return GroupStats("total_missing_count", requests).fit(source)
+
+
+def _versus_groups(df: DataFrame, learnt: GroupStats) -> tuple[DataFrame, list[str]]:
+    present = {r.key: AVERAGES[r.key] for r in learnt.requests}
+    out = learnt.transform(df)
     out = out.withColumnsRenamed({f"_{k}_mean": name for k, name in present.items()})
     names = list(present.values())
     if "ProductCD" in present:
@@ -150,21 +175,35 @@ def create_missing_interaction_features(df: DataFrame, source: DataFrame | None
     return out, names
 
 
+class MissingFeatures:
+    """All missingness features, with columns, rates and averages learnt on one frame."""
+
+    def fit(self, source: DataFrame) -> MissingFeatures:
+        self.columns = list(source.columns)
+        self.flagged = often_missing(missing_rates(source))
+        counted = row_missing(source)[0]
+        self.average = counted.agg(F.avg("total_missing_pct")).first()[0]
+        self.groups = _group_averages(counted)
+        return self
+
+    def transform(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
+        out, names = df, []
+        for step in (
+            lambda d: _indicators(d, self.columns, self.flagged),
+            lambda d: create_group_missing_features(d, self.columns),
+            create_cooccurrence_features,
+            lambda d: create_card_missing_patterns(d, self.columns),
+            lambda d: create_unusual_missing_patterns(d, self.columns, average=self.average or 0.0),
+            lambda d: _versus_groups(d, self.groups),
+        ):
+            out, made = step(out)
+            names += made
+        return out, names
+
+
 def create_missing_value_features(df: DataFrame, source: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """All missingness features of the columns of ``source`` (the frame itself by default)."""
-    source = df if source is None else source
-    columns, names, out = source.columns, [], df
-    for step in (
-        lambda d: create_basic_missing_indicators(d, source),
-        lambda d: create_group_missing_features(d, columns),
-        create_cooccurrence_features,
-        lambda d: create_card_missing_patterns(d, columns),
-        lambda d: create_unusual_missing_patterns(d, columns, row_missing(source)[0]),
-        lambda d: create_missing_interaction_features(d, row_missing(source)[0]),
-    ):
-        out, made = step(out)
-        names += made
-    return out, names
+    return MissingFeatures().fit(df if source is None else source).transform(df)
 
 
 def null_counts(df: DataFrame) -> DataFrame:

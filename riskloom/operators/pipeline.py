@@ -51,19 +51,19 @@ def compile_wide_rows(spark: SparkSession, columns: int) -> None:
 
 
 class FeatureBuilder:
-    """Group statistics, target rates and missingness indicators learnt on the training frame.
+    """All features, learnt on the training frame: every statistic a feature compares a row with comes from there.
 
-    Row-order features (time since, velocity, gaps) are not learnt: they describe a row's own past
-    and are computed over the rows they are given, training history included when it is passed.
+    Training rows and later rows get the same columns. Features of a row's own past (times since, counts, velocities) go
+    on from the state the training rows leave behind, so that later rows need no training rows.
     """
 
     def __init__(self, target: str = "isFraud", value: str = "TransactionAmt"):
         self.target, self.value = target, value
-        requests = [r for f in aggregation.FAMILIES.values() for r in f]
-        self.requests = requests
+        self.requests = [r for f in aggregation.FAMILIES.values() for r in f]
         self.stats: GroupStats | None = None
         self.rates: interaction.RateEncoder | None = None
-        self.indicators: list[str] = []
+        self.missing: missing.MissingFeatures | None = None
+        self.temporal: temporal.TemporalFeatures | None = None
 
     def _prepared(self, df: DataFrame) -> DataFrame:
         out = aggregation.with_composites(df, self.requests)
@@ -72,10 +72,9 @@ class FeatureBuilder:
         return out
 
     def fit(self, train: DataFrame) -> FeatureBuilder:
-        rates = missing.missing_rates(train)
-        self.indicators = [c for c, r in rates.items()
-                           if r > missing.INDICATOR_RATE and c not in missing.NOT_FEATURES][:missing.INDICATOR_LIMIT]
         base = self._prepared(train)
+        self.missing = missing.MissingFeatures().fit(train)
+        self.temporal = temporal.TemporalFeatures().fit(train)
         self.stats = GroupStats(self.value, self.requests).fit(base)
         combos = {n: p for f in interaction.FAMILIES.values() for n, p in f.items()}
         self.rates = interaction.RateEncoder(combos, self.target).fit(base)
@@ -84,24 +83,19 @@ class FeatureBuilder:
     def fit_transform(self, train: DataFrame) -> DataFrame:
         """Learn from ``train`` and return its own features; its target rates leave out each row's fold."""
         self.fit(train)
-        return self._features(train, None, self.rates.fit_transform)
+        return self._features(train, None, self.rates.fit_transform, own=True)
 
     def transform(self, df: DataFrame, history: DataFrame | None = None) -> DataFrame:
-        """Features of ``df``; with ``history`` its rows count as the past of ``df``'s rows."""
+        """Features of ``df``, whose rows come after the training rows; with ``history`` its rows are their past instead."""
         if self.stats is None or self.rates is None:
             raise ValueError("call fit first")
-        return self._features(df, history, self.rates.transform)
-
-    def _features(self, df: DataFrame, history: DataFrame | None, rated: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        flags = {f"{c}_ismissing": missing.missing_flag(df, c) for c in self.indicators if c in df.columns}
-        base = missing.row_missing(df)[0].withColumns(flags) if flags else missing.row_missing(df)[0]
-        out = self.stats.transform(self._prepared(base))
-        out = out.withColumns(aggregation.derived_columns(out.columns, {r.prefix for r in self.requests}, self.value))
-        out = rated(out)
-        columns = [c for c in (ID, "TransactionDT", *temporal.SINCE_KEYS) if c in df.columns]
-        past = df.select(*columns)
-        if history is not None:
-            past = past.unionByName(history.select(*columns))
-        timed, since = temporal.create_time_since_features(past)
-        timed, velocity = temporal.create_velocity_features(timed)
-        return out.join(timed.select(ID, *since, *velocity), ID, "left")
+        return self._features(df, history, self.rates.transform, own=False)
+
+    def _features(self, df: DataFrame, history: DataFrame | None, rated: Callable[[DataFrame], DataFrame], own: bool) -> DataFrame:
+        with broadcast_budget(df):
+            out = self.temporal.transform(df, history, own)
+            out = self.stats.transform(self._prepared(out))
+            out = out.withColumns(aggregation.derived_columns(out.columns, {r.prefix for r in self.requests}, self.value))
+            out, _ = self.missing.transform(rated(out))
+        compile_wide_rows(df.sparkSession, len(out.columns))
+        return out

@@ -12,11 +12,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.functions import clock
 from riskloom.functions.bins import labelled
-from riskloom.operators.keyed import attach, columns_as_keys, key_rows, key_table
+from riskloom.operators.keyed import KeyTable, attach, columns_as_keys, key_rows, key_table
 from riskloom.operators.ordering import row_index
+from riskloom.operators.state import TimelineState, day_table, gap_table
 from riskloom.session import written
 
 TIME, ROW_ID, AMOUNT = "TransactionDT", "TransactionID", "TransactionAmt"
@@ -37,20 +39,23 @@ def _present(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [k for k in keys if k in df.columns]
 
 
-def _ticks(seconds: DataFrame, windows: Mapping[str, int]) -> DataFrame:
+def _ticks(seconds: DataFrame, windows: Mapping[str, int], past: TimelineState | None = None) -> DataFrame:
     """One row per (key name, key, second) that occurs, with what happened strictly before it.
 
     n_before: rows earlier than this second; prev_at: the latest earlier second; first_at: the first
-    second of the key; v_<w>: rows in [at - w, at).
+    second of the key; v_<w>: rows in [at - w, at). Rows of ``past`` count as earlier rows and have no ticks.
     """
     labels = list(windows)
     zero = F.lit(0).cast("long")
+    seconds = seconds.withColumn("own", F.lit(True))
+    if past is not None:
+        seconds = seconds.unionByName(past.ticks.select(*_TICK, "n", F.lit(False).alias("own")))
     if labels:
         # A row adds 1 to every later tick and takes it back once it is older than the window.
         events = [F.struct(F.col("at").alias("at"), F.col("n").alias("n"), *[zero.alias(f"out_{w}") for w in labels])]
         events += [F.struct((F.col("at") + windows[w]).alias("at"), zero.alias("n"),
                             *[(F.col("n") if x == w else zero).alias(f"out_{x}") for x in labels]) for w in labels]
-        marks = seconds.select("name", "key", F.inline(F.array(*events)))
+        marks = seconds.select("name", "key", "own", F.inline(F.array(*events)))
     else:
         marks = seconds
     sums = ["n"] + [f"out_{w}" for w in labels]
@@ -61,10 +66,16 @@ def _ticks(seconds: DataFrame, windows: Mapping[str, int]) -> DataFrame:
     today = Window.partitionBy("name", "key", "day").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
     local = marks.withColumns({
         **{f"loc_{m}": F.coalesce(F.sum(m).over(today), F.lit(0)) for m in sums}, "loc_prev": F.max(seen).over(today),
-    }).where(F.col("n") > 0)
+    }).where((F.col("n") > 0) & F.col("own"))
 
     days = marks.groupBy("name", "key", "day").agg(
         *[F.sum(m).alias(m) for m in sums], F.max(seen).alias("last_seen"), F.min(seen).alias("first_seen"))
+    if past is not None:
+        # Days before those kept by second have left every window.
+        old = past.days.where(F.col("day") < past.first_day)
+        days = days.unionByName(old.select(
+            "name", "key", "day", "n", *[F.col("n").alias(f"out_{w}") for w in labels],
+            F.col("last_at").alias("last_seen"), F.col("first_at").alias("first_seen")))
     past_days = Window.partitionBy("name", "key").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     all_days = Window.partitionBy("name", "key")
     carried = days.select(
@@ -98,20 +109,33 @@ def _placed(rows: DataFrame, seconds: DataFrame, ticks: DataFrame, crowd_limit:
 
 
 def key_timeline(df: DataFrame, keys: Sequence[str], windows: Mapping[str, int] | None = None,
-                 crowd_limit: int = CROWD_LIMIT) -> DataFrame:
+                 crowd_limit: int = CROWD_LIMIT, past: TimelineState | None = None) -> DataFrame:
     """Per (row, key name): gap to the previous row, hours since the first, running count, velocities.
 
-    Rows of one key in the same second are ordered by row id.
+    Rows of one key in the same second are ordered by row id. With ``past`` the rows go on from those it is the state of,
+    which must all be earlier, and whose reach must cover the windows.
     """
+    return _timeline(df, keys, windows, crowd_limit, past)[0]
+
+
+def _timeline(df: DataFrame, keys: Sequence[str], windows: Mapping[str, int] | None = None, crowd_limit: int = CROWD_LIMIT,
+              past: TimelineState | None = None) -> tuple[DataFrame, DataFrame]:
+    """The timeline, and the (name, key, at, n) seconds it was made from."""
     rows = key_rows(df, columns_as_keys(df, keys), [ROW_ID, F.col(TIME).alias("at")]).where(F.col("at").isNotNull())
     seconds = written(rows.groupBy(*_TICK).agg(F.count("*").alias("n")))
-    placed = _placed(rows, seconds, _ticks(seconds, windows or {}), crowd_limit)
+    if past is not None:
+        if past.reach < max((windows or {}).values(), default=0):
+            raise ValueError("the state does not reach back as far as the windows")
+        start = seconds.agg(F.min("at")).first()[0]
+        if None not in (start, past.end) and start <= past.end:
+            raise ValueError(f"rows begin at {start}, not after the state's end {past.end}; pass the earlier rows instead")
+    placed = _placed(rows, seconds, _ticks(seconds, windows or {}, past), crowd_limit)
     gap = F.when(F.col("_r") > 1, F.lit(0.0)).otherwise((F.col("at") - F.col("prev_at")) / clock.HOUR)
     return placed.select(
         ROW_ID, "name", "key", gap.alias("gap"),
         ((F.col("at") - F.col("first_at")) / clock.HOUR).alias("since_first"),
         (F.col("n_before") + F.col("_r")).alias("so_far"),
-        *[f"v_{w}" for w in (windows or {})])
+        *[f"v_{w}" for w in (windows or {})]), seconds
 
 
 def _spread(timeline: DataFrame, wanted: Mapping[str, tuple[str, str]]) -> DataFrame:
@@ -136,17 +160,19 @@ def _velocity_columns(keys: Sequence[str], windows: Mapping[str, int]) -> dict[s
     return {f"{k}_velocity_{w}": (k, f"v_{w}") for k in keys for w in windows}
 
 
-def _gap_table(timeline: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(name, key, n, mean, spread and range of the key's gaps)."""
+def _gap_table(timeline: DataFrame, seconds: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(name, key, n, mean, spread and range of the key's gaps); whole seconds need no look at the rows."""
+    if isinstance(seconds.schema["at"].dataType, T.IntegralType):
+        return gap_table(day_table(seconds.where(F.col("name").isin(list(keys)))))
     return timeline.where(F.col("name").isin(list(keys))).groupBy("name", "key").agg(
         F.count("*").alias("n"), F.avg("gap").alias("mean_gap"), F.stddev_samp("gap").alias("std_gap"),
         F.min("gap").alias("min_gap"), F.max("gap").alias("max_gap"))
 
 
-def _attach_gaps(df: DataFrame, table: DataFrame, keys: Sequence[str], gaps: Mapping[str, str]) -> DataFrame:
+def _attach_gaps(df: DataFrame, table: KeyTable, keys: Sequence[str], gaps: Mapping[str, str]) -> DataFrame:
     """Gap statistics per key, and a flag where the row's own gap (column ``gaps[key]``) is far from the mean."""
     outputs = {k: {f"{k}_{p}": p for p in GAP_PARTS} for k in keys}
-    out = attach(df, columns_as_keys(df, keys), key_table(table), outputs)
+    out = attach(df, columns_as_keys(df, keys), table, outputs)
     far = {f"{k}_unusual_gap": F.coalesce(
         F.abs(F.col(gaps[k]) - F.col(f"{k}_mean_gap")) > 2 * F.col(f"{k}_std_gap"), F.lit(False)).cast("int") for k in keys}
     return out.withColumns(far)
@@ -178,9 +204,10 @@ def create_transaction_gap_features(df: DataFrame, keys: Sequence[str] = GAP_KEY
     keys = _present(df, keys)
     if TIME not in df.columns or not keys:
         return df, []
-    timeline = key_timeline(df, keys)
+    timeline, seconds = _timeline(df, keys)
     own = {f"_gap_{k}": (k, "gap") for k in keys}
-    out = _attach_gaps(_attach(df, _spread(timeline, own)), _gap_table(timeline, keys), keys, {k: f"_gap_{k}" for k in keys})
+    out = _attach_gaps(_attach(df, _spread(timeline, own)), key_table(_gap_table(timeline, seconds, keys)), keys,
+                       {k: f"_gap_{k}" for k in keys})
     return out.select(*df.columns, *_gap_names(keys)), _gap_names(keys)
 
 
@@ -190,10 +217,20 @@ def create_rfm_features(df: DataFrame, keys: Sequence[str] = RFM_KEYS,
     keys = _present(df, keys)
     if not {TIME, AMOUNT} <= set(df.columns):
         return df, []
-    source = df if source is None else source
+    return _attach_rfm(df, rfm_table(df if source is None else source, keys), keys)
+
+
+def _attach_rfm(df: DataFrame, table: KeyTable, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    outputs = {k: {f"{k}_{p}": p for p in RFM_PARTS} for k in keys}
+    out = attach(df, columns_as_keys(df, keys), table, outputs)
+    names = [c for k in keys for c in outputs[k]]
+    return out.select(*df.columns, *names), names
+
+
+def rfm_table(source: DataFrame, keys: Sequence[str]) -> KeyTable:
+    """Recency, frequency, monetary sums and score per key of ``source``, as of its latest row."""
     latest = source.agg(F.max(TIME)).scalar()
-    columns = columns_as_keys(df, keys)
-    groups = key_rows(source, columns, [F.col(TIME).alias("at"), F.col(AMOUNT).alias("amount")]).groupBy("name", "key").agg(
+    groups = key_rows(source, columns_as_keys(source, keys), [F.col(TIME).alias("at"), F.col(AMOUNT).alias("amount")]).groupBy("name", "key").agg(
         F.count("*").alias("n"), F.max("at").alias("last"), F.count("at").alias("frequency"),
         F.sum("amount").alias("monetary_total"), F.avg("amount").alias("monetary_mean"),
         F.stddev_samp("amount").alias("monetary_std"))
@@ -202,11 +239,7 @@ def create_rfm_features(df: DataFrame, keys: Sequence[str] = RFM_KEYS,
     tops = groups.groupBy("name").agg(F.max("frequency").alias("_f"), F.max("monetary_total").alias("_m"))
     score = (1 / (F.col("recency") + 1) + F.col("frequency") / (F.col("_f") + 1)
              + F.try_divide(F.col("monetary_total"), F.col("_m") + 1))
-    table = groups.join(F.broadcast(tops), "name").withColumn("rfm_score", score).drop("_f", "_m")
-    outputs = {k: {f"{k}_{p}": p for p in RFM_PARTS} for k in keys}
-    out = attach(df, columns, key_table(table), outputs)
-    names = [c for k in keys for c in outputs[k]]
-    return out.select(*df.columns, *names), names
+    return key_table(groups.join(F.broadcast(tops), "name").withColumn("rfm_score", score).drop("_f", "_m"))
 
 
 # Day parts, closed on the right, hour 0 included.
@@ -252,11 +285,57 @@ def create_temporal_features(df: DataFrame, include_velocity: bool = True,
     out, names = df, []
     if keys:
         wanted = {**_since_columns(since), **_velocity_columns(fast, windows)}
-        timeline = key_timeline(source, keys, windows)
+        timeline, seconds = _timeline(source, keys, windows)
         own = {f"_gap_{k}": (k, "gap") for k in gaps}
         out = _attach(df, _spread(timeline, {**wanted, **own}), list(_velocity_columns(fast, windows)))
-        out = _attach_gaps(out, _gap_table(timeline, gaps), gaps, {k: f"_gap_{k}" for k in gaps}).drop(*own)
+        out = _attach_gaps(out, key_table(_gap_table(timeline, seconds, gaps)), gaps, {k: f"_gap_{k}" for k in gaps}).drop(*own)
         names = [*wanted, *_gap_names(gaps)]
     out, rfm = create_rfm_features(out, source=source)
     out, pattern = create_time_pattern_features(out)
     return out, names + rfm + pattern
+
+
+class TemporalFeatures:
+    """The temporal features of later rows, learnt from a frame: key statistics, and the state its timelines go on from."""
+
+    def __init__(self, windows: Mapping[str, int] = VELOCITY_WINDOWS):
+        self.windows = dict(windows)
+        self.state: TimelineState | None = None
+        self.gaps: KeyTable | None = None
+        self.rfm: KeyTable | None = None
+
+    def _keys(self, columns: Sequence[str]) -> tuple[list[str], list[str], list[str], list[str]]:
+        since, fast, gaps = ([k for k in own if k in columns] for own in (SINCE_KEYS, VELOCITY_KEYS, GAP_KEYS))
+        return since, fast, gaps, list(dict.fromkeys([*since, *fast, *gaps]))
+
+    def fit(self, df: DataFrame) -> TemporalFeatures:
+        self.columns = list(df.columns)
+        if TIME not in df.columns:
+            return self
+        *_, gaps, keys = self._keys(self.columns)
+        self.state = TimelineState.of(df, keys, TIME, self.windows)
+        self.gaps = key_table(gap_table(self.state.days.where(F.col("name").isin(gaps))))
+        if AMOUNT in df.columns:
+            self.rfm = rfm_table(df, _present(df, RFM_KEYS))
+        return self
+
+    def transform(self, df: DataFrame, history: DataFrame | None = None, own: bool = False) -> DataFrame:
+        """Features of ``df``, whose rows come after those learnt from; ``own`` for the rows learnt from themselves.
+
+        Velocities, counts and times since go on from the learnt state, or from the rows of ``history`` if it is given.
+        """
+        if self.state is None:
+            return df
+        since, fast, gaps, keys = self._keys(self.columns)
+        wanted = {**_since_columns(since), **_velocity_columns(fast, self.windows)}
+        gap_columns = {f"_gap_{k}": (k, "gap") for k in gaps}
+        source = df.select(ROW_ID, TIME, *keys)
+        if history is not None:
+            source = source.unionByName(history.select(ROW_ID, TIME, *keys))
+        past = None if own or history is not None else self.state
+        timeline = key_timeline(source, keys, self.windows, past=past)
+        out = _attach(df, _spread(timeline, {**wanted, **gap_columns}), list(_velocity_columns(fast, self.windows)))
+        out = _attach_gaps(out, self.gaps, gaps, {k: f"_gap_{k}" for k in gaps}).drop(*gap_columns)
+        if self.rfm is not None:
+            out, _ = _attach_rfm(out, self.rfm, [k for k in RFM_KEYS if k in self.columns])
+        return create_time_pattern_features(out)[0]

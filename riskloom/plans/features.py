@@ -247,7 +247,7 @@ def _velocity_sql(keys) -> tuple[str, str]:
     return " ".join(cols), ", ".join(picks)
 
 
-def _rfm_sql(keys) -> tuple[str, str]:
+def _rfm_sql(keys, learnt: str = "ful") -> tuple[str, str]:
     cols, picks, joins = [ID], [], []
     for k in keys:
         cols += [f"{k}_recency:d", f"{k}_frequency:i", f"{k}_monetary_total:d", f"{k}_monetary_mean:d",
@@ -257,20 +257,20 @@ def _rfm_sql(keys) -> tuple[str, str]:
                   f"1 / (r_{k}.rec + 1) + r_{k}.n / (r_{k}.mx_n + 1) + r_{k}.tot / (r_{k}.mx_t + 1) AS {k}_rfm_score"]
         joins.append(
             f"LEFT JOIN (SELECT *, max(n) OVER () AS mx_n, max(tot) OVER () AS mx_t FROM (SELECT {k}, "
-            f"((SELECT max(TransactionDT) FROM ful) - max(TransactionDT)) / 3600.0::DOUBLE AS rec, count(*) AS n, "
+            f"((SELECT max(TransactionDT) FROM {learnt}) - max(TransactionDT)) / 3600.0::DOUBLE AS rec, count(*) AS n, "
             f"sum(TransactionAmt) AS tot, avg(TransactionAmt) AS mn, stddev_samp(TransactionAmt) AS sd "
-            f"FROM ful WHERE {k} IS NOT NULL GROUP BY {k})) r_{k} ON ful.{k} = r_{k}.{k}")
+            f"FROM {learnt} WHERE {k} IS NOT NULL GROUP BY {k})) r_{k} ON ful.{k} = r_{k}.{k}")
     return " ".join(cols), f"SELECT TransactionID, {', '.join(picks)} FROM ful {' '.join(joins)}"
 
 
-def _gap_sql(keys) -> tuple[str, str]:
+def _gap_sql(keys, learnt: str = "") -> tuple[str, str]:
     cols, gaps, stats, picks = [ID], [], [], []
     for k in keys:
         cols += [f"{k}_mean_gap:d", f"{k}_std_gap:d", f"{k}_min_gap:d", f"{k}_max_gap:d", f"{k}_unusual_gap:i"]
         gaps.append(f"(TransactionDT - lag(TransactionDT) OVER (PARTITION BY {k} ORDER BY TransactionDT, TransactionID))"
                     f" / 3600.0::DOUBLE AS g_{k}")
         for label, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max")):
-            stats.append(f"{f}(g_{k}) OVER (PARTITION BY {k}) AS {label}_{k}")
+            stats.append(f"{f}(g_{k}) {learnt} OVER (PARTITION BY {k}) AS {label}_{k}")
             picks.append(f"CASE WHEN {k} IS NOT NULL THEN {label}_{k} END AS {k}_{label}_gap")
         picks.append(
             f"CASE WHEN {k} IS NOT NULL AND (g_{k} > mean_{k} + 2 * std_{k} OR g_{k} < mean_{k} - 2 * std_{k}) "
@@ -340,3 +340,58 @@ c AS (SELECT TransactionID, avg(TransactionAmt) OVER (PARTITION BY card1) AS car
 --
 SELECT * FROM m JOIN c USING (TransactionID) JOIN (SELECT TransactionID, {_vel_picks} FROM ful) USING (TransactionID)
 JOIN ({_rfm_text}) USING (TransactionID) JOIN ({_gap_text}) USING (TransactionID)""")
+
+# --- learnt on the first days, for all rows --------------------------------------------------
+
+_LEARNT_DAYS = 20
+_EARLY = f"TransactionDT < {_LEARNT_DAYS * 86400}"
+_MISSING_OF = ("card2", "card4", "card5", "card6", "addr1", "addr2", "P_emaildomain", "R_emaildomain", "D1", "D2", "M1", "M2", "V3",
+               "DeviceType", "DeviceInfo", "id_30", "id_31", "id_33")
+
+
+def _fitted(spark: SparkSession, sf: str) -> DataFrame:
+    """Features of the first days and of the days after them, which know the first days' statistics and state only."""
+    df = fixture.joined(spark, sf)
+    early = df.where(_EARLY)
+    builder = pipeline.FeatureBuilder()
+    first = builder.fit_transform(early)
+    return first.unionByName(builder.transform(df.where(f"NOT {_EARLY}")))
+
+
+_rfm_learnt = _rfm_sql(temporal.RFM_KEYS, "early")[1]
+_gap_learnt = _gap_sql(temporal.GAP_KEYS, f"FILTER (WHERE {_EARLY})")[1]
+register(
+    "features_fitted",
+    f"{ID} total_missing_count:i missing_above_avg:i missing_below_avg:i ProductCD_avg_missing:d card1_avg_missing:d "
+    "email_both_missing:i card_missing_count:i M_missing_count:i card1_mean:d card1_std:d ProductCD_max:d amt_bin:s card1_addr1:s "
+    "card1_addr1_count:i card1_addr1_fraud_rate:d " + " ".join(dict.fromkeys(
+        c for c in " ".join([_since_cols, _vel_cols, _rfm_cols, _PATTERN_COLS, _gap_cols]).split() if c != ID)),
+    _fitted,
+    f"""WITH early AS (SELECT * FROM ful WHERE {_EARLY}),
+g AS (SELECT avg(isFraud) AS gr FROM early),
+m AS (SELECT TransactionID, TransactionDT, ProductCD, card1, card2, card4, card5, card6, M1, M2, P_emaildomain, R_emaildomain, TransactionAmt,
+  {' + '.join(f'CAST({c} IS NULL AS INT)' for c in _MISSING_OF)} AS total_missing_count FROM ful),
+a AS (SELECT TransactionID, total_missing_count,
+  CASE WHEN total_missing_count > 1.5 * (SELECT avg(total_missing_count) FROM m WHERE {_EARLY}) THEN 1 ELSE 0 END AS missing_above_avg,
+  CASE WHEN total_missing_count < 0.5 * (SELECT avg(total_missing_count) FROM m WHERE {_EARLY}) THEN 1 ELSE 0 END AS missing_below_avg,
+  avg(total_missing_count) FILTER (WHERE {_EARLY}) OVER (PARTITION BY ProductCD) AS ProductCD_avg_missing,
+  avg(total_missing_count) FILTER (WHERE {_EARLY}) OVER (PARTITION BY card1) AS card1_avg_missing,
+  CASE WHEN P_emaildomain IS NULL AND R_emaildomain IS NULL THEN 1 ELSE 0 END AS email_both_missing,
+  {' + '.join(f'CAST({c} IS NULL AS INT)' for c in ('card2', 'card4', 'card5', 'card6'))} AS card_missing_count,
+  CAST(M1 IS NULL AS INT) + CAST(M2 IS NULL AS INT) AS M_missing_count,
+  avg(TransactionAmt) FILTER (WHERE {_EARLY}) OVER (PARTITION BY card1) AS card1_mean,
+  stddev_samp(TransactionAmt) FILTER (WHERE {_EARLY}) OVER (PARTITION BY card1) AS card1_std,
+  max(TransactionAmt) FILTER (WHERE {_EARLY}) OVER (PARTITION BY ProductCD) AS ProductCD_max,
+  CASE WHEN TransactionAmt <= 0 THEN 'nan' WHEN TransactionAmt <= 50 THEN 'low' WHEN TransactionAmt <= 150 THEN 'medium'
+  WHEN TransactionAmt <= 500 THEN 'high' WHEN TransactionAmt > 500 THEN 'very_high' ELSE 'nan' END AS amt_bin FROM m),
+c AS (SELECT TransactionID, {_EARLY} AS own, isFraud, {_sql_combo(*_PAIR)} AS card1_addr1, {_FOLD_SQL.format('TransactionID')} % 5 AS fold FROM ful),
+t AS (SELECT card1_addr1, count(*) AS n, sum(isFraud) AS s FROM c WHERE own GROUP BY ALL),
+f AS (SELECT card1_addr1, fold, count(*) AS n, sum(isFraud) AS s FROM c WHERE own GROUP BY ALL),
+r AS (SELECT TransactionID, c.card1_addr1, coalesce(t.n, 0) AS card1_addr1_count,
+  CASE WHEN own THEN (t.s - f.s + 10 * (SELECT gr FROM g)) / (t.n - f.n + 10)
+  ELSE (coalesce(t.s, 0) + 10 * (SELECT gr FROM g)) / (coalesce(t.n, 0) + 10) END AS card1_addr1_fraud_rate
+  FROM c LEFT JOIN t ON t.card1_addr1 = c.card1_addr1 LEFT JOIN f ON c.card1_addr1 = f.card1_addr1 AND c.fold = f.fold)
+--
+SELECT * FROM a JOIN r USING (TransactionID) JOIN (SELECT TransactionID, {_since_picks} FROM ful) USING (TransactionID)
+JOIN (SELECT TransactionID, {_vel_picks} FROM ful) USING (TransactionID) JOIN ({_rfm_learnt}) USING (TransactionID)
+JOIN ({_PATTERN_SQL}) USING (TransactionID) JOIN ({_gap_learnt}) USING (TransactionID)""")
