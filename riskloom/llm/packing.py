@@ -27,8 +27,8 @@ from riskloom.llm.common import step, text_or_empty
 
 BUDGET = 2048
 SEPARATOR = 0
-#: Words, and parts of words, that one of the two generations of a worker's memory holds.
-WORDS_KEPT, PARTS_KEPT = 300_000, 150_000
+#: Words, and parts of words, that one of the two generations of a task's memory holds.
+WORDS_KEPT, PARTS_KEPT = 200_000, 100_000
 #: Documents, and their characters, that are looked up together.
 _DOCS, _CHARS = 128, 1 << 20
 #: Bytes that a byte-level tokenizer shows as themselves; the others are shown as U+0100 and on, in their order.
@@ -147,10 +147,6 @@ class WordIds:
         return self.many([text])[0]
 
 
-#: The readers of this worker, by path: what a task has met, later tasks need not encode again.
-_readers: dict[str, WordIds] = {}
-
-
 def _together(sizes: list[int]) -> Iterator[tuple[int, int]]:
     """Ranges of up to ``_DOCS`` texts with ``_CHARS`` characters, or of one longer text."""
     first = held = 0
@@ -176,9 +172,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", tex
     end = np.asarray([separator], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_path not in _readers:
-            _readers[tokenizer_path] = WordIds(tokenizer_path)
-        word_ids, place, ranks = _readers[tokenizer_path], TaskContext.get().partitionId(), [0] * (budget + 1)
+        word_ids, place, ranks = WordIds(tokenizer_path), TaskContext.get().partitionId(), [0] * (budget + 1)
         for whole in batches:
             for first, last in _together(pc.utf8_length(whole.column(1)).to_pylist()):
                 batch = whole.slice(first, last - first)
