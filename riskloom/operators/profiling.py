@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +12,7 @@ from pyspark.sql import types as T
 from riskloom.functions import clock
 from riskloom.functions.bins import equal_width_index, labelled
 from riskloom.functions.nulls import is_missing
-from riskloom.functions.stats import pearson, share
+from riskloom.functions.stats import erfc, pearson, share
 from riskloom.operators.ordering import running_totals
 from riskloom.operators.preprocess import frequency_table
 from riskloom.operators.quantiles import column_quantiles, stacked
@@ -167,13 +166,12 @@ def rank_sum_test(df: DataFrame, columns: Sequence[str], label: str = LABEL) ->
     spread = F.sqrt(n1 * n0 / 12 * (total + 1 - F.try_divide(F.col("tie_sum"), total * (total - 1))))
     top = F.greatest(u, n1 * n0 - u)
     z = F.try_divide(top - n1 * n0 / 2 - 0.5, spread)
-    return sums.select("feature", "n1", "n0", u.alias("u"), z.alias("z")).withColumn("p_value", _two_sided(F.col("z")))
+    return sums.select("feature", "n1", "n0", u.alias("u"), z.alias("z")).withColumn("p_value", two_sided(F.col("z")))
 
 
-@F.pandas_udf(T.DoubleType())
-def _two_sided(z: pd.Series) -> pd.Series:
-    """2 * (1 - Phi(z)), at most 1; runs on one row per profiled column."""
-    return z.map(lambda v: None if pd.isna(v) else min(1.0, math.erfc(v / math.sqrt(2.0))))
+def two_sided(z: Column) -> Column:
+    """2 * (1 - Phi(z)), at most 1."""
+    return F.when(z <= 0, 1.0).otherwise(erfc(z / math.sqrt(2.0)))
 
 
 def group_summary(df: DataFrame, columns: Sequence[str], label: str = LABEL) -> DataFrame:

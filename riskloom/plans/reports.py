@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from riskloom.operators import (
 )
 from riskloom.plans import fixture
 from riskloom.plans.registry import register
+from riskloom.session import shared_folder
 from riskloom.sources import tables
 
 ID = "TransactionID:i"
@@ -386,6 +390,69 @@ SELECT count(*) AS n_rows, (SELECT count(*) FROM sco) AS n_expected,
   2 * count(*) FILTER (WHERE id <> place) AS id_mismatches, count(*) FILTER (WHERE v < 0 OR v > 1) AS out_of_range,
   count(*) FILTER (WHERE v IS NULL) AS n_missing, 1 AS same_columns, 0 AS is_valid FROM b""")
 
+def _files_check(spark: SparkSession, sf: str) -> DataFrame:
+    """The same through CSV parts: ids and scores of some neighbouring rows change places, which no order by id shows."""
+    sample = fixture.scores(spark, sf).select("TransactionID", F.col("p1").alias("isFraud"))
+    i = F.col("TransactionID")
+    place = F.when(i % 100 == 7, i + 1).when(i % 100 == 8, i - 1).otherwise(i)
+    folder = os.path.join(shared_folder(spark), "csv", uuid.uuid4().hex)
+    for name, order, parts in (("sample", i, 3), ("submission", place, 5)):
+        sample.repartitionByRange(parts, order).sortWithinPartitions(order).write.option("header", True).csv(f"{folder}/{name}")
+    return tables.submission_check_files(spark, f"{folder}/submission", f"{folder}/sample")
+
+
+register(
+    "submission_check_files", "n_rows:i n_expected:i id_mismatches:i out_of_range:i n_missing:i same_columns:i is_valid:i", _files_check,
+    """SELECT count(*) AS n_rows, count(*) AS n_expected, 4 * count(*) FILTER (WHERE TransactionID % 100 = 7 AND TransactionID + 1 IN
+  (SELECT TransactionID FROM sco)) AS id_mismatches, 0 AS out_of_range, 0 AS n_missing, 1 AS same_columns, 0 AS is_valid FROM sco""")
+
+
+def _csv_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Transactions and identities written as CSV, and read back and merged by ``load_data``, types found in the files."""
+    folder = os.path.join(shared_folder(spark), "csv", uuid.uuid4().hex)
+    paths = [f"{folder}/{name}.csv" for name in ("transactions", "identities")]
+    for df, path in zip((fixture.transactions(spark, sf), fixture.identities(spark, sf)), paths):
+        df.write.option("header", True).csv(path)
+    return tables.load_data(spark, *paths)[0]
+
+
+register("scan_csv", " ".join(f"{c}:{'i' if c in tables._LONG + tables._INT else 's' if c in tables._TEXT else 'd'}" for c in FULL_COLUMNS),
+         _csv_scan, "SELECT * FROM ful")
+
+
+def _settings(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns with a high missing rate, found, written as settings, read back, and applied to every row."""
+    df = fixture.joined(spark, sf)
+    path = os.path.join(shared_folder(spark), "settings", uuid.uuid4().hex)
+    tables.write_settings(spark, {"dropped": selection.remove_missing_features(df, 0.3), "rate": 0.3, "kind": "missing"}, path)
+    told = tables.read_settings(spark, path)
+    present = [F.col(c).isNotNull().cast("int") for c in told["dropped"]]
+    return df.select("TransactionID", F.lit(told["rate"]).alias("rate"), F.lit(told["kind"]).alias("kind"),
+                     F.lit(len(told["dropped"])).alias("n_dropped"), sum(present, F.lit(0)).alias("present"))
+
+
+_RATED = [c for c in FULL_COLUMNS if c != "TransactionID"]
+register(
+    "settings_round_trip", f"{ID} rate:d kind:s n_dropped:i present:i", _settings,
+    "WITH r AS (SELECT c FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS c, avg(CAST({c} IS NULL AS INT)) AS rate FROM ful" for c in _RATED) + ") WHERE rate > 0.3)\n--\n"
+    "SELECT TransactionID, 0.3 AS rate, 'missing' AS kind, (SELECT count(*) FROM r) AS n_dropped, " + " + ".join(
+        f"CASE WHEN {c} IS NOT NULL AND '{c}' IN (SELECT c FROM r) THEN 1 ELSE 0 END" for c in _RATED) + " AS present FROM ful")
+
+
+def _aligned(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of two frames with the features that both have, in the order asked for, and how many were asked for in vain."""
+    df = fixture.joined(spark, sf)
+    train, test = df.drop("V3", "id_33"), df.drop("C2")
+    usable, absent = selection.align_features(["id_33", "V1", "C2", "C1", "TransactionAmt", "V3", "D9"], train, test)
+    odd = F.col("TransactionID") % 2 == 1
+    rows = train.where(odd).select("TransactionID", *usable).unionByName(test.where(~odd).select("TransactionID", *usable))
+    return rows.select("TransactionID", F.lit(" ".join(usable)).alias("usable"), F.lit(len(absent)).alias("n_absent"), *usable)
+
+
+register("aligned_features", f"{ID} usable:s n_absent:i V1:d C1:d TransactionAmt:d", _aligned,
+         "SELECT TransactionID, 'V1 C1 TransactionAmt' AS usable, 4 AS n_absent, V1, C1, TransactionAmt FROM ful")
+
 register("prediction_stats", "count:i mean:d std:d min:d max:d",
          lambda spark, sf: tables.prediction_stats(fixture.scores(spark, sf), "p2"),
          'SELECT count(p2) AS "count", avg(p2) AS mean, stddev_pop(p2) AS std, min(p2) AS "min", max(p2) AS "max" FROM sco')
@@ -512,8 +579,9 @@ register(
         for c in _CORR_COLUMNS) + ")")
 
 _TEST_COLUMNS = ["TransactionAmt", "card1", "C1", "D1"]
+# The p value is told by Simpson's rule over the normal density from z to 12 beyond it.
 register(
-    "mann_whitney", "feature:s n1:i n0:i u:d z:d",
+    "mann_whitney", "feature:s n1:i n0:i u:d z:d p_value:d",
     lambda spark, sf: profiling.rank_sum_test(fixture.transactions(spark, sf), _TEST_COLUMNS),
     "WITH l AS (" + " UNION ALL ".join(
         f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, isFraud AS y FROM txn WHERE {c} IS NOT NULL"
@@ -524,10 +592,13 @@ t AS (SELECT feature, sum(n * n * n - n) AS ties FROM (SELECT feature, CAST(coun
   GROUP BY feature, v) GROUP BY feature),
 s AS (SELECT feature, CAST(sum(y) AS DOUBLE) AS n1, CAST(sum(1 - y) AS DOUBLE) AS n0, CAST(sum(rk * y) AS DOUBLE) AS rs FROM r
   GROUP BY feature),
-w AS (SELECT s.*, ties, rs - n1 * (n1 + 1) / 2 AS u, n1 + n0 AS n FROM s JOIN t USING (feature))
+w AS (SELECT s.*, ties, rs - n1 * (n1 + 1) / 2 AS u, n1 + n0 AS n FROM s JOIN t USING (feature)),
+z AS (SELECT feature, n1, n0, u, (greatest(u, n1 * n0 - u) - n1 * n0 / 2 - 0.5) /
+  sqrt(n1 * n0 / 12 * (n + 1 - ties / (n * (n - 1)))) AS z FROM w),
+p AS (SELECT feature, sum((CASE WHEN k IN (0, 12000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END) * exp(-(z + k / 1000.0::DOUBLE) * (z + k / 1000.0::DOUBLE) / 2))
+  / 3000 * sqrt(2 / pi()) AS tail FROM z, range(0, 12001) r(k) GROUP BY feature)
 --
-SELECT feature, n1, n0, u, (greatest(u, n1 * n0 - u) - n1 * n0 / 2 - 0.5) /
-  sqrt(n1 * n0 / 12 * (n + 1 - ties / (n * (n - 1)))) AS z FROM w""")
+SELECT feature, n1, n0, u, z, least(1.0, tail) AS p_value FROM z JOIN p USING (feature)""")
 
 register(
     "group_summary", "feature:s isFraud:i mean:d median:d std:d",

@@ -38,11 +38,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     A column outside the known ones is numeric only if all its values are. A value that does not fit the
     schema fails the job.
     """
+    return nan_to_null(_csv(spark, path, schema))
+
+
+def _csv(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
     if schema is None:
         found = spark.read.option("header", True).option("inferSchema", True).option("preferDate", False).csv(path).schema
         schema = T.StructType([T.StructField(f.name, column_type(f.name, f.dataType)) for f in found])
-    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
-    return nan_to_null(reader.csv(path))
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -118,6 +121,33 @@ def submission_check(submission: DataFrame, sample: DataFrame, position: str | N
     return report.withColumn("same_columns", F.lit(int(same_columns))).withColumn("is_valid", valid.cast("int"))
 
 
+def file_rows(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The rows of CSV parts with headers, and ``file_pos``: each row's place in the parts read one after the other.
+
+    Parts follow each other by name. A row's place comes from the part, the block of the part it was read in and its
+    place in that block; all rows are numbered by these in one global order, and none is collected.
+    """
+    told = _csv(spark, path, schema).select("*", F.col("_metadata.file_path").alias("_part"), F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_at"))
+    return row_index(nan_to_null(told), ["_part", "_block", "_at"], "file_pos").drop("_part", "_block", "_at")
+
+
+def submission_check_files(spark: SparkSession, submission: str, sample: str) -> DataFrame:
+    """``submission_check`` of two CSV files or folders of parts, row by row in file order."""
+    schema = T.StructType([T.StructField(ID, T.LongType()), T.StructField(LABEL, T.DoubleType())])
+    columns = [spark.read.option("header", True).csv(p).columns for p in (submission, sample)]
+    if columns[0] != columns[1] or columns[0] != schema.names:
+        # Rows of files with other columns are compared by whatever they have of these two.
+        ours, theirs = (_two_columns(spark.read.option("header", True).csv(p)) for p in (submission, sample))
+        return submission_check(ours, theirs).withColumns({"same_columns": F.lit(0), "is_valid": F.lit(0)})
+    return submission_check(file_rows(spark, submission, schema), file_rows(spark, sample, schema), "file_pos")
+
+
+def _two_columns(df: DataFrame) -> DataFrame:
+    kinds = {ID: "long", LABEL: "double"}
+    return df.select(*[(F.col(c).try_cast(k) if c in df.columns else F.lit(None).cast(k)).alias(c) for c, k in kinds.items()])
+
+
 def validate_submission(submission: DataFrame, sample: DataFrame, position: str | None = None) -> bool:
     return bool(submission_check(submission, sample, position).first()["is_valid"])
 

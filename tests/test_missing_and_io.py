@@ -1,12 +1,14 @@
 """Missingness features, sources, sinks and the submission check."""
 
 import json
+import math
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom import session
+from riskloom.functions.stats import erfc
 from riskloom.operators import missing, ordering, profiling, taxonomy
 from riskloom.sources import tables
 from tests.frames import collected, frame
@@ -154,3 +156,33 @@ def test_every_sparse_column_has_an_indicator_unless_limited(spark):
     df = spark.createDataFrame([(i, *([None] * 60)) for i in range(4)], "TransactionID long, " + ", ".join(f"V{i} double" for i in range(60)))
     assert len(missing.create_basic_missing_indicators(df)[1]) == 62
     assert len(missing.create_basic_missing_indicators(df, limit=50)[1]) == 52
+
+
+def test_files_are_compared_in_their_own_order(spark, tmp_path):
+    """Parts of any number and blocks of any size; a swapped pair is found, shuffled parts of one order are not told apart."""
+    rows = [(i * 7, i / 1000) for i in range(1000)]
+    df = spark.createDataFrame(rows, "TransactionID long, isFraud double")
+    swapped = spark.createDataFrame(rows[:500] + [rows[501], rows[500]] + rows[502:], df.schema)
+    for name, frame_, parts in (("sample", df, 1), ("same", df, 7), ("swapped", swapped, 3)):
+        frame_.coalesce(1).repartitionByRange(parts, F.monotonically_increasing_id()).sortWithinPartitions(
+            F.monotonically_increasing_id()).write.option("header", True).csv(f"{tmp_path}/{name}")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        assert [tuple(r) for r in tables.file_rows(spark, f"{tmp_path}/sample", df.schema).orderBy("file_pos").collect()] == [
+            (*r, n) for n, r in enumerate(rows)]
+        same = tables.submission_check_files(spark, f"{tmp_path}/same", f"{tmp_path}/sample").first()
+        other = tables.submission_check_files(spark, f"{tmp_path}/swapped", f"{tmp_path}/sample").first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert (same["is_valid"], same["id_mismatches"]) == (1, 0) and (other["is_valid"], other["id_mismatches"]) == (0, 4)
+    df.withColumnRenamed("isFraud", "score").write.option("header", True).csv(f"{tmp_path}/named")
+    named = tables.submission_check_files(spark, f"{tmp_path}/named", f"{tmp_path}/sample").first()
+    assert (named["same_columns"], named["is_valid"], named["n_missing"]) == (0, 0, 1000)
+
+
+def test_complementary_error_function(spark):
+    x = [0.0, 1e-9, 0.3, 1.0, 2.4999, 2.5, 3.0, 5.0, 10.0, 26.0, 40.0, None]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in x], "x double").select(erfc(F.col("x"))).collect()]
+    for v, g in zip(x, got):
+        assert g is None if v is None else g == pytest.approx(math.erfc(v), rel=1e-11, abs=0)
