@@ -6,13 +6,14 @@ import math
 import random
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators import selection
-from riskloom.operators.evaluation import auc_value
+from riskloom.operators.evaluation import auc_value, grouped_auc
 from riskloom.operators.ordering import hash_number, row_index
 from riskloom.operators.training import (
     ID, assembled, boosted_trees, cross_validate, fit, importance_table, rounds_of, scored,
@@ -59,12 +60,16 @@ class Tuner:
         self.best_params: dict | None = None
         self._rows: tuple[DataFrame, DataFrame] | None = None
 
+    def _written(self) -> tuple[DataFrame, DataFrame]:
+        """Vectors of both parts, written once for all trials."""
+        if self._rows is None:
+            self._rows = (written(assembled(self.train, self.features)), written(assembled(self.valid, self.features)))
+        return self._rows
+
     def _score(self, params: Mapping[str, object]) -> float:
         usable = dict(params)
         if self.valid is not None:
-            if self._rows is None:
-                self._rows = (written(assembled(self.train, self.features)), written(assembled(self.valid, self.features)))
-            early, late = self._rows
+            early, late = self._written()
             model = fit(boosted_trees(usable, self.rounds), early, late)
             return auc_value(scored(model, late), "prediction", "label") or 0.0
         cv = cross_validate(self.train, self.features, "contiguous", self.n_folds, params=usable, num_boost_round=self.rounds)
@@ -85,6 +90,48 @@ class Tuner:
         self.best_params = dict(best["params"])
         return self.best_params
 
+    def halving(self, n_trials: int = 50, keep: int = 3, fixed: Mapping[str, object] | None = None,
+                names: Sequence[str] | None = None, parallelism: int = 4) -> dict:
+        """Best of many drawn parameters, most of which leave after a few rounds.
+
+        All trials are fitted with a share of the rounds, several at a time over one written frame, and scored in
+        one job. The best one in ``keep`` goes on with ``keep`` times the rounds, until one step has them all. Each
+        trial's last score is kept; the best is one of the last step. Ties go to the earlier trial. Needs a hold-out.
+        """
+        if self.valid is None:
+            raise ValueError("halving needs a hold-out")
+        rng, names = random.Random(self.seed), [n for n in (names or self.space) if n not in (fixed or {})]
+        left = [(i, draw(rng, self.space, names)) for i in range(n_trials)]
+        steps = 1
+        while keep ** steps < n_trials and self.rounds // keep ** steps >= 1:
+            steps += 1
+        self.trials, done = [], {}
+        for step in range(steps):
+            rounds = max(1, self.rounds // keep ** (steps - 1 - step))
+            values = self._values([{**(fixed or {}), **p} for _, p in left], rounds, parallelism)
+            for (i, params), value in zip(left, values):
+                done[i] = {"trial": i, "value": value, "params": params, "step": step + 1, "rounds": rounds}
+            order = sorted(range(len(left)), key=lambda k: (-values[k], left[k][0]))
+            if step < steps - 1:
+                left = [left[k] for k in sorted(order[:max(1, len(left) // keep)])]
+            else:
+                self.best_params = dict(left[order[0]][1])
+        self.trials = [done[i] for i in range(n_trials)]
+        return self.best_params
+
+    def _values(self, several: Sequence[Mapping[str, object]], rounds: int, parallelism: int) -> list[float]:
+        """Hold-out AUC of each set of parameters after so many rounds."""
+        early, late = self._written()
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            models = list(pool.map(lambda p: fit(boosted_trees(p, rounds), early), several))
+        parts = None
+        for i, model in enumerate(models):
+            one = scored(model, late).select("label", "prediction", F.lit(i).alias("trial"))
+            parts = one if parts is None else parts.unionByName(one)
+        # One row per trial.
+        found = {r["trial"]: r["auc"] for r in grouped_auc(parts, ["trial"], "prediction", "label").collect()}
+        return [found.get(i) or 0.0 for i in range(len(several))]
+
     def get_best_params(self, fixed: Mapping[str, object] | None = None) -> dict:
         if self.best_params is None:
             raise ValueError("no tuning has been done yet")

@@ -172,6 +172,39 @@ def _staged(spark: SparkSession, sf: str) -> DataFrame:
         "searched": F.array_join(F.array_sort(F.map_keys("params")), ",")})
 
 
+HALVED = 50
+
+
+def _halving(spark: SparkSession, sf: str) -> DataFrame:
+    """Fifty drawn trials, of which most leave after one round: where each left, and whether that was in order."""
+    train, valid = _split(spark, sf)
+    space = {**tuning.SPACE, "max_depth": ("int", 2, 5)}
+    tuner = tuning.Tuner(train, FEATURES, valid, num_boost_round=9, space=space)
+    best = tuner.halving(HALVED)
+    last = max(t["step"] for t in tuner.trials)
+    top = max((t for t in tuner.trials if t["step"] == last), key=lambda t: (t["value"], -t["trial"]))
+    rows = [(t["trial"], t["step"], t["rounds"], float(t["value"]), _inside(t["params"], space)) for t in tuner.trials]
+    table = spark.createDataFrame(rows, "trial int, step int, rounds int, value double, inside int")
+    return table.groupBy("step", "rounds").agg(
+        F.count("*").alias("n_left"), F.min("inside").alias("inside"), F.min(_share("value")).alias("in_range")).withColumn(
+        "best_is_last", F.lit(int(best == top["params"] and top["value"] > LEARNT)))
+
+
+def _early_stop(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels without a rule: the validation loss turns at once, and the fit ends long before its thirty rounds."""
+    noise = (F.pmod(F.xxhash64("TransactionID"), F.lit(7)) == 0).cast("int")
+    train, valid = (d.withColumn("isFraud", noise) for d in _split(spark, sf))
+    patience, most = 3, 30
+    model, metrics = training.train_baseline_model(train, valid, FEATURES, {**PARAMS, "learning_rate": 1.0}, most, patience)
+    fitted = training.rounds_of(model.full_model)
+    curve = model.learning_curve(spark)
+    low = F.min(F.struct("valid_loss", "iteration")).alias("low")
+    return curve.agg(F.count("*").alias("rounds"), low).select(
+        (F.col("rounds") == fitted).cast("int").alias("all_told"), F.lit(int(fitted < most)).alias("ended_early"),
+        F.lit(int(metrics["best_iteration"] <= fitted - patience)).alias("patience_held"),
+        (F.col("low.iteration") <= metrics["best_iteration"]).cast("int").alias("best_kept"))
+
+
 def _search(spark: SparkSession, sf: str) -> tuning.FeatureSearch:
     return tuning.FeatureSearch(*_split(spark, sf), FEATURES, PARAMS, SEARCH_ROUNDS)
 
@@ -264,6 +297,11 @@ register("meta_learner", "method:s learnt:i best_holds:i", _meta,
          _values("method", list(ensemble.METHODS), "learnt", "best_holds"))
 register("tune", "trial:i inside:i in_range:i n_params:i", _tune,
          f"SELECT i AS trial, 1 AS inside, 1 AS in_range, {len(tuning.SPACE)} AS n_params FROM range(5) t(i)")
+register("halving_search", "step:i rounds:i n_left:i inside:i in_range:i best_is_last:i", _halving,
+         "SELECT step, rounds, n_left, 1 AS inside, 1 AS in_range, 1 AS best_is_last FROM (VALUES (1, 1, 34), (2, 3, 11), (3, 9, 5)) "
+         "t(step, rounds, n_left)")
+register("early_stop", "all_told:i ended_early:i patience_held:i best_kept:i", _early_stop,
+         "SELECT 1 AS all_told, 1 AS ended_early, 1 AS patience_held, 1 AS best_kept FROM (SELECT count(*) FROM txn)")
 register("staged_tune", "stage:i trial:i searched:s inside:i in_range:i", _staged,
          "SELECT stage, i AS trial, searched, 1 AS inside, 1 AS in_range FROM range(3) t(i), (VALUES "
          + ", ".join(f"({n + 1}, '{','.join(sorted(names))}')" for n, names in enumerate(tuning.STAGES)) + ") s(stage, searched)")
