@@ -19,6 +19,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import xxhash
@@ -49,9 +50,15 @@ NAMES = frozenset(
     "respond discussion share sharing social related recommended newsletter subscribe signup login search pager pagination "
     "widget widgets skip hidden".split())
 # Of these names those that parts of an article have as well; inside it only the template tells.
-UNSURE = frozenset(
-    "header discussion notice notices notification alert related recommended respond reply replies share sharing social "
-    "promo promotion rail overlay search widget widgets skip sidebar aside login banner menu sponsor sponsored".split())
+UNSURE = frozenset("header discussion notification alert respond promotion rail overlay search skip aside login banner menu".split())
+# Names that also count as one part of a longer one, such as comment-list; those of a page's own head only with such a part.
+PARTS = NAMES - frozenset("hidden skip header search login signup reply widget widgets".split())
+PAGE_HEAD = frozenset("site page main top global".split())
+VAGUE = frozenset("related recommended".split())
+# Parts that make a list of other pages of "related", which names a section of an article as well.
+OTHERS = frozenset("post posts article articles story stories link links reading item items news list box content".split())
+# Elements that hold a passage; inside an article a name on them is about the passage.
+PASSAGES = frozenset("p li dt dd h1 h2 h3 h4 h5 h6 blockquote pre td th figcaption caption summary".split())
 # Elements that are never lifted; of the others those named as without content may turn out to hold the page.
 NEVER = NO_CONTENT - {"form"}
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -59,6 +66,7 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s\"'/]|$)", re.I)
+_PARTED = re.compile(r"[-_]+")
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
 
@@ -78,9 +86,22 @@ def excluded(name: str, attributes: str, inside_content: bool) -> bool:
         key = key.lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "role" and value in ROLES):
             return True
-        if key in ("class", "id"):
-            if set(value.split()) & (NAMES - UNSURE if inside_content else NAMES):
+        if key in ("class", "id") and not (inside_content and name in PASSAGES) and named_without_content(value, inside_content):
+            return True
+    return False
+
+
+@lru_cache(maxsize=1 << 14)
+def named_without_content(value: str, inside_content: bool) -> bool:
+    """Does a class list or an id name a container without content, by a whole name or by a part of one?"""
+    for name in value.split():
+        parts = frozenset(_PARTED.split(name))
+        if inside_content:
+            vague = frozenset() if parts & OTHERS else VAGUE
+            if name in NAMES - UNSURE or parts & (PARTS - UNSURE - vague):
                 return True
+        elif name in NAMES or parts & PARTS or ("header" in parts and parts & PAGE_HEAD):
+            return True
     return False
 
 
@@ -93,13 +114,18 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
     """``read`` of the page. Where no article is left, an exclusion does not hold for containers around one.
 
     On a page without an article it does not hold for a container that has most of the page's text, such as a form
-    around the page.
+    around the page; inside an article not for one that has more text than is left of it.
     """
     lifted: frozenset[int] = frozenset()
     while True:
-        out, weights, around = read(page, lifted)
-        if any(text and inside and not out_of_it for _, text, inside, out_of_it in out):
-            return out
+        out, weights, around, within = read(page, lifted)
+        left = sum(len(text) for _, text, inside, out_of_it in out if inside and not out_of_it)
+        if left:
+            held = {at for at in within if weights.get(at, 0) > left}
+            if not held:
+                return out
+            lifted |= held
+            continue
         most = sum(len(text) for _, text, _, _ in out) / 2
         more = around or {at for at, weight in weights.items() if weight > most}
         if not more:
@@ -107,18 +133,19 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
         lifted |= more
 
 
-def read(page: str, lifted: frozenset[int]) -> tuple[list[tuple[str, str, bool, bool]], dict[int, int], set[int]]:
+def read(page: str, lifted: frozenset[int]) -> tuple[list[tuple[str, str, bool, bool]], dict[int, int], set[int], set[int]]:
     """(path, text, inside the article, excluded) of every text block, and of every container with an empty text.
 
     The path names the containers around a block. White space inside a block is one space; a tag that is
     not inline ends a block, a line break inside it is a space. End tags without a start are ignored and
     missing end tags are implied by those of the containers around. Then, by the places of the excluded containers
-    that can be lifted: the length of their text, and which have an article inside. Those in ``lifted`` are not excluded.
+    that can be lifted: the length of their text, which have an article inside, and which are inside one. Those in ``lifted`` are not excluded.
     """
     out: list[tuple[str, str, bool, bool]] = []
     stack: list[tuple[str, str, bool, bool, int]] = [("", "", False, False, -1)]
     weights: dict[int, int] = {}
     around: set[int] = set()
+    within: set[int] = set()
     held: list[str] = []
 
     def flush() -> None:
@@ -171,14 +198,16 @@ def read(page: str, lifted: frozenset[int]) -> tuple[list[tuple[str, str, bool,
         inside = inside or (name in CONTENT and not no_content)
         if no_content and not out_of_it and name not in NEVER and not unseen(found[3]):
             root = found.start()
+            if inside:
+                within.add(root)
         if name in CONTENT and root >= 0:
             around.add(root)
         stack.append((name, f"{path}/{label}", inside, no_content, root))
         out.append((stack[-1][1], "", inside, no_content))
-        if len(stack) > 512:  # nobody nests content so deep; the rest of such a page is read flat
-            del stack[256:]
+        if len(stack) > 512:  # containers nested deeper are one level, which keeps what those around it say
+            del stack[512 - 1]
     flush()
-    return out, weights, around
+    return out, weights, around, within
 
 
 def token(path: str, text: str) -> int:

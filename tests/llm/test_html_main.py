@@ -1,5 +1,7 @@
 from collections import Counter
 
+import pytest
+
 from riskloom.llm import html_main
 from riskloom.llm.html_main import main_text
 
@@ -67,3 +69,43 @@ def test_repeated_rows_and_empty_table(spark):
     df, rows, _ = frame(spark)
     assert html_main.extract(df.unionByName(df)).count() == 2 * len(rows)
     assert html_main.extract(df.where("false")).count() == 0
+
+
+PROSE = "A long enough sentence of the article itself that goes on for a while, and then some more of it."
+
+
+@pytest.mark.parametrize("name", [
+    "comment-list", "user_comments", "ad-slot", "ads", "share", "share-buttons", "related", "related-posts", "sidebar", "notice",
+    "cookie-notice", "newsletter-box", "social-links", "post-nav", "sponsored-content"])
+def test_named_parts_of_an_article_are_left_out(name):
+    page = f"<html><body><article><h1>Title</h1><p>{PROSE}</p><div class='{name}'><p>not this</p></div><p>End.</p></article></body></html>"
+    assert html_main.main_text(page) == f"Title\n\n{PROSE}\n\nEnd."
+
+
+@pytest.mark.parametrize("name", ["cookie-banner", "main-nav", "site-footer", "site-header", "sidebar-left", "breadcrumb-list", "comment-section"])
+def test_named_parts_of_a_page_without_an_article_are_left_out(name):
+    page = f"<body><div class='{name}'>not this</div><div class='post-body'><p>{PROSE}</p></div><div id='{name}'>nor this</div></body>"
+    assert html_main.main_text(page) == PROSE
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "layout-nav", "no-comments", "ad-free related-post"])
+def test_names_do_not_take_what_holds_the_text(name):
+    assert html_main.main_text(f"<body><div class='{name}'><p>{PROSE}</p></div><p>More.</p></body>").startswith(PROSE)
+    assert html_main.main_text(f"<article><h1>T</h1><div class='{name}'><p>{PROSE}</p></div></article>") == f"T\n\n{PROSE}"
+    assert html_main.main_text(f"<div class='{name}'><article><p>{PROSE}</p></article></div>") == PROSE
+
+
+def test_names_that_parts_of_articles_have_stay():
+    page = f"<article><div class='entry-header'><h1>T</h1></div><p>{PROSE}</p><div class='discussion'><p>We discuss.</p></div></article>"
+    assert html_main.main_text(page) == f"T\n\n{PROSE}\n\nWe discuss."
+
+
+def test_containers_nested_very_deep_keep_what_stands_around_them():
+    deep = "<div>" * 3000
+    assert html_main.main_text(f"<article><p>{PROSE}</p>{deep}<p>deep</p></article>") == f"{PROSE}\n\ndeep"
+    assert html_main.main_text(f"<article><p>{PROSE}</p><div class='comments'>{deep}<p>deep</p></div></article>") == PROSE
+
+
+def test_a_very_long_page_takes_no_square_of_its_length():
+    page = "<article>" + f"<p>{PROSE}</p><div class='ad-slot'>x</div>" * 30_000 + "</article>"
+    assert html_main.main_text(page) == "\n\n".join([PROSE] * 30_000)
