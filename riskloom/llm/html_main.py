@@ -54,6 +54,11 @@ UNSURE = frozenset("header discussion notification alert respond promotion rail
 # Names that also count as one part of a longer one, such as comment-list; those of a page's own head only with such a part.
 PARTS = NAMES - frozenset("hidden skip header search login signup reply widget widgets".split())
 PAGE_HEAD = frozenset("site page main top global".split())
+# Names that hold for a container with most of an article's text as well.
+CERTAIN = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense adslot nav navbar navigation menus breadcrumb breadcrumbs footer "
+    "masthead topbar toolbar cookie cookies consent gdpr popup modal comment comments commentlist disqus newsletter subscribe "
+    "signup pager pagination".split())
 VAGUE = frozenset("related recommended".split())
 # Parts that make a list of other pages of "related", which names a section of an article as well.
 OTHERS = frozenset("post posts article articles story stories link links reading item items news list box content".split())
@@ -105,6 +110,12 @@ def named_without_content(value: str, inside_content: bool) -> bool:
     return False
 
 
+def certain(attributes: str) -> bool:
+    """Is the container without content whatever it holds, by a whole name or a role?"""
+    return any(k.lower() == "role" or (k.lower() in ("class", "id") and set("".join(v).lower().split()) & CERTAIN)
+               for k, *v in _ATTRIBUTE.findall(attributes))
+
+
 def unseen(attributes: str) -> bool:
     return any(k.lower() == "hidden" or (k.lower() == "aria-hidden" and "".join(v).lower() == "true")
                for k, *v in _ATTRIBUTE.findall(attributes))
@@ -114,7 +125,7 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
     """``read`` of the page. Where no article is left, an exclusion does not hold for containers around one.
 
     On a page without an article it does not hold for a container that has most of the page's text, such as a form
-    around the page; inside an article not for one that has more text than is left of it.
+    around the page; inside an article not for one with a doubtful name that has more text than is left of it.
     """
     lifted: frozenset[int] = frozenset()
     while True:
@@ -198,7 +209,7 @@ def read(page: str, lifted: frozenset[int]) -> tuple[list[tuple[str, str, bool,
         inside = inside or (name in CONTENT and not no_content)
         if no_content and not out_of_it and name not in NEVER and not unseen(found[3]):
             root = found.start()
-            if inside:
+            if inside and not certain(found[3]):
                 within.add(root)
         if name in CONTENT and root >= 0:
             around.add(root)
