@@ -7,6 +7,7 @@ the total of all earlier slices, a table of at most one row per slice.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -21,6 +22,7 @@ from riskloom.session import slice_count, written
 
 #: Rows of a slice of a large table, and the least that are worth a slice of their own.
 SLICE_ROWS, LEAST_ROWS = 1_000_000, 10_000
+FEISTEL_ROUNDS = 4
 
 
 def _local_totals(measures: Sequence[int], exact: Sequence[bool]):
@@ -91,6 +93,46 @@ def row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_pos", sli
     )
 
 
+def _mixed(x: np.ndarray, key: int) -> np.ndarray:
+    x = x + np.uint64(key * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def permutations(df: DataFrame, position: str, n: int, seeds: Sequence[int], name: str = "permuted") -> DataFrame:
+    """One row per row and seed, with ``seed`` and the image of a position 0..n-1 under that seed's permutation.
+
+    Each seed gives a keyed pseudo-random permutation that is worked out from the position alone, so no order is
+    needed. A Feistel network moves side * other cells, of which fewer than ``side``, the root of n, are no positions;
+    what lands on one of those is moved on until it does not.
+    """
+    side = math.isqrt(max(n - 1, 0)) + 1
+    other = max(1, -(-n // side))
+    at = df.columns.index(position)
+
+    def moved(x: np.ndarray, seed: int) -> np.ndarray:
+        left, right = x % np.uint64(side), x // np.uint64(side)
+        for k in range(seed * FEISTEL_ROUNDS, (seed + 1) * FEISTEL_ROUNDS):
+            left = (left + _mixed(right, 2 * k + 1) % np.uint64(side)) % np.uint64(side)
+            right = (right + _mixed(left, 2 * k + 2) % np.uint64(other)) % np.uint64(other)
+        return right * np.uint64(side) + left
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(at).cast(pa.int64()).to_numpy(zero_copy_only=False).astype(np.uint64)
+            for seed in seeds:
+                x = moved(own, seed)
+                while (outside := x >= n).any():
+                    x[outside] = moved(x[outside], seed)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(np.full(len(x), seed, dtype=np.int64)), pa.array(x.astype(np.int64))],
+                    [*batch.schema.names, "seed", name])
+
+    kinds = [T.StructField("seed", T.LongType()), T.StructField(name, T.LongType())]
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *kinds]))
+
+
 def position_marks(df: DataFrame, positions: Sequence[int], time: str = "TransactionDT",
                    row_id: str = "TransactionID") -> dict[int, tuple]:
     """(time, id) of the rows at the given 0-based positions of the (time, id) order.

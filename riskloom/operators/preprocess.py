@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml import feature
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,7 @@ from riskloom.functions.keys import MISSING_TEXT, combined, same
 from riskloom.operators.keyed import KeyTable, attach, key_table
 from riskloom.operators.ordering import running_totals, time_split
 from riskloom.operators.quantiles import column_quantiles, stacked
+from riskloom.session import written
 
 NOT_FEATURES = ("TransactionID", "isFraud")
 MISSING = "missing"
@@ -63,6 +65,16 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         "feature", F.col("b.value").alias("mode"))
 
 
+def value_codes(counts: DataFrame) -> KeyTable:
+    """From (feature, value, n): codes 0..k-1 per feature, in ascending order of its values."""
+    steps = running_totals(counts.withColumn("one", F.lit(1)), ["feature", "value"], ["one"])
+    # One row per feature.
+    first = steps.groupBy("feature").agg(F.min("one_before").alias("start"))
+    code = (F.col("one_before") - F.col("start")).cast("int").alias("code")
+    return key_table(steps.join(F.broadcast(first), "feature").select(
+        F.col("feature").alias("name"), F.col("value").alias("key"), "n", code))
+
+
 class Imputer:
     """Fill missing cells with a statistic of the training frame."""
 
@@ -124,12 +136,7 @@ class LabelEncoder:
 
     def fit(self, df: DataFrame) -> LabelEncoder:
         text = df.select(*[self._text(df, c).alias(c) for c in self.columns])
-        values = frequency_table(text, self.columns).withColumn("one", F.lit(1))
-        steps = running_totals(values, ["feature", "value"], ["one"])
-        first = steps.groupBy("feature").agg(F.min("one_before").alias("start"))
-        code = (F.col("one_before") - F.col("start")).cast("int").alias("code")
-        self.codes = key_table(steps.join(F.broadcast(first), "feature").select(
-            F.col("feature").alias("name"), F.col("value").alias("key"), "n", code))
+        self.codes = value_codes(frequency_table(text, self.columns))
         known = {r["name"]: r["code"] for r in self.codes.table.where(F.col("key") == MISSING).collect()}
         self.other = {c: known.get(c, self.codes.sizes.get(c, (0, 0))[0]) for c in self.columns}
         return self
@@ -143,25 +150,42 @@ class LabelEncoder:
 
 
 class OneHotEncoder:
-    """``<column>_<value>`` flags for the values seen at fit; for low-cardinality columns only."""
+    """``<column>_<value>`` flags for the values seen at fit.
+
+    A column with over ``max_values`` values gets one sparse vector ``<column>_values`` instead, with a place per
+    value in ascending order; its values stay in a table. Missing and unseen values set nothing.
+    """
 
     def __init__(self, columns: Sequence[str], max_values: int = 1000):
         self.columns, self.max_values = list(columns), max_values
         self.values: dict[str, list[str]] = {}
+        self.wide: dict[str, int] = {}
+        self.codes: KeyTable | None = None
 
     def fit(self, df: DataFrame) -> OneHotEncoder:
-        sizes = frequency_table(df, self.columns).groupBy("feature").agg(F.count("*").alias("k")).collect()
-        wide = [r["feature"] for r in sizes if r["k"] > self.max_values]
-        if wide:
-            raise ValueError(f"too many values for one-hot columns: {wide}")
-        rows = frequency_table(df, self.columns).select("feature", "value").collect()
-        self.values = {c: sorted(r["value"] for r in rows if r["feature"] == c) for c in self.columns}
+        counts = written(frequency_table(df, self.columns))
+        sizes = {r["feature"]: r["k"] for r in counts.groupBy("feature").agg(F.count("*").alias("k")).collect()}
+        self.wide = {c: sizes[c] for c in self.columns if sizes.get(c, 0) > self.max_values}
+        many = F.col("feature").isin(list(self.wide))
+        rows = counts.where(~many).select("feature", "value").collect()
+        self.values = {c: sorted(r["value"] for r in rows if r["feature"] == c) for c in self.columns if c not in self.wide}
+        self.codes = value_codes(counts.where(many)) if self.wide else None
         return self
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, **options) -> DataFrame:
         made = {f"{c}_{v}": F.coalesce(F.col(c).cast("string") == v, F.lit(False)).cast("int")
                 for c, vs in self.values.items() for v in vs}
-        return df.withColumns(made) if made else df
+        out = df.withColumns(made) if made else df
+        wide = {c: f"_code_{c}" for c in self.wide if c in df.columns}
+        if not wide:
+            return out
+        out = attach(out, {c: F.col(f"`{c}`").cast("string") for c in wide}, self.codes,
+                     {c: {code: "code"} for c, code in wide.items()}, **options)
+        # The code after the last value is the one that the vector leaves out.
+        none = {code: F.lit(self.wide[c]) for c, code in wide.items()}
+        out = out.withColumns({code: F.coalesce(F.col(f"`{code}`"), n) for code, n in none.items()})
+        vectors = feature.OneHotEncoder(inputCols=list(none), outputCols=[f"{c}_values" for c in wide], dropLast=True)
+        return vectors.fit(df.sparkSession.range(1).select(*[n.alias(code) for code, n in none.items()])).transform(out).drop(*none)
 
 
 class StandardScaler:

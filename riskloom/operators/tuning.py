@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import selection
 from riskloom.operators.evaluation import auc_value, grouped_auc
-from riskloom.operators.ordering import hash_number, row_index
+from riskloom.operators.ordering import permutations, row_index
 from riskloom.operators.training import (
     ID, assembled, boosted_trees, cross_validate, fit, importance_table, rounds_of, scored,
 )
@@ -222,31 +222,39 @@ class FeatureSearch:
         return current, self.spark.createDataFrame(
             log, "round int, n_features int, auc double, removed array<string>")
 
-    def shuffled_labels(self, seed: int) -> DataFrame:
-        """The training rows with labels permuted: the i-th label in id order goes to the i-th row in hash order."""
-        by_id = row_index(self.early.select(ID, "label"), [ID]).select("row_pos", "label")
-        keyed = self.early.select(ID, hash_number(ID, seed).alias("_h"))
-        by_hash = row_index(keyed, ["_h", ID]).select("row_pos", ID)
-        return self.early.drop("label").join(by_hash.join(by_id, "row_pos").drop("row_pos"), ID)
+    def shuffled_labels(self, seeds: Sequence[int]) -> DataFrame:
+        """The training rows with a column ``label_<seed>`` of permuted labels per seed.
 
-    def null_importance(self, n_iterations: int = 5) -> tuple[list[str], DataFrame]:
-        """Features whose importance beats that of fits on shuffled labels.
+        Rows are put in order once, by id; a seed's permutation then tells each label the position it goes to. Only
+        (position, label) pairs move per seed, and the vectors are joined once.
+        """
+        order = written(row_index(self.early.select(ID, "label"), [ID]))
+        moved = permutations(order.select("row_pos", "label"), "row_pos", order.count(), seeds)
+        labels = moved.groupBy(F.col("permuted").alias("row_pos")).agg(
+            *[F.max(F.when(F.col("seed") == s, F.col("label"))).alias(f"label_{s}") for s in seeds])
+        return self.early.join(order.select(ID, "row_pos").join(labels, "row_pos").drop("row_pos"), ID)
+
+    def null_importance(self, n_iterations: int = 5, parallelism: int = 4) -> tuple[list[str], DataFrame]:
+        """Features whose importance beats that of fits on shuffled labels, several of which run at a time.
 
         A tree model's importances are shares of 1; times training rows and trees they are on the scale of total
         gains, for which the rules are made.
         """
-        rows = self.early.count()
+        rows, seeds = self.early.count(), list(range(n_iterations))
+        shuffled = written(self.shuffled_labels(seeds))
 
-        def gains(early: DataFrame | None = None) -> DataFrame:
+        def gains(seed: int | None) -> DataFrame:
+            early = None if seed is None else shuffled.withColumn("label", F.col(f"label_{seed}")).select(*self.early.columns)
             model, _ = self._fit(self.features, early)
-            return importance_table(self.spark, model, self.features).withColumn(
-                "importance", F.col("importance") * rows * rounds_of(model))
-
-        actual, runs = gains(), None
-        for i in range(n_iterations):
-            one = gains(self.shuffled_labels(i)).withColumn("run", F.lit(i))
-            runs = one if runs is None else runs.unionByName(one)
-        table = selection.null_importance_rule(actual, runs)
+            return importance_table(self.spark, model, self.features).withColumns({
+                "importance": F.col("importance") * rows * rounds_of(model), "run": F.lit(seed).cast("int")})
+
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            actual, *null = pool.map(gains, [None, *seeds])
+        runs = null[0]
+        for one in null[1:]:
+            runs = runs.unionByName(one)
+        table = selection.null_importance_rule(actual.drop("run"), runs)
         kept = {r["feature"] for r in table.where(F.col("keep") == 1).collect()}
         return [f for f in self.features if f in kept], table
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -176,6 +177,20 @@ register("one_hot", " ".join([ID, *[f"card4_{v}:i" for v in _CARD4]]), _one_hot,
          "SELECT TransactionID, " + ", ".join(f"CAST(coalesce(card4 = '{v}', false) AS INT) AS card4_{v}" for v in _CARD4)
          + " FROM txn")
 
+
+def _one_hot_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Size of the sparse vector of card1 and the place it sets; values after the first 20 days may be unseen."""
+    df = fixture.transactions(spark, sf)
+    out = preprocess.OneHotEncoder(["card1"], max_values=50).fit(df.where(F.col("TransactionDT") < 20 * 86400)).transform(df)
+    cells = vector_to_array("card1_values")
+    return out.select("TransactionID", F.size(cells).alias("n_values"), (F.nullif(F.array_position(cells, F.lit(1.0)), F.lit(0)) - 1).alias("place"))
+
+
+register("one_hot_wide", f"{ID} n_values:i place:i", _one_hot_wide,
+         "WITH codes AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS place FROM (SELECT DISTINCT CAST(card1 AS VARCHAR) AS v "
+         "FROM txn WHERE TransactionDT < 20 * 86400 AND card1 IS NOT NULL))\n--\nSELECT TransactionID, (SELECT count(*) FROM codes) "
+         "AS n_values, place FROM txn LEFT JOIN codes ON v = CAST(card1 AS VARCHAR)")
+
 _SCALED = "TransactionAmt card2 C1 D1 V2".split()
 
 

@@ -80,9 +80,12 @@ def test_searches(planted):
     search = tuning.FeatureSearch(train, valid, FEATURES, PARAMS, 2)
     left, history = search.recursive_elimination(1, 0.5)
     assert left == ["x1"] and [r["n_features"] for r in history.orderBy("round").collect()] == [2, 1]
-    shuffled = search.shuffled_labels(1)
-    assert shuffled.count() == 480
-    assert shuffled.agg(F.sum("label")).first()[0] == search.early.agg(F.sum("label")).first()[0]
+    shuffled = search.shuffled_labels([1, 2]).toPandas()
+    ones = search.early.agg(F.sum("label")).first()[0]
+    assert len(shuffled) == 480 and shuffled.label_1.sum() == shuffled.label_2.sum() == ones
+    assert not (shuffled.label_1 == shuffled.label_2).all() and not (shuffled.label_1 == shuffled.label).all()
+    kept, table = search.null_importance(3)
+    assert "x1" in kept and {r["n_runs"] for r in table.collect()} == {3}
     kept, removed = search.select_by_importance(0.99, min_kept=1)
     assert "x1" in kept and not set(kept) & set(removed)
 

@@ -237,6 +237,28 @@ def test_imputer_and_encoder_on_unseen_values(spark):
         preprocess.Imputer([], [], "guess")
 
 
+def test_permutations_are_permutations(spark):
+    for n in (1, 2, 5, 37, 1000):
+        moved = ordering.permutations(spark.range(n), "id", n, [3, 8]).toPandas()
+        assert len(moved) == 2 * n
+        for _, own in moved.groupby("seed"):
+            assert sorted(own.id) == sorted(own.permuted) == list(range(n))
+    a, b = (own.sort_values("id").permuted.to_numpy() for _, own in moved.groupby("seed"))
+    # Neither follows the order of the positions nor the other seed.
+    assert max(abs(np.corrcoef(x, y)[0, 1]) for x, y in ((a, np.arange(n)), (b, np.arange(n)), (a, b))) < 0.15
+    assert ordering.permutations(spark.range(0), "id", 0, [1]).count() == 0
+
+
+def test_one_hot_of_many_values_is_a_sparse_vector(spark):
+    rows = [(i, f"v{i % 7}", "x" if i % 2 else "y") for i in range(20)]
+    kinds = "TransactionID long, many string, few string"
+    encoder = preprocess.OneHotEncoder(["many", "few"], max_values=5).fit(spark.createDataFrame(rows, kinds))
+    out = encoder.transform(spark.createDataFrame([(1, "v3", "x"), (2, None, None), (3, "new", "z")], kinds))
+    got = {r["TransactionID"]: (r["many_values"].size, list(r["many_values"].indices), r["few_x"], r["few_y"]) for r in out.collect()}
+    assert got == {1: (7, [3], 1, 0), 2: (7, [], 0, 0), 3: (7, [], 0, 0)}
+    assert set(out.columns) == {"TransactionID", "many", "few", "few_x", "few_y", "many_values"}
+
+
 def test_mode_takes_the_smallest_on_a_tie(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,)], "c string")
     assert preprocess.modes(df, ["c"]).first()["mode"] == "a"
