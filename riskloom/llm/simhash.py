@@ -22,12 +22,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import components, step, text_or_empty
+from riskloom.session import slice_count
 
 SEED = 42
 SHINGLE = 3
 MAX_BITS = 2
 #: Fingerprints of one list beyond which its partners are looked up by value, about as many rows as pairs would be.
 LONG_LIST = 64
+#: Fingerprints of a task that makes postings, at most, and the least that are worth a task of their own.
+POSTED_ROWS, LEAST_ROWS = 100_000, 2_000
 #: Positions of a list, and the lists that a pair with the guaranteed shared bytes shares.
 _POSITIONS = 4
 _LISTS = math.comb(8 - MAX_BITS, _POSITIONS)
@@ -91,7 +94,10 @@ def links(prints: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
     fingerprints in a longer list the values within two bits are enumerated and looked up, 2,080 of them whatever
     the length of the list; a pair none of whose lists is long has its whole tally.
     """
-    index = postings(prints.select("fingerprint"))
+    # A fingerprint is narrow and becomes 70 postings, so tasks follow from rows and not from bytes read.
+    rows = prints.count()
+    tasks = max(-(-rows // POSTED_ROWS), min(slice_count(prints.sparkSession), -(-rows // LEAST_ROWS)), 1)
+    index = postings(prints.select("fingerprint").repartition(tasks, "fingerprint"))
     sizes = index.groupBy("slot", "key").agg(F.count("*").alias("n"))
     listed = step(index.join(sizes.where("n > 1"), ["slot", "key"]))
     short, crowded = listed.where(F.col("n") <= long_list), listed.where(F.col("n") > long_list)
