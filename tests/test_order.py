@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import ensemble, evaluation, folds, ordering, preprocess, profiling, quantiles, selection
+from riskloom.plans import reports
 from tests.frames import collected, frame, pandas_rows, same
 
 
@@ -281,3 +282,18 @@ def test_quantile_bins_drop_repeated_edges(spark):
 def test_downcast_types(spark):
     df = spark.createDataFrame([(1, 127, 40000, 1.5), (2, -5, 3, 1e300)], "a long, b long, c long, d double")
     assert dict(preprocess.downcast(df).dtypes) == {"a": "tinyint", "b": "smallint", "c": "int", "d": "double"}
+
+
+def test_one_hot_wide_makes_no_cell_per_value(spark, monkeypatch):
+    rows = [(i, 86400 * (30 if i >= 190 else 1), i if i % 19 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "TransactionID long, TransactionDT long, card1 int")
+    for few in (False, True):
+        own = df.where("card1 % 10 = 3 or TransactionID >= 190") if few else df
+        monkeypatch.setattr(reports.fixture, "transactions", lambda *_: own)
+        out = reports._one_hot_wide(spark, "")
+        # A dense vector per row holds as many cells as there are values, rows times values in all.
+        assert few or "array_position" not in out._jdf.queryExecution().toString()
+        seen = sorted({str(r["card1"]) for r in own.collect() if r["card1"] is not None and r["TransactionDT"] < 20 * 86400})
+        want = {r["TransactionID"]: (len(seen), seen.index(str(r["card1"])) if str(r["card1"]) in seen else None) for r in own.collect()}
+        assert {r["TransactionID"]: (r["n_values"], r["place"]) for r in out.collect()} == want
+        assert (len(seen) > 50) != few
