@@ -197,3 +197,17 @@ def test_features_without_importance_come_last(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", None), ("c", 3.0), ("d", 1.0)], "feature string, importance double")
     rows = {r["feature"]: (r["place"], r["cumulative_share"], r["keep"]) for r in selection.importance_cut(df, 0.8, 2).collect()}
     assert rows == {"c": (1, 0.6, 1), "a": (2, 0.8, 1), "d": (3, 1.0, 0), "b": (4, 1.0, 0)}
+
+
+def test_fits_are_dealt_out_by_rows(planted, monkeypatch):
+    """The tasks of a fit follow from its rows, not from the splits of a scan."""
+    monkeypatch.setattr(training, "FIT_ROWS", 50)
+    one, seen = planted.withColumn("x2", F.lit(None).cast("int")).coalesce(1), []
+    monkeypatch.setattr(training.GBTClassifier, "fit", lambda self, rows, *_, own=training.GBTClassifier.fit: (
+        seen.append([len(p) for p in rows.rdd.glom().collect()]), own(self, rows))[1])
+    rows = training.assembled(one, FEATURES)
+    training.fit(training.boosted_trees(PARAMS, 2), rows)
+    training.fit(training.boosted_trees(PARAMS, 2), rows, rows)
+    assert len(seen) >= 2 and all(sum(sizes) == 600 and len(sizes) == 12 and max(sizes) <= 60 for sizes in seen)
+    monkeypatch.setattr(training, "FIT_ROWS", 600)
+    assert training.dealt(rows) is rows
