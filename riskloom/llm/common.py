@@ -35,7 +35,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star steps: every step is a minimum per node with partial sums
     before the shuffle and one join, so no component and no node's neighbours are ever gathered. Each
-    round's edges are written to the shared folder, which cuts the lineage. Edges with a null end and
+    round's edges are written to the shared folder, which cuts the lineage. Both joins go by shuffle, so that
+    the driver builds no table of nodes. Edges with a null end and
     self-loops are left out; nodes without an edge are not in the result.
     """
     edges = step(
@@ -50,9 +51,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         seen = mark
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").hint("merge").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(
+        small = large.hint("merge").join(low, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = step(small.where("u <> v").distinct())
     else:

@@ -99,11 +99,12 @@ def links(prints: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
     tasks = max(-(-rows // POSTED_ROWS), min(slice_count(prints.sparkSession), -(-rows // LEAST_ROWS)), 1)
     index = postings(prints.select("fingerprint").repartition(tasks, "fingerprint"))
     sizes = index.groupBy("slot", "key").agg(F.count("*").alias("n"))
-    listed = step(index.join(sizes.where("n > 1"), ["slot", "key"]))
+    # By shuffle, all of them: a plan takes the postings to be as few as the fingerprints and would broadcast them.
+    listed = step(index.hint("merge").join(sizes.where("n > 1"), ["slot", "key"]))
     short, crowded = listed.where(F.col("n") <= long_list), listed.where(F.col("n") > long_list)
     left = short.select("slot", "key", F.col("fingerprint").alias("a"))
     right = short.select("slot", "key", F.col("fingerprint").alias("b"))
-    tally = left.join(right, ["slot", "key"]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("lists"))
+    tally = left.hint("merge").join(right, ["slot", "key"]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("lists"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS
     met = tally.where(F.col("lists") >= _LISTS).where(near).select("a", "b")
     if not crowded.isEmpty():
@@ -111,7 +112,7 @@ def links(prints: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
         masks = [m - (1 << 64) if m >> 63 else m for m in one + [x | y for x, y in combinations(one, 2)]]
         asked = crowded.select(F.col("fingerprint").alias("a")).distinct().select(
             "a", F.explode(F.lit(masks)).alias("mask")).select("a", F.col("a").bitwiseXOR(F.col("mask")).alias("b"))
-        # By shuffle: a plan takes the values asked for to be as few as the fingerprints that ask.
+        # The values asked for, too, are taken to be as few as the fingerprints that ask.
         found = asked.hint("merge").join(prints.select(F.col("fingerprint").alias("b")), "b")
         met = met.unionByName(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     return met.distinct()
@@ -130,10 +131,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     prints = step(fingerprints(docs, doc_id, text, shingle))
     distinct = step(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("lowest")))
     classes = components(links(distinct, long_list))
-    told = step(distinct.join(classes, distinct.fingerprint == classes.node, "left").select(
+    told = step(distinct.hint("merge").join(classes, distinct.fingerprint == classes.node, "left").select(
         "fingerprint", "lowest", F.coalesce("component", "fingerprint").alias("class")))
-    named = told.join(told.groupBy("class").agg(F.min("lowest").alias("component_id")), "class")
-    return prints.join(named.select("fingerprint", "component_id"), "fingerprint").select(
+    named = told.hint("merge").join(told.groupBy("class").agg(F.min("lowest").alias("component_id")), "class")
+    return prints.hint("merge").join(named.select("fingerprint", "component_id"), "fingerprint").select(
         "doc_id", "fingerprint", "component_id")
 
 
@@ -163,8 +164,8 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     texts = step(texts.withColumn("gid", F.monotonically_increasing_id()))
     classes = near_duplicates(texts, "gid", "text", shingle=shingle).select(
         F.col("doc_id").alias("gid"), F.col("component_id").alias("component"))
-    named = texts.select("key", "gid").join(classes, "gid").select("key", "component")
+    named = texts.select("key", "gid").hint("merge").join(classes, "gid").select("key", "component")
     order = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
-    first = slim.join(named, "key").groupBy("component").agg(F.min(order).alias("first"))
+    first = slim.hint("merge").join(named, "key").groupBy("component").agg(F.min(order).alias("first"))
     kept = rows.join(step(first.select(F.col("first.row").alias(own))), own)
     return kept.dropDuplicates([own]).select(*names)

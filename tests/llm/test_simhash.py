@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from riskloom.llm import simhash
+from riskloom.llm import common, simhash
 from tests.llm.frames import awkward, empty, planted
 
 
@@ -100,3 +100,20 @@ def test_kept_rows_have_their_columns_whatever_their_names(spark):
     for r, group in zip(rows, groups_of(rows)):
         best[group] = min(best.get(group, r["doc_id"]), r["doc_id"])
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(best.values())
+
+
+def test_no_table_that_grows_with_the_documents_is_broadcast(spark, monkeypatch):
+    plans, own = [], simhash.step
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return own(df)
+
+    monkeypatch.setattr(simhash, "step", kept)
+    monkeypatch.setattr(common, "step", kept)
+    docs = spark.createDataFrame([(i, f"a{i % 9} b c{i % 4} d") for i in range(40)], "doc_id long, text string")
+    found = simhash.near_duplicates(docs)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert found.count() == 40
+    joins = [p for p in plans if "Join" in p]
+    assert len(joins) >= 3 and not [p for p in joins if "BroadcastHashJoin" in p]
