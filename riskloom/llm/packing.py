@@ -27,10 +27,10 @@ from riskloom.llm.common import step, text_or_empty
 
 BUDGET = 2048
 SEPARATOR = 0
-#: Words, and parts of words, that one of the two generations of a task's memory holds.
-WORDS_KEPT, PARTS_KEPT = 200_000, 100_000
+#: Words that one of the two generations of a task's memory holds.
+WORDS_KEPT = 200_000
 #: Documents, and their characters, that are looked up together.
-_DOCS, _CHARS = 128, 1 << 20
+_DOCS, _CHARS = 1024, 1 << 21
 #: Bytes that a byte-level tokenizer shows as themselves; the others are shown as U+0100 and on, in their order.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
@@ -47,16 +47,13 @@ class TwoGenerations(dict):
             self.old = dict(self)
             self.clear()
 
-    def missing(self, keys: set) -> list:
-        """Those of ``keys`` that neither generation holds; those of the old one move to the new."""
-        unknown = []
-        for key in keys:
-            found = self.old.get(key)
-            if found is None:
-                unknown.append(key)
-            else:
-                self[key] = found
-        return unknown
+    def found(self, keys: list) -> list:
+        """The value of each key, None for those that neither generation holds; those of the old one move to the new."""
+        out = list(map(self.get, keys))
+        for n, value in enumerate(out):
+            if value is None and (value := self.old.get(keys[n])) is not None:
+                out[n] = self[keys[n]] = value
+        return out
 
 
 class WordIds:
@@ -73,7 +70,7 @@ class WordIds:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words, self.parts = TwoGenerations(WORDS_KEPT), TwoGenerations(PARTS_KEPT)
+        self.words = TwoGenerations(WORDS_KEPT)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.added = [t["content"].lower() for t in spec.get("added_tokens") or []]
@@ -88,8 +85,11 @@ class WordIds:
             self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
             self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+            # A blank stands between parts only.
             hidden = [b for b in range(256) if b not in set(_SHOWN)]
-            self.shown = {b: b for b in _SHOWN} | {b: 256 + n for n, b in enumerate(hidden)}
+            self.shown = np.arange(256, dtype="<u2")
+            self.shown[hidden] = range(256, 256 + len(hidden))
+            self.shown[32] = 32
 
     @staticmethod
     def _narrow(pattern: str) -> str:
@@ -99,54 +99,83 @@ class WordIds:
             pattern = pattern.replace(f"[\\p{{{kind}}}]", f"[{own}]").replace(f"\\p{{{kind}}}", own)
         return pattern
 
-    def new_parts(self, parts: list[str]) -> None:
-        shown = [p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(self.shown) for p in parts]
-        ids = np.asarray(self.model.encode_batch_fast([" ".join(shown)], add_special_tokens=False)[0].ids, dtype="<u4")
+    def part_ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts in a row, and where each part's begin and the last ends."""
+        shown = self.shown[np.frombuffer(" ".join(parts).encode(), dtype=np.uint8)].tobytes().decode("utf-16-le")
+        ids = np.asarray(self.model.encode_batch_fast([shown], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) == len(parts):
-            data, stops = ids.tobytes(), (4 * ends).tolist()
-            self.parts.update(zip(parts, (data[a:b] for a, b in zip([0] + stops, stops))))
+            return ids, np.concatenate(([0], ends))
+        return _joined([np.array([t.id for t in self.tokenizer.model.tokenize(own)], dtype="<u4").tobytes()
+                        for own in shown.split(" ")])
+
+    def new_words(self, words: list[str]) -> list[bytes]:
+        """Blanks end a part, so the parts of all words are found at once; a word ends where its characters do."""
+        parts = self.cut.findall(" ".join(words))
+        if "".join(parts) == "".join(words):
+            last = np.searchsorted(_ends(parts)[1:], _ends(words)[1:]) + 1
         else:
-            for part, own in zip(parts, shown):
-                self.parts[part] = np.array([t.id for t in self.tokenizer.model.tokenize(own)], dtype="<u4").tobytes()
-
-    def new_words(self, words: list[str]) -> None:
-        cut = [self.cut.findall(w) for w in words]
-        self.parts.turn()
-        unknown = self.parts.missing({p for own in cut for p in own} - self.parts.keys())
-        if unknown:
-            self.new_parts(unknown)
-        part = self.parts.__getitem__
-        self.words.update(zip(words, (part(own[0]) if len(own) == 1 else b"".join(map(part, own)) for own in cut)))
+            cut = [self.cut.findall(w) for w in words]
+            parts, last = [p for own in cut for p in own], _ends(cut)[1:]
+        coded = pa.array(parts, pa.large_string()).dictionary_encode()
+        ids, ends = _copied(*self.part_ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), coded.indices.to_numpy())
+        data, stops = ids.tobytes(), [0, *(4 * ends[last]).tolist()]
+        return [data[a:b] for a, b in zip(stops, stops[1:])]
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def split(self, text: str) -> list[str] | None:
-        """The words of a text that can be looked up, None if it has to go through the tokenizer."""
+    def lowered(self, text: str) -> str | None:
+        """A text whose words can be looked up, in lower case; None if it has to go through the tokenizer."""
         try:
             plain = text.encode("latin-1")
         except UnicodeEncodeError:
             return None
-        # U+001C to U+001F end a word for str.split() and not for the tokenizer.
+        # U+001C to U+001F end a word for Arrow and not for the tokenizer.
         if not self.simple or len(plain.translate(None, b"\x1c\x1d\x1e\x1f")) < len(text):
             return None
         lower = text.lower()
-        return None if any(a in lower for a in self.added) else lower.split()
+        return None if any(a in lower for a in self.added) else lower
 
     def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. Each word of the texts is looked up once, and its ids are copied to where it stands."""
         self.words.turn()
-        split = [self.split(t) for t in texts]
-        unknown = self.words.missing(set().union(*(s for s in split if s)) - self.words.keys())
+        lower = [self.lowered(t) for t in texts]
+        split = pc.utf8_split_whitespace(pa.array(lower, pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.words[""] = b""  # left by white space at either end of a text
+        found = self.words.found(names)
+        unknown = [n for n, value in enumerate(found) if value is None]
         if unknown:
-            self.new_words(unknown)
-        word = self.words.__getitem__
-        return [self.whole(t) if s is None else b"".join(map(word, s)) for t, s in zip(texts, split)]
+            words = [names[n] for n in unknown]
+            for n, word, value in zip(unknown, words, self.new_words(words)):
+                found[n] = self.words[word] = value
+        ids, ends = _copied(*_joined(found), coded.indices.to_numpy())
+        out, places = ids.tobytes(), (4 * ends[split.offsets.to_numpy()]).tolist()
+        return [self.whole(t) if s is None else out[a:b] for t, s, a, b in zip(texts, lower, places, places[1:])]
 
     def __call__(self, text: str) -> bytes:
         return self.many([text])[0]
 
 
+def _ends(values: list) -> np.ndarray:
+    """Where each of the values begins if they stand in a row, and where the last ends."""
+    return np.concatenate(([0], np.cumsum(np.fromiter(map(len, values), np.int64, len(values)))))
+
+
+def _joined(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all values in a row, and their ``_ends``."""
+    return np.frombuffer(b"".join(values), dtype="<u4"), _ends(values) // 4
+
+
+def _copied(ids: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the values that ``codes`` names, in a row, and their ends."""
+    count = np.diff(ends)[codes]
+    out = np.concatenate(([0], np.cumsum(count)))
+    return ids[np.repeat(ends[codes] - out[:-1], count) + np.arange(out[-1])], out
+
+
 def _together(sizes: list[int]) -> Iterator[tuple[int, int]]:
     """Ranges of up to ``_DOCS`` texts with ``_CHARS`` characters, or of one longer text."""
     first = held = 0

@@ -81,3 +81,30 @@ def test_pieces_hold_the_ids_of_the_texts(spark, make):
 
 def test_empty_table(spark):
     assert packing.pack(empty(spark), PATH).count() == 0
+
+
+def test_parts_of_many_new_words_are_found_at_once():
+    """A call looks for the parts of its new words once, however many they are."""
+    reader, calls = packing.WordIds(PATH), []
+
+    class Counted:
+        def findall(self, text, cut=reader.cut):
+            calls.append(text)
+            return cut.findall(text)
+
+    reader.cut = Counted()
+    texts = [" ".join(f"w{'abcdefghij'[n % 10]}{n}, né{n}!'s" for n in range(k, k + 200)) + " " for k in range(0, 2000, 100)]
+    got = reader.many(texts)
+    assert len(calls) == 1
+    for text, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u4").tolist() == reader.tokenizer.encode(text, add_special_tokens=False).ids
+    # What is known is not looked for again, and is the same.
+    assert reader.many(texts) == got and len(calls) == 1
+
+
+def test_words_are_the_same_after_both_generations_were_full(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS_KEPT", 50)
+    reader = packing.WordIds(PATH)
+    for n in (0, 1, 2, 0, 1, 40, 0):
+        text = " \t".join(f"word{k}x{k * n}" for k in range(n, n + 80)) + "\n"
+        assert np.frombuffer(reader(text), "<u4").tolist() == reader.tokenizer.encode(text, add_special_tokens=False).ids
