@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,21 @@ def step(df: DataFrame) -> DataFrame:
         conf.set(name, before) if before is not None else conf.unset(name)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
+    """Tasks started in the block pass at most so many rows at a time to Python, for rows that hold whole texts.
+
+    A task keeps a batch in both of its processes, twice while a buffer grows: 10,000 texts of 2 kB are 20 MB each time.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows if int(before) <= 0 else min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable from each node of the undirected edges (a, b).
 

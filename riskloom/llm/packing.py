@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import step, text_or_empty
+from riskloom.llm.common import small_batches, step, text_or_empty
 
 BUDGET = 2048
 SEPARATOR = 0
@@ -216,8 +216,9 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", tex
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    return step(slim.mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids binary, slice int, rank long"))
+    with small_batches(docs.sparkSession):
+        return step(slim.mapInArrow(
+            run, "doc_id long, piece int, start long, length long, ids binary, slice int, rank long"))
 
 
 def plan_sequences(counts: dict[int, int], budget: int = BUDGET) -> tuple[list[tuple[int, int, int, int, int, int]], int]:

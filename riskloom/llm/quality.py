@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import step, text_or_empty
+from riskloom.llm.common import small_batches, step, text_or_empty
 
 THRESHOLD = 0.7
 #: Score bins from which the logistic curve is fitted.
@@ -107,7 +107,8 @@ def labelled_features(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id"
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out(doc_id)).groupBy(
         F.col(doc_id).cast("long").alias("doc_id")).agg(F.min(label).cast("int").alias("label"))
-    return step(slim.mapInArrow(run, "doc_id long, x binary").join(known, "doc_id", "left").select("label", "x"))
+    with small_batches(docs.sparkSession):
+        return step(slim.mapInArrow(run, "doc_id long, x binary").join(known, "doc_id", "left").select("label", "x"))
 
 
 def moments(rows: DataFrame) -> dict[str, tuple[int, np.ndarray, np.ndarray]]:

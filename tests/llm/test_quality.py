@@ -2,10 +2,11 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.llm import quality
+from riskloom.llm import packing, quality
 from tests.conftest import SF
 from tests.llm.frames import awkward, empty, sentence
 
@@ -74,3 +75,16 @@ def test_risk_never_falls_below_the_closed_form_start():
     moments = lambda x: (len(x), x.mean(0), x.T @ x / len(x))
     w = quality.minimise_risk(2 / 3, moments(pos), moments(every))
     assert np.mean(pos @ w > 0) > 0.9 and np.mean(rest @ w < 0) > 0.9
+
+
+def test_a_task_passes_few_texts_at_a_time(spark, monkeypatch):
+    """Whole texts come to Python in small batches, also on a table of one file; the setting holds for the step alone."""
+    seen, name = [], "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    for module in (quality, packing):
+        monkeypatch.setattr(module, "step", lambda rows, own=module.step: (seen.append(spark.conf.get(name)), own(rows))[1])
+    docs = spark.range(10).selectExpr("id as doc_id", "concat('some text ', id) as text")
+    labels = spark.range(10).selectExpr("id as doc_id", "id % 2 as quality")
+    quality.labelled_features(docs, labels).collect()
+    packing.cut_pieces(docs, public_tokenizers.path("word_bpe_49k.json")).collect()
+    assert seen == ["1024", "1024"] and spark.conf.get(name) == before
