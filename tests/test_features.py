@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import aggregation, interaction, keyed, temporal
+from riskloom.operators import aggregation, interaction, keyed, pipeline, temporal
 from riskloom.operators.group_stats import GroupRequest, GroupStats, attach_group_stats
 from tests.frames import SCHEMA, collected, frame, pandas_rows, random_rows, same
 
@@ -238,3 +238,21 @@ def test_one_budget_for_the_broadcasts_of_a_build(spark, monkeypatch):
         assert taken == [["a", "b"], ["a"], ["a"], ["a"]] and not keyed._budgets
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_only_fast_names_have_velocities(spark):
+    df, order = frame(spark), ["TransactionID", "name"]
+    full = temporal.key_timeline(df, ["card1", "addr1"], temporal.VELOCITY_WINDOWS).orderBy(*order).collect()
+    some = temporal.key_timeline(df, ["card1", "addr1"], temporal.VELOCITY_WINDOWS, fast=["card1"]).orderBy(*order).collect()
+    blank = dict.fromkeys([f"v_{w}" for w in temporal.VELOCITY_WINDOWS])
+    assert [r.asDict() for r in some] == [r.asDict() if r["name"] == "card1" else {**r.asDict(), **blank} for r in full]
+
+
+def test_a_build_reads_written_rows(spark):
+    """What made the rows runs once, not once per statistic of the build."""
+    df = frame(spark)
+    own = "LogicalRDD" if "LogicalRDD" in df._jdf.queryExecution().optimizedPlan().toString() else "LocalRelation"
+    builder = pipeline.FeatureBuilder()
+    for out in (pipeline.build_features(df)[0], builder.fit_transform(df)):
+        assert own not in out._jdf.queryExecution().optimizedPlan().toString()
+        assert out.count() == df.count()
