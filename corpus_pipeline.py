@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import mixing, packing, quality, simhash, substrings
-from riskloom.llm.common import step, table
+from riskloom.llm.common import small_batches, step, table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -22,7 +22,8 @@ TOKENIZER = "word_bpe_49k.json"
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return docs.where(model.score(F.col("text")) >= quality.THRESHOLD)
+    with small_batches(spark):  # written, as batches of whole texts are bounded while a job runs and not for a plan
+        return step(docs.where(model.score(F.col("text")) >= quality.THRESHOLD))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,8 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import components, step, text_or_empty
-from riskloom.session import slice_count
+from riskloom.llm.common import components, small_batches, step, text_or_empty
+from riskloom.session import removed, slice_count
 
 SEED = 42
 SHINGLE = 3
@@ -128,7 +128,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     give repeated rows. Rows with a null doc_id link like others but never name a component; it is null
     if no row of it has an id. An empty table gives no rows; other columns are not read.
     """
-    prints = step(fingerprints(docs, doc_id, text, shingle))
+    with small_batches(docs.sparkSession):
+        prints = step(fingerprints(docs, doc_id, text, shingle))
     distinct = step(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("lowest")))
     classes = components(links(distinct, long_list))
     told = step(distinct.hint("merge").join(classes, distinct.fingerprint == classes.node, "left").select(
@@ -167,5 +168,7 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     named = texts.select("key", "gid").hint("merge").join(classes, "gid").select("key", "component")
     order = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
     first = slim.hint("merge").join(named, "key").groupBy("component").agg(F.min(order).alias("first"))
-    kept = rows.join(step(first.select(F.col("first.row").alias(own))), own)
+    first = step(first.select(F.col("first.row").alias(own)))
+    removed(texts)  # a copy of all texts, which ``first`` was the last to read
+    kept = rows.join(first, own)
     return kept.dropDuplicates([own]).select(*names)

@@ -18,10 +18,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import step, text_or_empty
+from riskloom.llm.common import small_batches, step, text_or_empty
 from riskloom.llm.fm_index import repeated_windows
 
 WIDTH = 20
@@ -131,17 +132,17 @@ def _contents(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Add ``words`` (8 bytes a word) to segments ``wanted``: doc, uid, and a list of (place, hash, digest, crowded)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for n in range(batch.num_rows):
-                words = word_hashes(memoryview(batch.column(2)[n].as_buffer()).tobytes())
-                own = batch.column(3)[n].values
-                place = own.field(0).to_numpy(zero_copy_only=False)
-                cut = [words[p >> 5:(p >> 5) + (p & 31) + WIDTH - 1].tobytes() for p in place.tolist()]
-                size = len(place)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                cut = []
+                for text, own in zip(batch.column(2), batch.column(3)):
+                    words = word_hashes(memoryview(text.as_buffer()).tobytes())
+                    places = own.values.field(0).to_pylist()
+                    cut += [words[p >> 5:(p >> 5) + (p & 31) + WIDTH - 1].tobytes() for p in places]
+                segs, of = batch.column(3).flatten(), pc.list_parent_indices(batch.column(3))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(size, batch.column(0)[n].as_py(), np.int64)),
-                     pa.array(np.full(size, batch.column(1)[n].as_py(), np.int64)), own.field(0), own.field(1), own.field(2),
-                     own.field(3), pa.array(cut, pa.binary())],
+                    [batch.column(0).take(of), batch.column(1).take(of), *segs.flatten(), pa.array(cut, pa.binary())],
                     ["doc", "uid", "place", "hash", "digest", "crowded", "words"])
 
     one = rows.select("doc", "uid", "text").join(wanted, ["doc", "uid"])
@@ -166,19 +167,23 @@ def _by_index(segs: DataFrame, shard_words: int) -> DataFrame:
 def _singly(segs: DataFrame) -> DataFrame:
     """The same for anchors with very many segments: the earliest of each window with partial minima."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                words = np.frombuffer(row.words, dtype=np.uint64)
-                n = np.arange(len(words) - WIDTH + 1)
-                out.append(pd.DataFrame({
-                    "window": _spans(words, n, n + WIDTH, _Q).view(np.int64), "doc": row.doc, "uid": row.uid,
-                    "start": (row.place >> 5) + n, "hash": row.hash, "digest": row.digest, "bit": n}))
-            if out:
-                yield pd.concat(out)
-
-    one = step(segs.select("doc", "uid", "place", "hash", "digest", "words").mapInPandas(
+            if not batch.num_rows:
+                continue
+            lists = [np.frombuffer(w, dtype=np.uint64) for w in batch.column(5).to_pylist()]
+            lengths = np.array([len(w) for w in lists])
+            windows = lengths - WIDTH + 1
+            of = np.repeat(np.arange(len(lists)), windows)
+            bit = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+            at = (np.cumsum(lengths) - lengths)[of] + bit
+            doc, uid, place, key, digest = (batch.column(c).to_numpy()[of] for c in range(5))
+            yield pa.RecordBatch.from_arrays(
+                [_signed(_spans(np.concatenate(lists), at, at + WIDTH, _Q)), pa.array(doc), pa.array(uid),
+                 pa.array((place >> 5) + bit), pa.array(key), pa.array(digest), pa.array(bit, pa.int32())],
+                ["window", "doc", "uid", "start", "hash", "digest", "bit"])
+
+    one = step(segs.select("doc", "uid", "place", "hash", "digest", "words").mapInArrow(
         run, "window long, doc long, uid long, start long, hash long, digest long, bit int"))
     own = F.struct("doc", "uid", "start")
     low = one.groupBy("window").agg(F.min(own).alias("low"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -190,7 +195,8 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shard_
              crowd: int = CROWD) -> DataFrame:
     """(doc, uid, cuts): per document with repeated windows a list of (first window, bit mask of the removed)."""
     rows = numbered(docs, doc_id, text)
-    lists = step(_all_segments(rows))
+    with small_batches(docs.sparkSession):
+        lists = step(_all_segments(rows))
     every = lists.select("doc", "uid", F.inline(F.arrays_zip("hash", "digest", "place")))
     again = step(every.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
     occurrences = step(every.join(again, "hash"))
@@ -199,7 +205,8 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shard_
     several = different.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
     wanted = different.join(several, "hash").select(
         "origin.doc", "origin.uid", F.struct("origin.place", "hash", "digest", (F.col("n") > crowd).alias("crowded")).alias("s"))
-    contents = step(_contents(rows, wanted.groupBy("doc", "uid").agg(F.collect_list("s").alias("own"))))
+    with small_batches(docs.sparkSession):
+        contents = step(_contents(rows, wanted.groupBy("doc", "uid").agg(F.collect_list("s").alias("own"))))
     masks = _by_index(contents.where("not crowded"), shard_words)
     crowded = contents.where("crowded")
     if not crowded.isEmpty():
@@ -287,4 +294,6 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     cut = cut.withColumn(text, kept(F.col(text), F.col("_cuts"))).where(F.length(text) > 0)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return same.unionByName(cut.select(*docs.columns))
+    with small_batches(docs.sparkSession):
+        cut = step(cut.select(*docs.columns))
+    return same.unionByName(cut)

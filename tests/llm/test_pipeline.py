@@ -1,3 +1,4 @@
+import os
 import random
 import re
 from collections import Counter
@@ -7,8 +8,8 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from riskloom.llm import quality
-from tests.llm.frames import DOCS, awkward, sentence
+from riskloom.llm import quality, simhash, substrings
+from tests.llm.frames import DOCS, awkward, planted, sentence
 from tests.llm.test_mixing import brute as mixed
 from tests.llm.test_simhash import groups_of
 
@@ -61,3 +62,30 @@ def test_equals_brute_force(spark, tmp_path, monkeypatch):
     got = Counter((r["doc_id"], r["piece"], r["start"], tuple(np.frombuffer(r["ids"], "<u4").tolist()))
                   for r in corpus_pipeline.run(spark, folder).collect())
     assert got == want
+
+
+def test_stages_pass_few_texts_at_a_time(spark, tmp_path, monkeypatch):
+    """Scoring, fingerprints, segments, their words and the cut itself get whole texts in small batches."""
+    spark.range(9).selectExpr("id as doc_id", "int(id % 2) as quality").write.parquet(f"{tmp_path}/labels.parquet")
+    seen, name, docs = Counter(), "spark.sql.execution.arrow.maxRecordsPerBatch", planted(spark)
+    before = spark.conf.get(name)
+    for module in (corpus_pipeline, simhash, substrings):
+        monkeypatch.setattr(module, "step", lambda rows, own=module.step: (
+            seen.update([(spark.conf.get(name), *rows.columns)]), own(rows))[1])
+    corpus_pipeline.quality_classifier(spark, docs, str(tmp_path))
+    simhash.keep_first(docs)
+    substrings.without_repeats(docs)
+    few = {columns[1:]: n for columns, n in seen.items() if columns[0] == "1024"}
+    assert few == {("doc_id", "text", "lang", "source", "n_chars"): 2, ("doc_id", "fingerprint"): 1,
+                   ("doc", "uid", "hash", "digest", "place"): 1,
+                   ("doc", "uid", "place", "hash", "digest", "crowded", "words"): 1}
+    assert spark.conf.get(name) == before
+
+
+def test_copies_of_texts_go_with_their_last_reader(spark, monkeypatch):
+    gone, docs = [], planted(spark)
+    monkeypatch.setattr(simhash, "removed", lambda df, own=simhash.removed: (gone.append(
+        (df.columns, [f.removeprefix("file://") for f in df.inputFiles()])), own(df)))
+    assert simhash.keep_first(docs).count() > 0
+    (columns, files), = gone
+    assert "text" in columns and files and not any(os.path.exists(f) for f in files)
