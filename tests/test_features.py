@@ -256,3 +256,44 @@ def test_a_build_reads_written_rows(spark):
     for out in (pipeline.build_features(df)[0], builder.fit_transform(df)):
         assert own not in out._jdf.queryExecution().optimizedPlan().toString()
         assert out.count() == df.count()
+
+
+def test_look_ups_that_nobody_reads_are_not_run(spark):
+    """One column of a build costs the look-ups it needs, whether keys are broadcast or take a detour."""
+    df, rows, limit = frame(spark), [], spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for size, needed in ((limit, 1), ("1", 2)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+            out = pipeline.FeatureBuilder().fit_transform(df)
+            joins = [str(out.select("TransactionID", c)._jdf.queryExecution().optimizedPlan()).count("Join ") for c in ("amt_bin", "card1_mean")]
+            assert joins == [0, needed]
+            rows.append(collected(out.select(*[c for c in out.columns if c not in df.columns], "TransactionID")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    for c in rows[0].columns:
+        same(list(rows[0][c]), list(rows[1][c]))
+
+
+def test_rates_are_learnt_once_and_not_from_attached_features(spark, monkeypatch):
+    df, read = frame(spark), []
+    monkeypatch.setattr(interaction, "key_rows", lambda d, *a, own=interaction.key_rows: (read.append(set(d.columns)), own(d, *a))[1])
+    encoder = interaction.RateEncoder({"k": ("card1", "ProductCD")})
+    got = collected(encoder.fit_transform(df.withColumn("late", F.rand()), source=df).select("TransactionID", "k_count", "k_fraud_rate"))
+    assert len(read) == 1 and "late" not in read[0]
+    want = collected(interaction.combination_features(df, {"k": ("card1", "ProductCD")}, mode="out_of_fold")[0])
+    again = interaction.RateEncoder({"k": ("card1", "ProductCD")}).fit(df)
+    same(list(got.k_fraud_rate), list(want.k_fraud_rate))
+    a, b = (collected(e.transform(df)) for e in (encoder, again))
+    same(list(a.k_fraud_rate), list(b.k_fraud_rate))
+
+
+def test_out_of_fold_rates_leave_out_the_fold(spark):
+    """Against the definition: positives and rows of the other folds, missing labels left out."""
+    df = frame(spark).withColumn("isFraud", F.when(F.col("TransactionID") % 5 != 0, F.col("isFraud")))
+    out = interaction.combination_features(df, {"k": ("card1",)}, mode="out_of_fold")[0].withColumn("fold", interaction._fold_of("TransactionID", 5, 42))
+    pdf = collected(out)
+    overall = pdf.isFraud.mean()
+    for _, own in pdf.groupby("k"):
+        for _, r in own.iterrows():
+            others = own[own.fold != r.fold].isFraud.dropna()
+            assert r.k_count == len(own) and abs(r.k_fraud_rate - (others.sum() + 10 * overall) / (len(others) + 10)) < 1e-9
